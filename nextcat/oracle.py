@@ -128,3 +128,56 @@ def select_from_fs(cols, round_cols=("spend_std_dev",), cte: str | None = None,
 
 __all__ = ["TPCH_CATEGORIES", "TPCH_PAYMENTS", "EVENT_TYPES", "TPCH_TXN_SQL", "EVENT_TXN_SQL",
            "feature_store_sql", "select_from_fs", "idx_sql", "label_sql", "start_sql", "lit", "ident"]
+
+
+def month_label_of_idx(idx: str) -> str:
+    return f"strftime(make_date(CAST({idx} // 12 AS INTEGER), CAST({idx} % 12 + 1 AS INTEGER), 1), '%Y-%m')"
+
+
+def supervised_sql(seq_len: int = 3, train_end: int = 24016, test_label: int = 24017, predict: int = 24018,
+                   cats=TPCH_CATEGORIES) -> str:
+    """CTEs on top of :func:`feature_store_sql` (monthly TPC-H fixture):
+    ``m`` (features + top_category), ``l`` (+ label_idx, target_category,
+    label_period, label), ``fullh`` (anchors with a complete history),
+    ``sup`` (labelled anchors with complete history + split)."""
+    names = pivot_names("cat_", cats)
+    mx = "greatest(" + ", ".join(ident(n) for n in names) + ")"
+    top = "CASE " + " ".join(f"WHEN {ident(n)} = {mx} THEN {lit(c)}" for n, c in zip(names, cats)) + " END"
+    catlist = "[" + ", ".join(lit(c) for c in cats) + "]"
+    return feature_store_sql() + f""",
+m AS (SELECT fs.*, {top} AS top_category FROM fs),
+l AS (
+  SELECT m.*, LEAD(period_idx) OVER w AS label_idx, LEAD(top_category) OVER w AS target_category
+  FROM m WINDOW w AS (PARTITION BY customer_id ORDER BY period_idx)
+),
+l2 AS (
+  SELECT l.*, CASE WHEN label_idx IS NOT NULL THEN {month_label_of_idx('label_idx')} END AS label_period,
+         CAST(list_position({catlist}, target_category) - 1 AS DOUBLE) AS label
+  FROM l
+),
+fullh AS (
+  SELECT a.customer_id, a.period_idx
+  FROM m a JOIN m b ON a.customer_id = b.customer_id
+                   AND b.period_idx BETWEEN a.period_idx - {seq_len - 1} AND a.period_idx
+  GROUP BY a.customer_id, a.period_idx HAVING COUNT(*) = {seq_len}
+),
+sup0 AS (
+  SELECT l2.*, CASE WHEN label_idx <= {train_end} THEN 'train'
+                    WHEN label_idx = {test_label} THEN 'test'
+                    WHEN period_idx = {predict - 1} THEN 'predict'
+                    ELSE 'unused' END AS split
+  FROM l2 JOIN fullh USING (customer_id, period_idx)
+),
+sup AS (
+  SELECT * FROM sup0
+  WHERE (split IN ('train', 'test') AND label IS NOT NULL) OR split = 'predict'
+),
+steps AS (
+  SELECT a.customer_id, a.period, a.period_idx, b.period_idx - a.period_idx + {seq_len - 1} AS step, b.*
+         EXCLUDE (customer_id, period, period_idx, top_category)
+  FROM sup0 a JOIN m b ON a.customer_id = b.customer_id
+                       AND b.period_idx BETWEEN a.period_idx - {seq_len - 1} AND a.period_idx
+)"""
+
+
+__all__ += ["supervised_sql", "month_label_of_idx"]

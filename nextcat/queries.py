@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from . import oracle as O
 from .config import FeatureConfig
-from .functions.periods import period_index, period_label, period_start
+from .functions.periods import index_start, period_index, period_label, period_start
 from .operators.features import category_columns, core_columns, discover_values, payment_columns
 from .operators.trends import growth_columns, trend_columns
 from .plans.feature_store import build_feature_store
@@ -125,6 +125,146 @@ def q_category_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(v, i) for i, v in enumerate(vals)], "category string, class_index int")
 
 
+# ---------------------------------------------------------------- L2 family
+
+from .config import FIXTURE_SPLIT, SequenceConfig  # noqa: E402
+from .operators.labels import category_index, drop_unlabelled, invalid_periods, normalize_periods  # noqa: E402
+from .operators.sequences import explode_steps, sequences_by_self_join, split_counts  # noqa: E402
+from .plans.supervised import feature_columns, labelled, rolled_features, supervised_sequences  # noqa: E402
+
+SEQ = SequenceConfig(seq_len=3)
+_SUP = O.supervised_sql(seq_len=SEQ.seq_len)
+
+
+def _rolled(spark: SparkSession, sf_dir: str):
+    fs, cfg = tpch_feature_store(spark, sf_dir)
+    return rolled_features(fs, cfg), cfg
+
+
+def _flat_sql(where: str, extra: str = "") -> str:
+    feats = ", ".join(
+        (f"round(CAST(s.{O.ident(c)} AS DOUBLE), {STD_DIGITS}) AS {O.ident(c)}" if c == "spend_std_dev"
+         else f"CAST(s.{O.ident(c)} AS DOUBLE) AS {O.ident(c)}") for c in _ALL)
+    return _SUP + f"""
+SELECT s.customer_id, s.period, s.step{extra}, {feats}
+FROM steps s JOIN sup0 USING (customer_id, period_idx) WHERE {where}"""
+
+
+def _flat(df: DataFrame, cfg, rolled_cols, extra=()) -> DataFrame:
+    e = explode_steps(df, ["customer_id", "period", *extra], rolled_cols)
+    return _rounded(e.drop("period_idx"))
+
+
+@register("top_category", _SUP + "\nSELECT customer_id, period, top_category FROM m")
+def q_top_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: top spend category of each customer-month (ties → first name)."""
+    from .operators.labels import top_category
+    fs, cfg = tpch_feature_store(spark, sf_dir)
+    return fs.select("customer_id", "period",
+                     top_category(category_columns(cfg), list(cfg.categories)).alias("top_category"))
+
+
+@register("next_top_category", _SUP + """
+SELECT customer_id, period, label_period, target_category FROM l2
+WHERE label_idx IS NOT NULL AND target_category IS NOT NULL""")
+def q_next_top_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Next observed month and its top category."""
+    rolled, cfg = _rolled(spark, sf_dir)
+    m = drop_unlabelled(labelled(rolled, cfg, SEQ))
+    return m.select("customer_id", period_label("period_start", "month").alias("period"),
+                    period_label(index_start("label_idx", "month"), "month").alias("label_period"),
+                    "target_category")
+
+
+@register("label_index", _SUP + """
+SELECT customer_id, period, target_category, label FROM l2
+WHERE label_idx IS NOT NULL AND target_category IS NOT NULL""")
+def q_label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: class index (double) of the target in the sorted category list."""
+    from .operators.labels import class_index
+    rolled, cfg = _rolled(spark, sf_dir)
+    m = drop_unlabelled(labelled(rolled, cfg, SEQ))
+    return m.select("customer_id", period_label("period_start", "month").alias("period"), "target_category",
+                    class_index("target_category", cfg.categories).alias("label"))
+
+
+@register("training_sequences", _flat_sql("TRUE"))
+def q_training_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every anchor with a complete 3-month history that is a
+    train/test/predict/unused example, flattened to (anchor, step) rows."""
+    fs, cfg = tpch_feature_store(spark, sf_dir)
+    sup = supervised_sequences(fs, cfg, SEQ, FIXTURE_SPLIT, keep_unused=True)
+    cols = feature_columns(rolled_features(fs, cfg, strict=False), cfg)
+    return _flat(sup, cfg, cols)
+
+
+@register("sequence_self_join", _flat_sql("TRUE"))
+def q_sequence_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sequences by exploding each anchor to its step periods and
+    equi-joining (cross-check of the window formulation)."""
+    rolled, cfg = _rolled(spark, sf_dir)
+    cols = feature_columns(rolled, cfg)
+    j = sequences_by_self_join(rolled, "customer_id", "period_idx", cols, SEQ.seq_len)
+    j = j.select("customer_id", period_label(index_start("period_idx", "month"), "month").alias("period"),
+                 "step", *[F.col(c).cast("double").alias(c) for c in cols])
+    return _rounded(j)
+
+
+@register("prediction_sequences", _flat_sql("split = 'predict'"))
+def q_prediction_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences ending the month before the prediction month."""
+    fs, cfg = tpch_feature_store(spark, sf_dir)
+    sup = supervised_sequences(fs, cfg, SEQ, FIXTURE_SPLIT).where("split = 'predict'")
+    cols = feature_columns(rolled_features(fs, cfg, strict=False), cfg)
+    return _flat(sup, cfg, cols)
+
+
+@register("temporal_split", _SUP + "\nSELECT customer_id, period, label_period, split FROM sup")
+def q_temporal_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split assignment of every usable anchor."""
+    fs, cfg = tpch_feature_store(spark, sf_dir)
+    return supervised_sequences(fs, cfg, SEQ, FIXTURE_SPLIT).select("customer_id", "period", "label_period", "split")
+
+
+@register("split_counts", _SUP + "\nSELECT split, COUNT(*) AS n FROM sup GROUP BY split")
+def q_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences per split."""
+    fs, cfg = tpch_feature_store(spark, sf_dir)
+    return split_counts(supervised_sequences(fs, cfg, SEQ, FIXTURE_SPLIT))
+
+
+@register("supervised_sequences", _flat_sql("(split IN ('train', 'test') AND label IS NOT NULL) OR split = 'predict'",
+                                            ", sup0.split, sup0.label_period, sup0.target_category, sup0.label"))
+def q_supervised_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 flagship: labelled train/test sequences and prediction sequences,
+    flattened to one row per (anchor, step)."""
+    fs, cfg = tpch_feature_store(spark, sf_dir)
+    sup = supervised_sequences(fs, cfg, SEQ, FIXTURE_SPLIT)
+    cols = feature_columns(rolled_features(fs, cfg, strict=False), cfg)
+    return _flat(sup, cfg, cols, extra=("split", "label_period", "target_category", "label"))
+
+
+@register("period_normalize", O.feature_store_sql() + """
+SELECT customer_id, period, CAST(strptime(period, '%Y-%m') AS DATE) AS period_start FROM fs""")
+def q_period_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Period text → month start date."""
+    fs, _ = tpch_feature_store(spark, sf_dir)
+    return normalize_periods(fs.select("customer_id", "period"), "period", "month")
+
+
+@register("invalid_periods", O.feature_store_sql() + """
+, u AS (SELECT period FROM fs UNION ALL SELECT o_orderpriority FROM orders)
+SELECT DISTINCT period FROM u
+WHERE NOT regexp_matches(period, '^[0-9]{4}-[0-9]{2}$')
+ORDER BY period LIMIT 5""")
+def q_invalid_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3: first five unparseable period values of a text column that mixes
+    feature-store periods with order priorities."""
+    fs, _ = tpch_feature_store(spark, sf_dir)
+    pri = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderpriority").alias("period"))
+    return invalid_periods(fs.select("period").unionByName(pri), "period", "month")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
