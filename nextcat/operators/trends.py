@@ -101,3 +101,26 @@ def number_transactions(txns: DataFrame, entity: str = "customer_id", order=("ti
     return (b.join(offs, [entity, "_bucket"])
              .withColumn(name, F.concat(F.lit(prefix), n.cast("string")))
              .drop("_bucket", "_offset"))
+
+
+def calendar_spine(df: DataFrame, entity: str = "customer_id", idx: str = "period_idx",
+                   lo: int | None = None, hi: int | None = None) -> DataFrame:
+    """Every (entity, period index) in a calendar range — the entity's own
+    first..last observed period by default, or the fixed [lo, hi].  Generated
+    per entity with ``explode(sequence(...))`` (no cross join); the output size
+    is exactly the number of entity-periods asked for.  The min/max aggregate
+    is combined map-side, so a hot entity is cheap."""
+    if lo is None or hi is None:
+        bounds = df.groupBy(entity).agg(F.min(idx).alias("_lo"), F.max(idx).alias("_hi"))
+    else:
+        bounds = df.select(entity).distinct().select(entity, F.lit(lo).alias("_lo"), F.lit(hi).alias("_hi"))
+    return bounds.select(entity, F.explode(F.sequence("_lo", "_hi")).alias(idx))
+
+
+def fill_calendar(df: DataFrame, entity: str = "customer_id", idx: str = "period_idx",
+                  lo: int | None = None, hi: int | None = None) -> DataFrame:
+    """J5 + fill: left-join rows onto the spine; ``observed`` marks real rows,
+    numeric gaps are filled with 0 by the caller's fill (E6)."""
+    spine = calendar_spine(df, entity, idx, lo, hi)
+    return (spine.join(df.withColumn("observed", F.lit(True)), [entity, idx], "left")
+                 .withColumn("observed", F.coalesce(F.col("observed"), F.lit(False))))

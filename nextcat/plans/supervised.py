@@ -50,8 +50,8 @@ def labelled(rolled: DataFrame, fcfg: FeatureConfig, scfg: SequenceConfig,
 def supervised_sequences(features: DataFrame, fcfg: FeatureConfig, scfg: SequenceConfig,
                          split: SplitConfig, feature_cols: list[str] | None = None,
                          strict: bool = True, keep_unused: bool = False) -> DataFrame:
-    """(entity, period, period_idx, label_period, label_idx, target_category,
-    label, split, seq) for every anchor with a complete L-period history that
+    """(entity, period, period_idx, label_period, label_idx, top_category,
+    target_category, label, split, seq) for every anchor with a complete L-period history that
     is a train/test example (labelled) or a prediction anchor."""
     if not (split.train_end < split.test_label < split.predict):
         raise ValueError("split boundaries must satisfy train_end < test_label < predict")
@@ -68,4 +68,5 @@ def supervised_sequences(features: DataFrame, fcfg: FeatureConfig, scfg: Sequenc
                           period_label(index_start("label_idx", unit), unit))
     return m.where(keep).select(
         ent, period_label("period_start", unit).alias("period"), "period_idx",
-        label_period.alias("label_period"), "label_idx", "target_category", "label", "split", "seq")
+        label_period.alias("label_period"), "label_idx", "top_category", "target_category", "label", "split",
+        "seq")

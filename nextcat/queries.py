@@ -265,6 +265,380 @@ def q_invalid_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return invalid_periods(fs.select("period").unionByName(pri), "period", "month")
 
 
+# ---------------------------------------------------------------- sources, sinks, tables
+
+from .operators.tables import merge_tables, monthly_rollup, validate_keys  # noqa: E402
+from .operators.trends import fill_calendar, number_transactions, period_gaps, running_balance  # noqa: E402
+from .plans.feature_store import narrow_tables, table_columns  # noqa: E402
+from .session import scratch_path  # noqa: E402
+from .sources import io as IO  # noqa: E402
+from .sources.fixtures import ORDER_LEDGER_SQL, order_ledger  # noqa: E402
+from .streaming.incremental import refresh_since  # noqa: E402
+from pyspark.sql.types import (DecimalType, IntegerType, LongType, StringType,  # noqa: E402
+                               StructField, StructType)
+
+_FS_ALL_SQL = O.select_from_fs(_ALL)
+
+
+def _fs_all(df: DataFrame) -> DataFrame:
+    return _rounded(df.select("customer_id", "period", *_ALL))
+
+
+@register("scan_csv_roundtrip", f"""
+WITH txn AS ({O.TPCH_TXN_SQL})
+SELECT customer_id, "timestamp", amount, category, merchant_id, payment_method, device, is_online FROM txn""")
+def q_scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 + S1 + S2: write the transactions as header CSV, read them back
+    with an explicit schema and strict timestamp parsing."""
+    cols = ["customer_id", "timestamp", "amount", "category", "merchant_id", "payment_method", "device",
+            "is_online"]
+    path = scratch_path(spark, "txn-csv")
+    IO.write_csv(tpch_transactions(spark, sf_dir).select(*cols), path)
+    schema = StructType([StructField("customer_id", LongType()), StructField("timestamp", StringType()),
+                         StructField("amount", DecimalType(18, 2)), StructField("category", StringType()),
+                         StructField("merchant_id", LongType()), StructField("payment_method", StringType()),
+                         StructField("device", StringType()), StructField("is_online", IntegerType())])
+    return IO.read_transactions_csv(spark, path, schema=schema)
+
+
+def _stored_feature_store(spark: SparkSession, sf_dir: str):
+    fs, cfg = tpch_feature_store(spark, sf_dir)
+    base = scratch_path(spark, "feature-store")
+    paths = IO.write_feature_store(fs, narrow_tables(fs, cfg), base, files_per_period=2)
+    return paths, cfg
+
+
+@register("scan_partitioned", _FS_ALL_SQL)
+def q_scan_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + S3: write the combined table partitioned by period, read it back
+    (period returns as text)."""
+    fs, _ = tpch_feature_store(spark, sf_dir)
+    path = scratch_path(spark, "fs-part")
+    IO.write_partitioned(fs, path, files_per_period=2, entity="customer_id")
+    return _fs_all(IO.read_partitioned(spark, path))
+
+
+@register("sink_partitioned_roundtrip", _FS_ALL_SQL + " WHERE period >= '2000-01'")
+def q_sink_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + S3 with a period filter that prunes partitions at the scan."""
+    fs, _ = tpch_feature_store(spark, sf_dir)
+    path = scratch_path(spark, "fs-part")
+    IO.write_partitioned(fs, path)
+    return _fs_all(IO.read_partitioned(spark, path).where(F.col("period") >= "2000-01"))
+
+
+@register("scan_dispatch", O.select_from_fs(_CORE))
+def q_scan_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dispatcher reading a single ``.parquet`` path, a ``.csv`` path
+    and a partitioned directory of the same core table; union of the three
+    reads, de-duplicated by construction (each read covers a third of the
+    periods)."""
+    fs, cfg = tpch_feature_store(spark, sf_dir)
+    core = fs.select("customer_id", "period", *core_columns(cfg))
+    base = scratch_path(spark, "dispatch")
+    IO.write_partitioned(core.where("period < '1997-01'"), f"{base}/dir")
+    core.where("period >= '1997-01' AND period < '1999-01'").write.parquet(f"{base}/core.parquet")
+    IO.write_csv(core.where("period >= '1999-01'"), f"{base}/core.csv")
+    a = IO.read_table(spark, f"{base}/dir")
+    b = IO.read_table(spark, f"{base}/core.parquet")
+    c = IO.read_table(spark, f"{base}/core.csv", csv_schema=core.schema)
+    return _rounded(a.select(*core.columns).unionByName(b).unionByName(c))
+
+
+@register("feature_store_tables", O.feature_store_sql() + """
+SELECT 'feature_store' AS table_name, COUNT(*) AS n_rows, 30 AS n_columns FROM fs
+UNION ALL SELECT 'core_behavior', COUNT(*), 12 FROM fs
+UNION ALL SELECT 'category', COUNT(*), 9 FROM fs
+UNION ALL SELECT 'payment', COUNT(*), 7 FROM fs
+UNION ALL SELECT 'growth', COUNT(*), 4 FROM fs
+UNION ALL SELECT 'trend', COUNT(*), 6 FROM fs""")
+def q_feature_store_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + E7: six tables written (combined once, narrow ones from it); rows
+    and columns of each as read back."""
+    paths, _ = _stored_feature_store(spark, sf_dir)
+    out = None
+    for name, p in paths.items():
+        t = IO.read_partitioned(spark, p)
+        r = t.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table_name"), "n_rows", F.lit(len(t.columns)).alias("n_columns"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("merge_feature_tables", _FS_ALL_SQL)
+def q_merge_feature_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five narrow tables read back and inner-joined on
+    (customer_id, period) reproduce the combined table."""
+    paths, _ = _stored_feature_store(spark, sf_dir)
+    return _fs_all(merge_tables(IO.read_narrow_tables(spark, paths)))
+
+
+def _rollup_sql() -> str:
+    longs = {"txn_count", "unique_merchants", "category_diversity", "prev_txn_count", "txn_growth", *_PAYS}
+    cols = []
+    for c in _ALL:
+        e = f"round({O.ident(c)}, {STD_DIGITS})" if c == "spend_std_dev" else O.ident(c)
+        cols.append(f"CAST({e} AS {'BIGINT' if c in longs else 'DOUBLE'}) AS {O.ident(c)}")
+    return O.feature_store_sql() + f"""
+SELECT customer_id, CAST(strptime(period, '%Y-%m') AS DATE) AS period_start, period_idx, {", ".join(cols)}
+FROM fs"""
+
+
+@register("monthly_rollup", _rollup_sql())
+def q_monthly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roll-up of the merged narrow tables to one row per customer-month
+    (identity on this keyed input; pivot columns summed explicitly)."""
+    paths, cfg = _stored_feature_store(spark, sf_dir)
+    merged = merge_tables(IO.read_narrow_tables(spark, paths))
+    explicit = {c: "sum" for c in category_columns(cfg) + payment_columns(cfg)}
+    return _rounded(monthly_rollup(merged, explicit=explicit))
+
+
+@register("validate_keys", """
+SELECT 'duplicate_key' AS kind, l_orderkey AS order_key, l_linenumber AS line_number, COUNT(*) AS n
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""")
+def q_validate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key problems of the transaction table keyed by
+    (order_key, line_number) — that pair is not unique in the test data."""
+    return validate_keys(tpch_transactions(spark, sf_dir), keys=("order_key", "line_number"))
+
+
+@register("drop_partitions", _FS_ALL_SQL + " WHERE period >= '1996-01'")
+def q_drop_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delete the twelve 1995 partitions of a stored table (metadata
+    only), then read what is left."""
+    fs, _ = tpch_feature_store(spark, sf_dir)
+    path = scratch_path(spark, "fs-drop")
+    IO.write_partitioned(fs, path)
+    IO.drop_partitions(spark, path, [f"1995-{m:02d}" for m in range(1, 13)])
+    return _fs_all(IO.read_partitioned(spark, path))
+
+
+@register("overwrite_periods", _FS_ALL_SQL)
+def q_overwrite_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 dynamic overwrite via the incremental refresh: store the feature
+    table as of 2000-12, then recompute only the periods from 2001-01 on
+    (lags seeded from the stored table) and overwrite just those partitions."""
+    txn = tpch_transactions(spark, sf_dir)
+    cfg = TPCH_CONFIG.with_values(O.TPCH_CATEGORIES, O.TPCH_PAYMENTS)
+    old, _ = build_feature_store(txn.where(F.col("timestamp") < F.lit("2001-01-01").cast("timestamp_ntz")), cfg)
+    path = scratch_path(spark, "fs-incr")
+    IO.write_partitioned(old, path)
+    refresh_since(txn, cfg, path, "2001-01")
+    return _fs_all(IO.read_partitioned(spark, path))
+
+
+@register("sink_predictions_csv")
+def q_sink_predictions_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction rows (here: the last-month baseline for the prediction
+    anchors) written as header CSV and read back."""
+    fs, cfg = tpch_feature_store(spark, sf_dir)
+    sup = supervised_sequences(fs, cfg, SEQ, FIXTURE_SPLIT).where("split = 'predict'")
+    from .plans.model import baseline_predictions
+    preds = baseline_predictions(sup, fs, cfg, FIXTURE_SPLIT)
+    path = scratch_path(spark, "predictions")
+    IO.write_predictions_csv(preds, path)
+    return spark.read.option("header", True).schema(preds.schema).csv(path)
+
+
+@register("calendar_spine", O.feature_store_sql() + """
+, bnd AS (SELECT customer_id, MIN(period_idx) AS lo, MAX(period_idx) AS hi FROM fs GROUP BY customer_id),
+sp AS (SELECT customer_id, CAST(unnest(generate_series(lo, hi)) AS INTEGER) AS period_idx FROM bnd)
+SELECT sp.customer_id, sp.period_idx, COALESCE(fs.period IS NOT NULL, FALSE) AS observed,
+       COALESCE(fs.total_spent, 0) AS total_spent, COALESCE(fs.txn_count, 0) AS txn_count
+FROM sp LEFT JOIN fs USING (customer_id, period_idx)""")
+def q_calendar_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every calendar month between a customer's first and last month,
+    observed flag and zero-filled totals."""
+    fs, _ = tpch_feature_store(spark, sf_dir, keep_index=True)
+    f = fill_calendar(fs.select("customer_id", "period_idx", "total_spent", "txn_count"))
+    return f.select("customer_id", "period_idx", "observed",
+                    F.coalesce("total_spent", F.lit(0.0)).alias("total_spent"),
+                    F.coalesce("txn_count", F.lit(0).cast("long")).alias("txn_count"))
+
+
+@register("running_balance", f"""
+WITH led AS ({ORDER_LEDGER_SQL})
+SELECT customer_id, order_key, "timestamp",
+       CAST(opening_balance - SUM(amount) OVER (PARTITION BY customer_id ORDER BY "timestamp", order_key
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
+       AS balance
+FROM led""")
+def q_running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Opening balance minus cumulative order totals per customer."""
+    b = running_balance(order_ledger(spark, sf_dir))
+    return b.select("customer_id", "order_key", "timestamp", F.col("balance").cast("double").alias("balance"))
+
+
+@register("period_gaps", O.feature_store_sql() + f"""
+, g2 AS (SELECT customer_id, period_idx, LAG(period_idx) OVER (PARTITION BY customer_id ORDER BY period_idx) AS p
+         FROM fs)
+SELECT customer_id, {O.month_label_of_idx('p')} AS from_period, {O.month_label_of_idx('period_idx')} AS to_period,
+       CAST(period_idx - p - 1 AS INTEGER) AS missing
+FROM g2 WHERE period_idx - p > 1""")
+def q_period_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing stretches in each customer's monthly history."""
+    fs, _ = tpch_feature_store(spark, sf_dir, keep_index=True)
+    g = period_gaps(fs, "customer_id", "period_idx")
+    return g.select("customer_id",
+                    period_label(index_start("from_idx", "month"), "month").alias("from_period"),
+                    period_label(index_start("to_idx", "month"), "month").alias("to_period"),
+                    F.col("missing").cast("int").alias("missing"))
+
+
+@register("txn_number", """
+SELECT o.o_custkey AS customer_id, l.l_shipdate AS "timestamp", l.l_orderkey AS order_key,
+       l.l_linenumber AS line_number, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount,
+       'T' || CAST(row_number() OVER (PARTITION BY o.o_custkey
+            ORDER BY l.l_shipdate, l.l_orderkey, l.l_linenumber, CAST(l.l_extendedprice AS DECIMAL(18,2))) AS VARCHAR)
+       AS transaction_id
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey""")
+def q_txn_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-customer transaction numbering in time order."""
+    t = tpch_transactions(spark, sf_dir).select("customer_id", "timestamp", "order_key", "line_number", "amount")
+    return number_transactions(t, "customer_id", order=("timestamp", "order_key", "line_number", "amount"))
+
+
+# ---------------------------------------------------------------- model operators
+
+from .config import ModelConfig  # noqa: E402
+from .operators.scaling import fit_scaler, scale_sequences, scaler_stats, sequence_vector  # noqa: E402
+from .operators.tables import rollup_rule  # noqa: E402
+from .plans import model as M  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+MODEL = ModelConfig()
+
+
+def _feature_order() -> list[str]:
+    rule = rollup_rule(_ALL, {c: "sum" for c in _CATS + _PAYS})
+    return sorted(c for c in _ALL if rule[c] == "sum") + sorted(c for c in _ALL if rule[c] == "mean")
+
+
+def sig6(c):
+    """Six significant digits (engine-independent comparison of statistics)."""
+    e = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))))
+    return F.when(c == 0, F.lit(0.0)).otherwise(F.round(c / e, 6) * e)
+
+
+def _sig6_sql(x: str) -> str:
+    return f"CASE WHEN {x} = 0 THEN 0.0 ELSE round({x} / pow(10, floor(log10(abs({x})))), 6) * pow(10, floor(log10(abs({x})))) END"
+
+
+def _train_steps_sql() -> str:
+    order = _feature_order()
+    casted = ", ".join(f"CAST(s.{O.ident(c)} AS DOUBLE) AS {O.ident(c)}" for c in order)
+    lst = "[" + ", ".join(O.lit(c) for c in order) + "]"
+    return _SUP + f""",
+tr AS (SELECT {casted} FROM steps s JOIN sup ON s.customer_id = sup.customer_id AND s.period_idx = sup.period_idx
+       WHERE sup.split = 'train'),
+u AS (UNPIVOT tr ON COLUMNS(*) INTO NAME feature VALUE v),
+st AS (SELECT CAST(list_position({lst}, feature) - 1 AS INTEGER) AS feature_index, feature,
+              AVG(v) AS mean, STDDEV_POP(v) AS std FROM u GROUP BY feature),
+st2 AS (SELECT *, CASE WHEN std = 0 OR std IS NULL THEN 1.0 ELSE std END AS scale FROM st),
+pr AS (SELECT s.customer_id, s.period, s.step, {", ".join(f"CAST(s.{O.ident(c)} AS DOUBLE) AS {O.ident(c)}" for c in order)}
+       FROM steps s JOIN sup ON s.customer_id = sup.customer_id AND s.period_idx = sup.period_idx
+       WHERE sup.split = 'predict'),
+pu AS (UNPIVOT pr ON {", ".join(O.ident(c) for c in order)} INTO NAME feature VALUE v),
+scaled AS (SELECT pu.customer_id, pu.period, pu.step, st2.feature_index, pu.feature,
+                  round((pu.v - st2.mean) / st2.scale, 4) AS value
+           FROM pu JOIN st2 USING (feature))"""
+
+
+def _sup_and_names(spark: SparkSession, sf_dir: str):
+    fs, cfg = tpch_feature_store(spark, sf_dir)
+    sup = supervised_sequences(fs, cfg, SEQ, FIXTURE_SPLIT)
+    names = feature_columns(rolled_features(fs, cfg, strict=False), cfg)
+    return fs, cfg, sup, names
+
+
+@register("scaler_stats", _train_steps_sql() + f"""
+SELECT feature_index, feature, {_sig6_sql('mean')} AS mean, {_sig6_sql('std')} AS std, {_sig6_sql('scale')} AS scale
+FROM st2""")
+def q_scaler_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train-split mean / population std / scale per feature."""
+    _, _, sup, names = _sup_and_names(spark, sf_dir)
+    st = scaler_stats(sup.where("split = 'train'"), names)
+    return st.select("feature_index", "feature", sig6(F.col("mean")).alias("mean"), sig6(F.col("std")).alias("std"),
+                     sig6(F.col("scale")).alias("scale"))
+
+
+@register("scaled_sequences", _train_steps_sql() + """
+SELECT customer_id, period, step, feature, value FROM scaled""")
+def q_scaled_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: prediction sequences scaled with the train statistics, one row
+    per (anchor, step, feature)."""
+    _, _, sup, names = _sup_and_names(spark, sf_dir)
+    means, scales = fit_scaler(sup.where("split = 'train'"), names)
+    sc = scale_sequences(sup.where("split = 'predict'"), means, scales)
+    steps = sc.select("customer_id", "period", F.posexplode("seq_scaled").alias("step", "_x"))
+    vals = steps.select("customer_id", "period", "step", F.posexplode("_x").alias("_j", "value"))
+    names_arr = F.array(*[F.lit(n) for n in names])
+    return vals.select("customer_id", "period", "step", F.element_at(names_arr, F.col("_j") + 1).alias("feature"),
+                       F.round("value", 4).alias("value"))
+
+
+@register("sequence_vectors", _train_steps_sql() + f"""
+SELECT customer_id, period, CAST(step * {len(_ALL)} + feature_index AS INTEGER) AS pos, value FROM scaled""")
+def q_sequence_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: flattened L·F model vectors of the prediction anchors, one row
+    per (anchor, position)."""
+    _, _, sup, names = _sup_and_names(spark, sf_dir)
+    means, scales = fit_scaler(sup.where("split = 'train'"), names)
+    v = scale_sequences(sup.where("split = 'predict'"), means, scales).withColumn("features", sequence_vector())
+    e = v.select("customer_id", "period", F.posexplode(vector_to_array("features")).alias("pos", "value"))
+    return e.select("customer_id", "period", F.col("pos").cast("int").alias("pos"), F.round("value", 4).alias("value"))
+
+
+@register("eval_accuracy", _SUP + """
+SELECT split, COUNT(*) AS n,
+       CAST(SUM(CASE WHEN top_category = target_category THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) AS accuracy
+FROM sup WHERE split IN ('train', 'test') GROUP BY split""")
+def q_eval_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 on the last-month baseline (predict the anchor's own top category):
+    exact per-row accuracy per split."""
+    _, _, sup, _ = _sup_and_names(spark, sf_dir)
+    hit = F.when(F.col("top_category") == F.col("target_category"), 1).otherwise(0)
+    return (sup.where("split IN ('train', 'test')").groupBy("split")
+               .agg(F.count(F.lit(1)).alias("n"), (F.sum(hit).cast("double") / F.count(F.lit(1))).alias("accuracy")))
+
+
+def _trained(spark: SparkSession, sf_dir: str):
+    fs, cfg = tpch_feature_store(spark, sf_dir)
+    return M.train_and_predict(fs, cfg, SEQ, FIXTURE_SPLIT, MODEL)
+
+
+@register("train_next_category")
+def q_train_next_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: fit the classifier; one row describing the fitted model."""
+    res, _ = _trained(spark, sf_dir)
+    row = (len(res.feature_names) * SEQ.seq_len, len(res.categories), len(res.history),
+           res.metrics["counts"].get("train", 0))
+    return spark.createDataFrame([row], "n_inputs int, n_classes int, iterations int, train_sequences long")
+
+
+@register("eval_model")
+def q_eval_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 + M6: accuracy and log loss of the fitted model on train and test."""
+    res, _ = _trained(spark, sf_dir)
+    rows = [(k, int(v["n"]), v["accuracy"], v["log_loss"]) for k, v in res.metrics.items() if k in ("train", "test")]
+    return spark.createDataFrame(rows, "split string, n long, accuracy double, log_loss double")
+
+
+@register("train_history")
+def q_train_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: per-iteration objective of the optimiser."""
+    res, _ = _trained(spark, sf_dir)
+    return M.history_frame(spark, res)
+
+
+@register("predict_next_category")
+def q_predict_next_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One predicted category per prediction anchor."""
+    _, preds = _trained(spark, sf_dir)
+    return preds
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
