@@ -53,15 +53,40 @@ def discover_values(df: DataFrame, column: str, cap: int = 256) -> list:
     return [r[0] for r in rows]
 
 
+def discover_pivot_values(df: DataFrame, columns: list[str], cap: int = 256) -> dict[str, list]:
+    """E9 for several columns in *one* job: (column, value) pairs from a
+    single scan, distinct (partially aggregated before the shuffle), bounded
+    by ``cap`` per column — exceeding it raises instead of truncating."""
+    if not columns:
+        return {}
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.col(c).cast("string").alias("v"))
+                                for i, c in enumerate(columns)]))
+    d = df.select(pairs.alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull()).distinct()
+    rows = d.limit(len(columns) * (cap + 1)).collect()
+    out = {c: [] for c in columns}
+    for r in rows:
+        out[columns[r["k"]]].append(r["v"])
+    for c, vals in out.items():
+        if len(vals) > cap:
+            raise ValueError(f"column {c!r} has more than {cap} distinct values; pass them explicitly")
+        if not vals:
+            raise ValueError(f"column {c!r} has no non-NULL values")
+        vals.sort()
+    return out
+
+
 def resolve_values(txns: DataFrame, cfg: FeatureConfig) -> FeatureConfig:
-    """Fix the pivot values (explicit lists win; otherwise discover them)."""
+    """Fix the pivot values (explicit lists win; the others are discovered in
+    one shared job).  Values are compared as text."""
     c = cfg.cols
-    cats = cfg.categories
-    if cats is None:
-        cats = discover_values(txns, c.category, cfg.max_pivot_values)
-    pays = cfg.payments
-    if pays is None:
-        pays = discover_values(txns, c.payment, cfg.max_pivot_values) if c.payment else ()
+    todo = []
+    if cfg.categories is None:
+        todo.append(c.category)
+    if cfg.payments is None and c.payment:
+        todo.append(c.payment)
+    found = discover_pivot_values(txns, todo, cfg.max_pivot_values)
+    cats = cfg.categories if cfg.categories is not None else found[c.category]
+    pays = cfg.payments if cfg.payments is not None else found.get(c.payment, [])
     return cfg.with_values(sorted(cats), sorted(pays))
 
 
@@ -90,12 +115,12 @@ def feature_aggregates(cfg: FeatureConfig, exact_distinct: bool = True) -> list[
         aggs += [F.sum(on).alias("_on_sum"), F.count(on).alias("_on_cnt")]
     cat = F.col(c.category)
     for name, v in zip(pivot_names(cfg.category_prefix, cfg.categories), cfg.categories):
-        aggs.append(F.sum(F.when(cat == F.lit(v), amt)).alias("_" + name))
+        aggs.append(F.sum(F.when(cat.cast("string") == F.lit(str(v)), amt)).alias("_" + name))
     aggs.append(F.count(cat).alias("_cat_rows"))
     if c.payment and cfg.payments:
         pay = F.col(c.payment)
         for name, v in zip(pivot_names(cfg.payment_prefix, cfg.payments), cfg.payments):
-            aggs.append(F.count(F.when(pay == F.lit(v), amt)).alias(name))
+            aggs.append(F.count(F.when(pay.cast("string") == F.lit(str(v)), amt)).alias(name))
         aggs.append(F.count(pay).alias("_pay_rows"))
     return aggs
 
