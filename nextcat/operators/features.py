@@ -94,19 +94,31 @@ def _amount(cfg: FeatureConfig) -> Column:
     return F.col(cfg.cols.amount).cast(AMOUNT_TYPE)
 
 
+def _cents(cfg: FeatureConfig) -> Column:
+    """The amount as an exact integer number of cents (after rounding to two
+    decimals).  Sums, minima and maxima run on primitive longs — exact, so
+    independent of how rows are split over partitions (Q25), and without the
+    BigDecimal buffers a DECIMAL(28,2) sum needs."""
+    return F.round(_amount(cfg).cast("double") * 100).cast("long")
+
+
+def _from_cents(c: Column) -> Column:
+    return c.cast("double") / 100.0
+
+
 def feature_aggregates(cfg: FeatureConfig, exact_distinct: bool = True) -> list[Column]:
     """Aggregate expressions for one pass over the transactions of a group.
 
-    Sums are exact DECIMAL(18,2) and cast to double only at the end, so the
+    Sums are exact integer cents, turned into doubles only at the end, so the
     result does not depend on how rows are split over partitions (Q25)."""
     c = cfg.cols
-    amt = _amount(cfg)
+    amt = _cents(cfg)
     aggs = [
         F.sum(amt).alias("_sum"),
         F.count(amt).alias("txn_count"),
         F.min(amt).alias("_min"),
         F.max(amt).alias("_max"),
-        F.stddev_samp(amt.cast("double")).alias("_std"),
+        F.stddev_samp(_amount(cfg).cast("double")).alias("_std"),
         (F.countDistinct(c.merchant) if exact_distinct else F.approx_count_distinct(c.merchant))
         .alias("unique_merchants"),
     ]
@@ -141,17 +153,17 @@ def period_features(txns: DataFrame, cfg: FeatureConfig, exact_distinct: bool =
         if c.payment and cfg.payments:
             keep = keep & (F.col("_pay_rows") > 0)
         g = g.where(keep)
-    total = F.coalesce(F.col("_sum"), F.lit(0).cast(AMOUNT_TYPE)).cast("double")
+    total = F.coalesce(_from_cents(F.col("_sum")), F.lit(0.0))
     zero = F.lit(0.0)
     cat_names = pivot_names(cfg.category_prefix, cfg.categories)
-    cat_cols = [F.coalesce(F.col("_" + n).cast("double"), zero).alias(n) for n in cat_names]
+    cat_cols = [F.coalesce(_from_cents(F.col("_" + n)), zero).alias(n) for n in cat_names]
     out = [
         F.col(c.entity), F.col("period_idx"),
         total.alias("total_spent"),
         F.col("txn_count"),
         F.coalesce(safe_div(total, F.col("txn_count")), zero).alias("avg_spent"),
-        F.coalesce(F.col("_min").cast("double"), zero).alias("min_spent"),
-        F.coalesce(F.col("_max").cast("double"), zero).alias("max_spent"),
+        F.coalesce(_from_cents(F.col("_min")), zero).alias("min_spent"),
+        F.coalesce(_from_cents(F.col("_max")), zero).alias("max_spent"),
         F.coalesce(F.nanvl(F.col("_std"), F.lit(None).cast("double")), zero).alias("spend_std_dev"),
     ]
     if c.online:
@@ -160,7 +172,7 @@ def period_features(txns: DataFrame, cfg: FeatureConfig, exact_distinct: bool =
     out += [
         F.col("unique_merchants").cast("long").alias("unique_merchants"),
         F.coalesce(safe_div(total, F.col("txn_count")), zero).alias("avg_spend_per_txn"),
-        F.coalesce(safe_div(F.coalesce(F.col("_max").cast("double"), zero), total), zero).alias("max_txn_ratio"),
+        F.coalesce(safe_div(F.coalesce(_from_cents(F.col("_max")), zero), total), zero).alias("max_txn_ratio"),
     ]
     out += cat_cols
     out.append(row_sum([(F.coalesce(F.col("_" + n), F.lit(0)) > 0).cast("long") for n in cat_names])
