@@ -50,7 +50,7 @@ def main() -> None:
 
     base = scratch_path(spark, "bench-fs")
     paths = timed("s7_write_tables", lambda: IO.write_feature_store(fs, narrow_tables(fs, cfg), base,
-                                                                    files_per_period=2))
+                                                                    files_per_period=1))
     stored = IO.read_partitioned(spark, paths["feature_store"])
     seq = SequenceConfig(seq_len=3)
     timed("l2_supervised_sequences", lambda: _sink(supervised_sequences(stored, cfg, seq, FIXTURE_SPLIT)))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .config import FeatureConfig
 from .functions.periods import index_start, period_index, period_label, period_start
-from .operators.features import category_columns, core_columns, discover_values, payment_columns
+from .operators.features import category_columns, core_columns, payment_columns
 from .operators.trends import growth_columns, trend_columns
 from .plans.feature_store import build_feature_store
 from .sources.fixtures import EVENT_CONFIG, TPCH_CONFIG, event_transactions, tpch_transactions
@@ -119,10 +119,10 @@ SELECT category, CAST(row_number() OVER (ORDER BY category) - 1 AS INTEGER) AS c
 FROM (SELECT DISTINCT p_type AS category FROM part p JOIN lineitem l ON l.l_partkey = p.p_partkey
       JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE p_type IS NOT NULL)""")
 def q_category_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sorted category list discovered from the transactions, with the
-    class index each category gets."""
-    vals = discover_values(tpch_transactions(spark, sf_dir), "category")
-    return spark.createDataFrame([(v, i) for i, v in enumerate(vals)], "category string, class_index int")
+    """E9 + M1: the sorted categories present in the transactions, with the
+    class index each gets (ordering runs over the distinct values only)."""
+    from .operators.labels import category_index
+    return category_index(tpch_transactions(spark, sf_dir), "category")
 
 
 # ---------------------------------------------------------------- L2 family
