@@ -639,6 +639,38 @@ def q_predict_next_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preds
 
 
+# ---------------------------------------------------------------- quarterly variant
+
+def _quarter_sql() -> str:
+    names = _CATS
+    mx = "greatest(" + ", ".join(O.ident(n) for n in names) + ")"
+    top = "CASE " + " ".join(f"WHEN {O.ident(n)} = {mx} THEN {O.lit(c)}"
+                             for n, c in zip(names, O.TPCH_CATEGORIES)) + " END"
+    return O.feature_store_sql(unit="quarter") + f""",
+m AS (SELECT customer_id, period, period_idx, {top} AS top_category FROM fs),
+l AS (SELECT m.*, LEAD(period_idx) OVER w AS nidx, LEAD(top_category) OVER w AS ntop
+      FROM m WINDOW w AS (PARTITION BY customer_id ORDER BY period_idx)),
+fullh AS (SELECT a.customer_id, a.period_idx FROM m a JOIN m b
+          ON a.customer_id = b.customer_id AND b.period_idx BETWEEN a.period_idx - 2 AND a.period_idx
+          GROUP BY a.customer_id, a.period_idx HAVING COUNT(*) = 3)
+SELECT customer_id, period, CAST(nidx // 4 AS VARCHAR) || 'Q' || CAST(nidx % 4 + 1 AS VARCHAR) AS label_period,
+       ntop AS target_category
+FROM l JOIN fullh USING (customer_id, period_idx) WHERE nidx = period_idx + 1"""
+
+
+@register("quarterly_adjacent_labels", _quarter_sql())
+def q_quarterly_adjacent_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Period unit = quarter: anchors with a full 3-quarter history whose
+    label comes from the calendar-adjacent quarter (``require_adjacent``)."""
+    from dataclasses import replace
+    fs, cfg = build_feature_store(tpch_transactions(spark, sf_dir), replace(TPCH_CONFIG, period_unit="quarter"))
+    m = labelled(rolled_features(fs, cfg), cfg, SequenceConfig(seq_len=3, require_adjacent=True))
+    m = m.where(F.col("seq").isNotNull() & F.col("target_category").isNotNull())
+    return m.select("customer_id", period_label("period_start", "quarter").alias("period"),
+                    period_label(index_start("label_idx", "quarter"), "quarter").alias("label_period"),
+                    "target_category")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
