@@ -639,6 +639,21 @@ def q_predict_next_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preds
 
 
+@register("top_category_long", _SUP + "\nSELECT customer_id, period, top_category FROM m")
+def q_top_category_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2, long form: spend per (customer, month, category) from the
+    transactions, ranked inside each customer-month (spend desc, name asc).
+    The ranking window sees at most one row per category of a group."""
+    from .operators.labels import top_category_long
+    t = tpch_transactions(spark, sf_dir)
+    spend = (t.where(F.col("category").isNotNull())
+              .groupBy("customer_id", period_index("timestamp", "month").alias("period_idx"), "category")
+              .agg(F.sum(F.round(F.col("amount").cast("double") * 100).cast("long")).alias("spend")))
+    top = top_category_long(spend, ["customer_id", "period_idx"], "category", "spend")
+    return top.select("customer_id", period_label(index_start("period_idx", "month"), "month").alias("period"),
+                      "top_category")
+
+
 # ---------------------------------------------------------------- quarterly variant
 
 def _quarter_sql() -> str:
