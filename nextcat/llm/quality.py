@@ -67,8 +67,8 @@ def char_classes(text: Column) -> Column:
 def repeated_words(hashes: Column, n: Column, window: int) -> Column:
     """Words inside windows that occur twice or more in the row's own text.
 
-    Windows are compared by a 64-bit hash of their words' 64-bit hashes.  Most
-    texts have no equal windows, which a hash-set pass shows; for the rest the
+    Windows are compared by 64-bit hashes, made by doubling from the words'
+    hashes.  Most texts have no equal windows, which a hash-set pass shows; for the rest the
     (hash, position) pairs are sorted and the covered positions summed."""
     def covered(win: Column) -> Column:
         pairs = F.sort_array(F.transform(win, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -80,9 +80,19 @@ def repeated_words(hashes: Column, n: Column, window: int) -> Column:
                 F.lit(0).cast("long"), lambda a, x: a + x))
         return let(pairs, count)
 
-    windows = F.transform(F.sequence(F.lit(1), n - (window - 1)), lambda i: F.xxhash64(F.slice(hashes, i, window)))
-    return F.when(n < window, F.lit(0).cast("long")).otherwise(let(windows, lambda win: F.when(
-        F.size(F.array_distinct(win)) == F.size(win), F.lit(0).cast("long")).otherwise(covered(win))))
+    def judge(win: Column) -> Column:
+        return F.when(F.size(F.array_distinct(win)) == F.size(win), F.lit(0).cast("long")).otherwise(covered(win))
+
+    def windows(part: Column, width: int) -> Column:
+        """Windows of the full width, from those of ``width``: two that overlap or meet make a wider one."""
+        if width == window:
+            return judge(part)
+        wider = min(2 * width, window)
+        joined = F.transform(F.slice(part, 1, F.size(part) - (wider - width)),
+                             lambda h, i: F.xxhash64(h, F.get(part, i + (wider - width))))
+        return let(joined, lambda x: windows(x, wider))
+
+    return F.when(n < window, F.lit(0).cast("long")).otherwise(windows(hashes, 1))
 
 
 def repeated_lines(text: Column) -> Column:
@@ -90,12 +100,21 @@ def repeated_lines(text: Column) -> Column:
     return let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
 
 
-def word_bins(hashes: Column, n: Column, ref: Column) -> Column:
+#: Cells of the lookup table of a language's common words.
+CELLS = 512
+
+
+def lookup(ref: Column) -> Column:
+    """The reference words by cell of their hash: finding a word reads one cell, not all words."""
+    return F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda c: F.filter(ref, lambda h: F.pmod(h, F.lit(CELLS)) == c))
+
+
+def word_bins(hashes: Column, n: Column, ref: Column, table: Column) -> Column:
     """Words equal to each reference word, then all others, as array<long>."""
     def bins(common: Column) -> Column:
         each = F.transform(ref, lambda k: (F.size(common) - F.size(F.array_remove(common, k))).cast("long"))
         return F.concat(each, F.array((n - F.size(common)).cast("long")))
-    return let(F.filter(hashes, lambda h: F.array_contains(ref, h)), bins)
+    return let(F.filter(hashes, lambda h: F.array_contains(F.get(table, F.pmod(h, F.lit(CELLS)).cast("int")), h)), bins)
 
 
 def js_distance(counts: Column, reference: Column) -> Column:
@@ -155,31 +174,37 @@ def quality_rules(docs: DataFrame, rules: QualityRules = QualityRules(), text: s
     n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance
     (both null where the length guard or a missing reference leaves the text
     unjudged) and kept."""
-    refs = cut(language_references(docs, rules, text, lang))
-    n_refs = refs.count()
-    hashed = refs.select("lang", F.transform("common", lambda w: F.xxhash64(w)).alias("common"), "word_counts", "class_counts")
+    refs = language_references(docs, rules, text, lang)
+    hashed = cut(refs.select("lang", F.transform("common", lambda w: F.xxhash64(w)).alias("common"), "word_counts", "class_counts"))
+    hashed = cut(hashed.withColumn("table", lookup(F.col("common"))))
+    n_refs = hashed.count()
+    parts = F.struct("common", "table", "word_counts", "class_counts")
     r, k, t, out = fresh(docs, "_ref", "_ref_lang", "_text", out)
-    own = hashed.where(F.col("lang").isNotNull()).select(F.col("lang").alias(k), F.struct("common", "word_counts", "class_counts").alias(r))
+    own = hashed.where(F.col("lang").isNotNull()).select(F.col("lang").alias(k), parts.alias(r))
     pooled, = fresh(docs, "_pooled")
-    rest = hashed.where(F.col("lang").isNull()).select(F.struct("common", "word_counts", "class_counts").alias(pooled))
+    rest = hashed.where(F.col("lang").isNull()).select(parts.alias(pooled))
     keyed = docs.join(broadcast_if_small(own, n_refs), docs[lang].cast("string") == F.col(k), "left")
     keyed = keyed.join(F.broadcast(rest), F.lit(True), "left")  # one row at most
 
     ref = F.coalesce(F.col(r), F.col(pooled))
 
-    def judged(x: Column, hashes: Column, n: Column) -> Column:
-        chars = F.when(F.length(x) >= rules.min_class_chars, js_distance(char_classes(x), ref["class_counts"]))
-        common = F.when(n >= rules.min_dist_words, js_distance(word_bins(hashes, n, ref["common"]), ref["word_counts"]))
+    names = [c for c, _ in CHAR_CLASSES]
+
+    def judged(x: Column, hashes: Column, n: Column, classes: Column) -> Column:
+        chars = F.when(F.length(x) >= rules.min_class_chars, js_distance(classes, ref["class_counts"]))
+        bins = word_bins(hashes, n, ref["common"], ref["table"])
+        common = F.when(n >= rules.min_dist_words, let(bins, lambda b: js_distance(b, ref["word_counts"])))
         return F.struct(
             n.cast("long").alias("n_words"),
-            F.length(F.regexp_replace(x, SPACE + "+", "")).cast("long").alias("word_chars"),
-            F.regexp_count(x, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+            (F.length(x) - classes[names.index("space")]).cast("long").alias("word_chars"),
+            classes[names.index("symbol")].alias("n_symbols"),
             repeated_lines(x).alias("n_dup_lines"),
             repeated_words(hashes, n, rules.window).alias("n_repeat_words"),
             chars.alias("class_distance"), common.alias("word_distance"))
 
     body = let(text_of(text), lambda x: let(words_of(x), lambda w: let(
-        F.transform(w, lambda v: F.xxhash64(v)), lambda h: let(F.size(w), lambda n: judged(x, h, n)))))
+        F.transform(w, lambda v: F.xxhash64(v)), lambda h: let(F.size(w), lambda n: let(
+            char_classes(x), lambda c: judged(x, h, n, c))))))
     failed = lambda q: (q["n_words"] < rules.min_words) | (100 * q["n_repeat_words"] > rules.max_repeat_pct * q["n_words"])
     far = lambda q: (F.coalesce(q["class_distance"] > rules.max_class_distance, F.lit(False))
                      | F.coalesce(q["word_distance"] > rules.max_word_distance, F.lit(False)))
