@@ -6,8 +6,13 @@ Each stage reads all rows that the stage before it wrote."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from nextcat.llm import bpe
+from nextcat.llm.line_dedup import drop_shared_lines
+from nextcat.llm.mixing import mixed_documents
 from nextcat.llm.quality import keep_good
+from nextcat.llm.simhash import drop_near_copies
 from nextcat.session import scratch_path
 
 
@@ -16,7 +21,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs)
 
 
-STAGES = [("quality rules", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that many sources share."""
+    return drop_shared_lines(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near copies."""
+    return drop_near_copies(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per document copy that the mix takes."""
+    return mixed_documents(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and ids of every copy."""
+    encoded = bpe.encode(docs, bpe.load(spark))
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [("quality rules", quality), ("line dedup", lines), ("SimHash near-dedup", near_copies),
+          ("mixing sources to target weights", mix), ("byte-level BPE", tokens)]
 
 #: The tokenizer stage has no SQL form; tests hold the whole run against a brute-force version.
 ORACLE_SQL = None

@@ -35,6 +35,14 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE + "+"), "")
 
 
+def row_key(docs: DataFrame, id_col: str, text: str) -> Column:
+    """16 bytes, equal only for rows that agree in id, text and (by hash) all
+    other columns; map columns are left out, as they have no hash."""
+    rest = [F.col(c) for c, kind in docs.dtypes if c not in (id_col, text) and "map<" not in kind]
+    other = F.xxhash64(*rest).cast("string") if rest else F.lit("")
+    return F.unhex(F.md5(F.concat_ws("\n", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), other, text_of(text))))
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, each lengthened until no column of ``df`` has it in any case."""
     taken = {c.lower() for c in df.columns}

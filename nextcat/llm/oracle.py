@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .line_dedup import LineRules
+from .mixing import Mix
 from .quality import QualityRules
 
 _WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
@@ -61,3 +63,40 @@ res AS (SELECT doc.doc_id, n_words, length({strip('doc.t', r'[\x20\x09-\x0D]+')}
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
   NOT base_failed AND NOT far AS kept FROM res"""
+
+
+def line_sql(rules: LineRules = LineRules()) -> str:
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, coalesce(text, '') AS t, coalesce('s' || source, 'null') AS site FROM documents),
+p AS (SELECT rid, doc_id, text, site, string_split(t, chr(10)) AS ls FROM d),
+l AS (SELECT rid, site, unnest(range(1, len(ls) + 1)) AS i, unnest(ls) AS raw FROM p),
+k AS (SELECT rid, site, i, raw, regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line FROM l),
+shared AS (SELECT line FROM k WHERE line <> '' GROUP BY line HAVING count(DISTINCT site) >= {rules.min_sites}),
+f AS (SELECT k.*, k.line <> '' AS full_line, shared.line IS NOT NULL AS hit FROM k LEFT JOIN shared ON shared.line = k.line),
+n AS (SELECT rid, count(*) FILTER (full_line) AS n_lines, count(*) FILTER (hit) AS n_shared,
+        string_agg(raw, chr(10) ORDER BY i) FILTER (NOT hit) AS kept FROM f GROUP BY rid),
+r AS (SELECT d.doc_id, d.text, n.*, n_shared > 0 AND n_shared <= {rules.max_share} * n_lines AS cuts FROM d JOIN n USING (rid))
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_shared AS BIGINT) AS n_shared,
+  CAST(CASE WHEN cuts THEN n_shared ELSE 0 END AS BIGINT) AS n_removed,
+  CASE WHEN cuts THEN coalesce(kept, '') ELSE text END AS text FROM r"""
+
+
+def mix_sql(mix: Mix = Mix()) -> str:
+    weights = ", ".join(str(float(w)) for w in mix.weights)
+    epochs = ", ".join(str(e) for e in range(mix.max_epochs))
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+           FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+        ([{weights}])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mix.weights)} + 1]::DOUBLE AS w FROM d GROUP BY source),
+f AS (SELECT *, source_size * {mix.max_epochs} AS cap, sum(source_size) OVER ()::DOUBLE * {mix.budget} AS budget,
+        coalesce(sum(source_size * {mix.max_epochs}) OVER q, 0)::DOUBLE AS stopped, sum(w) OVER () - coalesce(sum(w) OVER q, 0) AS open
+      FROM s WINDOW q AS (ORDER BY source_size * {mix.max_epochs} / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT *, (budget - stopped) / open AS share FROM f),
+v AS (SELECT arg_min(share, stopped) AS level FROM l WHERE share * w <= cap),
+t AS (SELECT source, source_size, CASE WHEN level IS NULL OR level * w > cap THEN cap::DOUBLE ELSE level * w END AS target FROM l, v),
+p AS (SELECT d.*, t.source_size, t.target, sum(size) OVER (PARTITION BY d.source ORDER BY md5('{mix.seed}:' || coalesce(doc_id::VARCHAR, 'null')),
+        doc_id, size, rid ROWS UNBOUNDED PRECEDING) - size AS before FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT rid, greatest(0, least(size, floor(target) - (before + e * source_size))) AS n FROM p, (SELECT unnest([{epochs}]) AS e))
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(coalesce(k.n, 0) AS BIGINT) AS taken
+FROM p LEFT JOIN (SELECT rid, sum(n) AS n FROM c GROUP BY rid) k USING (rid)"""

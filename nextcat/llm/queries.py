@@ -6,10 +6,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import oracle
+from . import bpe, oracle
 from .common import table
+from .line_dedup import line_dedup
+from .mixing import mix_report
 from .quality import quality_rules
+from .simhash import hex_fingerprint, simhash_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,3 +34,31 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", *[f"quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                              "base_failed", "kept")])
+
+
+@register("op5_line_dedup", oracle.line_sql())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "lines.n_lines", "lines.n_shared", "lines.n_removed", "text")
+
+
+@register("op7_simhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash_groups(table(spark, sf_dir, "documents"))
+    return groups.select(F.col("id").alias("doc_id"), hex_fingerprint(F.col("fp")).alias("fingerprint"),
+                         F.col("component").alias("component_id"))
+
+
+@register("op2_source_mix", oracle.mix_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@register("op1_byte_bpe")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = bpe.load(spark)
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer)
+    decoded = encoded.withColumn("decoded", bpe.decoder(tokenizer)("ids"))
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(bpe.id_text(F.col("ids")), 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
