@@ -9,11 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, oracle
+from .chat import conversation_digests, format_windows
 from .common import table
+from .extract import extract
+from .extract import train as train_extractor
+from .labelled_pages import labelled_pages
+from .langid import predict, train
 from .line_dedup import line_dedup
 from .mixing import mix_report
 from .quality import quality_rules
 from .simhash import hex_fingerprint, simhash_groups
+from .substring import substring_dedup
+from .topk import top_products
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,3 +69,38 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2(bpe.id_text(F.col("ids")), 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op9_substring_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = train(docs.where(~held_out))
+    return predict(docs, model, keep=("doc_id", held_out.alias("held_out")))
+
+
+@register("op8_chat_format", oracle.chat_sql())
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], chats.schema)
+    return conversation_digests(format_windows(chats.unionByName(more)))
+
+
+@register("op10_topk_products", oracle.topk_sql())
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_products(vectors.where(F.col("vec_id") % 50 == 0), vectors)
+
+
+@register("op4_html_extract")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = spark.createDataFrame([(p,) for p in labelled_pages()], "html string")
+    texts = extract(table(spark, sf_dir, "pages"), train_extractor(labelled))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
