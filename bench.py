@@ -49,12 +49,11 @@ def main() -> None:
     fs, cfg = timed("l1_feature_store", l1)
 
     base = scratch_path(spark, "bench-fs")
-    paths = timed("s7_write_tables", lambda: IO.write_feature_store(fs, narrow_tables(fs, cfg), base,
-                                                                    files_per_period=1))
+    paths = timed("s7_write_tables", lambda: IO.write_feature_store(fs, narrow_tables(fs, cfg), base))
     stored = IO.read_partitioned(spark, paths["feature_store"])
     seq = SequenceConfig(seq_len=3)
     timed("l2_supervised_sequences", lambda: _sink(supervised_sequences(stored, cfg, seq, FIXTURE_SPLIT)))
-    timed("l3_train_predict", lambda: train_and_predict(stored, cfg, seq, FIXTURE_SPLIT, ModelConfig())[1].count())
+    timed("l3_train_predict", lambda: _sink(train_and_predict(stored, cfg, seq, FIXTURE_SPLIT, ModelConfig())[1]))
     timed("w6_running_balance", lambda: _sink(running_balance(order_ledger(spark, sf_dir))))
     timed("w8_txn_number", lambda: _sink(number_transactions(
         txn.select("customer_id", "timestamp", "order_key", "line_number", "amount"), "customer_id",

@@ -20,24 +20,28 @@ class TxnColumns:
     merchant: str = "merchant_id"
     payment: str = "payment_method"
     online: str = "is_online"
-    txn_id: str = "transaction_id"
 
 
 @dataclass(frozen=True)
 class FeatureConfig:
     """How transactions become (entity, period) feature rows.
 
-    ``categories`` / ``payments`` fix the pivot values (sorted on use).  When
-    ``None`` they are discovered with one ``distinct`` job over the data and
-    capped at ``max_pivot_values`` so a high-cardinality column cannot blow up
-    the schema.  ``payments=()`` disables the payment pivot (sources that have
-    no payment column)."""
+    ``categories`` / ``payments`` fix the pivot values (sorted on use); a value
+    in the data that they do not list then fails the job.  When ``None`` they
+    are discovered with one ``distinct`` job over the data, as many as there
+    are: wide columns are a projection for as many values as a schema can hold,
+    and ``period_category_spend`` is the long form beyond that.
+    ``payments=()`` disables the payment pivot (sources that have no payment
+    column).
+
+    ``amount_scale``: decimals of an amount that count.  Amounts become exact
+    integers of that unit; one with more decimals fails the job."""
 
     cols: TxnColumns = field(default_factory=TxnColumns)
     period_unit: str = "month"
     categories: tuple[str, ...] | None = None
     payments: tuple[str, ...] | None = None
-    max_pivot_values: int = 256
+    amount_scale: int = 2
     category_prefix: str = "cat_"
     payment_prefix: str = "pay_"
     # Q9: a period whose rows all have a NULL pivot value drops out (inner-join
@@ -47,6 +51,8 @@ class FeatureConfig:
     def __post_init__(self) -> None:
         if self.period_unit not in PERIOD_UNITS:
             raise ValueError(f"period_unit must be one of {PERIOD_UNITS}, got {self.period_unit!r}")
+        if not 0 <= self.amount_scale <= 8:
+            raise ValueError("amount_scale must be 0 to 8")
 
     def with_values(self, categories, payments) -> "FeatureConfig":
         return replace(self, categories=tuple(categories), payments=tuple(payments))
@@ -78,18 +84,31 @@ class SequenceConfig:
 
 @dataclass(frozen=True)
 class ModelConfig:
-    """Defaults carried over from the reference command line.  ``epochs`` maps
-    to ``maxIter``; ``hidden_dim * num_layers`` to the hidden layers;
-    ``weight_decay`` to ``regParam`` of the logistic-regression alternative."""
+    """Classifier settings.  ``epochs`` maps to ``maxIter`` and ``hidden_dim *
+    num_layers`` to the hidden layers.  ``step_size`` is the learning rate of
+    the perceptron's gradient descent (solver ``gd``; ``l-bfgs`` has none) and
+    ``reg_param`` the L2 penalty of the logistic regression; a setting that the
+    chosen classifier does not have is an error.  ``report_every``: iterations
+    between rows of the training report (0: none)."""
 
     kind: str = "mlp"  # "mlp" | "logistic"
     hidden_dim: int = 64
     num_layers: int = 1
     epochs: int = 10
-    lr: float = 1e-3
-    weight_decay: float = 1e-4
+    solver: str = "l-bfgs"  # of the perceptron: "l-bfgs" | "gd"
+    step_size: float | None = None
+    reg_param: float | None = None
     seed: int = 42
     block_size: int = 128
+    report_every: int = 0
+
+    def __post_init__(self) -> None:
+        if self.kind not in ("mlp", "logistic") or self.solver not in ("l-bfgs", "gd"):
+            raise ValueError("unknown kind or solver")
+        if self.step_size is not None and (self.kind, self.solver) != ("mlp", "gd"):
+            raise ValueError("step_size needs kind 'mlp' and solver 'gd'")
+        if self.reg_param is not None and self.kind != "logistic":
+            raise ValueError("reg_param needs kind 'logistic'")
 
 
 # Split boundaries used by the TPC-H derived fixture (monthly periods).

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import zlib
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,18 +12,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 _UNSAFE = re.compile(r"[^0-9A-Za-z_]")
-
-
-def safe_name(prefix: str, value) -> str:
-    """Column name for a pivot value: prefix + value with every character
-    outside ``[0-9A-Za-z_]`` replaced by ``_`` (Parquet- and SQL-friendly)."""
-    return prefix + _UNSAFE.sub("_", str(value))
+#: Feature columns that a prefix and a value could spell as well.
+RESERVED = ("category_diversity",)
 
 
 def pivot_names(prefix: str, values) -> list[str]:
-    names = [safe_name(prefix, v) for v in values]
-    if len(set(names)) != len(names):
-        raise ValueError(f"pivot values {list(values)!r} collide after name sanitising")
+    """Column names of pivot values: prefix + value with every character
+    outside ``[0-9A-Za-z_]`` replaced by ``_`` (Parquet- and SQL-friendly).
+
+    Values whose names would be equal, in any case, all get the CRC-32 of the
+    value appended, so any text in any script has a name of its own."""
+    names = [prefix + _UNSAFE.sub("_", str(v)) for v in values]
+    often = Counter(n.lower() for n in (*names, *RESERVED))
+    names = [n if often[n.lower()] == 1 else f"{n}_{zlib.crc32(str(v).encode()):08x}" for n, v in zip(names, values)]
+    taken = Counter(n.lower() for n in names)
+    if len(taken) != len(names):  # equal values, or a value that looks like another one's name
+        raise ValueError(f"pivot values {[v for n, v in zip(names, values) if taken[n.lower()] > 1]!r} have one name")
     return names
 
 
@@ -40,9 +46,11 @@ def row_sum(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, cols) if cols else F.lit(0)
 
 
-def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
-    ex = set(exclude)
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in ex]
+def not_nan(df: DataFrame, name: str) -> Column:
+    """The column with NaN as NULL (other types unchanged)."""
+    c = F.col(q(name))
+    kind = df.schema[name].dataType.typeName()
+    return F.nanvl(c, F.lit(None).cast(kind)) if kind in ("double", "float") else c
 
 
 def fill_zero(df: DataFrame, exclude=()) -> DataFrame:
@@ -50,10 +58,7 @@ def fill_zero(df: DataFrame, exclude=()) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, NumericType) and f.name not in set(exclude):
-            c = F.col(q(f.name))
-            if f.dataType.typeName() in ("double", "float"):
-                c = F.nanvl(c, F.lit(0.0))
-            out.append(F.coalesce(c, F.lit(0).cast(f.dataType)).alias(f.name))
+            out.append(F.coalesce(not_nan(df, f.name), F.lit(0).cast(f.dataType)).alias(f.name))
         else:
             out.append(F.col(q(f.name)))
     return df.select(*out)

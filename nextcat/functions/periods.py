@@ -98,6 +98,14 @@ def parse_period(text, unit: str = "month") -> Column:
     return F.date_trunc(_TRUNC[unit], d).cast("date")
 
 
+def checked_period(period: str = "period", unit: str = "month") -> Column:
+    """E2 guard inside the plan: the parsed period; a text that is no period
+    fails the job when its row is read, without a pass of its own."""
+    start = parse_period(period, unit)
+    bad = F.raise_error(F.concat(F.lit("not a period: "), _c(period).cast("string"))).cast("date")
+    return F.coalesce(start, F.when(_c(period).isNotNull(), bad))
+
+
 def add_periods(start, n: int, unit: str = "month") -> Column:
     """Start of the period ``n`` units after the one starting at ``start``."""
     _check(unit)

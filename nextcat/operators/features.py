@@ -1,30 +1,29 @@
 """Per-(entity, period) feature aggregation.
 
-The reference builds three frames from the same rows — core aggregates, a
-category-spend pivot and a payment-count pivot — and inner-joins them.  Here
-all three are one ``groupBy(entity, period_idx).agg(...)`` with conditional
-aggregates (``sum(when(category = v, amount))``), so the data is shuffled once
-for the aggregate instead of three times plus two joins.
-
-Plan shape (no pre-partitioning on purpose): partial aggregation runs before
-the shuffle, and the single exact distinct count (merchants) hashes on
-(entity, period, merchant).  A hot entity holding a large share of all rows is
-therefore spread over many shuffle partitions; only the aggregated
-(entity, period) rows — at most one per entity and period — reach the window
-that follows.
+Core aggregates, a category-spend pivot and a payment-count pivot of the same
+rows are one ``groupBy(entity, period_idx).agg(...)`` with conditional
+aggregates (``sum(when(category = v, amount))``), so the wide buffers are
+shuffled once, after partial aggregation.
+
+The exact distinct count of merchants is a branch of its own over three narrow
+columns, joined on the keys that both branches are already partitioned by: in
+one aggregate it would key the first shuffle of all the wide buffers by
+merchant.  Both branches aggregate partially before their shuffles, so a hot
+entity is spread; only the aggregated (entity, period) rows — at most one per
+entity and period — reach the window that follows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 from ..config import FeatureConfig
-from ..functions.columns import pivot_names, row_sum, safe_div
+from ..functions.columns import not_nan, pivot_names, row_sum, safe_div
 from ..functions.periods import index_start, period_index, period_label
 
-AMOUNT_TYPE = "decimal(18,2)"
-
+# Names of the core feature columns, as users of the feature tables know them.
 CORE_COLUMNS = (
     "total_spent", "txn_count", "avg_spent", "min_spent", "max_spent", "spend_std_dev",
     "online_ratio", "unique_merchants", "avg_spend_per_txn", "max_txn_ratio",
@@ -39,36 +38,19 @@ def with_period(txns: DataFrame, cfg: FeatureConfig) -> DataFrame:
                 .withColumn("period_idx", period_index(c.timestamp, cfg.period_unit)))
 
 
-def discover_values(df: DataFrame, column: str, cap: int = 256) -> list:
-    """Sorted distinct non-NULL values of ``column``.
-
-    One aggregation job; the result is bounded by ``cap`` (exceeding it raises
-    rather than silently truncating)."""
-    rows = (df.select(column).where(F.col(column).isNotNull()).distinct()
-              .orderBy(column).limit(cap + 1).collect())
-    if len(rows) > cap:
-        raise ValueError(f"column {column!r} has more than {cap} distinct values; pass them explicitly")
-    if not rows:
-        raise ValueError(f"column {column!r} has no non-NULL values")
-    return [r[0] for r in rows]
-
-
-def discover_pivot_values(df: DataFrame, columns: list[str], cap: int = 256) -> dict[str, list]:
-    """E9 for several columns in *one* job: (column, value) pairs from a
-    single scan, distinct (partially aggregated before the shuffle), bounded
-    by ``cap`` per column — exceeding it raises instead of truncating."""
+def discover_pivot_values(df: DataFrame, columns: list[str]) -> dict[str, list]:
+    """E9 for several columns in *one* job: (column, value) pairs from a single
+    scan, distinct (partially aggregated before the shuffle).  The values become
+    column names, so the driver has to know them all."""
     if not columns:
         return {}
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.col(c).cast("string").alias("v"))
                                 for i, c in enumerate(columns)]))
     d = df.select(pairs.alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull()).distinct()
-    rows = d.limit(len(columns) * (cap + 1)).collect()
     out = {c: [] for c in columns}
-    for r in rows:
+    for r in d.collect():
         out[columns[r["k"]]].append(r["v"])
     for c, vals in out.items():
-        if len(vals) > cap:
-            raise ValueError(f"column {c!r} has more than {cap} distinct values; pass them explicitly")
         if not vals:
             raise ValueError(f"column {c!r} has no non-NULL values")
         vals.sort()
@@ -84,104 +66,139 @@ def resolve_values(txns: DataFrame, cfg: FeatureConfig) -> FeatureConfig:
         todo.append(c.category)
     if cfg.payments is None and c.payment:
         todo.append(c.payment)
-    found = discover_pivot_values(txns, todo, cfg.max_pivot_values)
+    found = discover_pivot_values(txns, todo)
     cats = cfg.categories if cfg.categories is not None else found[c.category]
     pays = cfg.payments if cfg.payments is not None else found.get(c.payment, [])
     return cfg.with_values(sorted(cats), sorted(pays))
 
 
-def _amount(cfg: FeatureConfig) -> Column:
-    return F.col(cfg.cols.amount).cast(AMOUNT_TYPE)
+def amount_units(df: DataFrame, cfg: FeatureConfig) -> Column:
+    """The amount as an exact integer of ``10^-amount_scale``; sums, minima and
+    maxima then run on longs and do not depend on how rows are split (Q25).
 
+    An amount with more decimals than the scale, or beyond a long, fails the
+    job; NaN is no amount.  Amounts below 2^52 units take the exact route over
+    doubles."""
+    name, s = cfg.cols.amount, cfg.amount_scale
+    kind, a = df.schema[name].dataType, not_nan(df, name)
+    if isinstance(kind, IntegralType):
+        return a.cast("long") * 10 ** s
+    exact = a.cast(f"decimal(28,{s})") * F.lit(10 ** s).cast(f"decimal({s + 1},0)")
+    fast = F.round(a.cast("double") * 10 ** s).cast("long")
+    units = F.when(F.abs(a.cast("double")) < 2.0 ** 52 / 10 ** s, fast).otherwise(exact.cast("long"))
+    if isinstance(kind, DecimalType) and kind.scale <= s:
+        return units
+    return F.when(a != F.round(a, s), F.raise_error(F.concat(
+        F.lit(f"amount with more than {s} decimals: "), a.cast("string"))).cast("long")).otherwise(units)
 
-def _cents(cfg: FeatureConfig) -> Column:
-    """The amount as an exact integer number of cents (after rounding to two
-    decimals).  Sums, minima and maxima run on primitive longs — exact, so
-    independent of how rows are split over partitions (Q25), and without the
-    BigDecimal buffers a DECIMAL(28,2) sum needs."""
-    return F.round(_amount(cfg).cast("double") * 100).cast("long")
 
+def _amount(c: Column, cfg: FeatureConfig) -> Column:
+    return c.cast("double") / float(10 ** cfg.amount_scale)
 
-def _from_cents(c: Column) -> Column:
-    return c.cast("double") / 100.0
 
+def _unlisted(c: Column, values) -> Column:
+    return F.max(F.when(~c.cast("string").isin([str(v) for v in values]), c.cast("string")))
 
-def feature_aggregates(cfg: FeatureConfig, exact_distinct: bool = True) -> list[Column]:
-    """Aggregate expressions for one pass over the transactions of a group.
 
-    Sums are exact integer cents, turned into doubles only at the end, so the
-    result does not depend on how rows are split over partitions (Q25)."""
+def feature_aggregates(df: DataFrame, cfg: FeatureConfig, check_values: bool) -> list[Column]:
+    """Aggregate expressions for one pass over the transactions of a group.
+    Internal columns are numbered, so no pivot value can spell one."""
     c = cfg.cols
-    amt = _cents(cfg)
+    amt = F.col("_units")
     aggs = [
         F.sum(amt).alias("_sum"),
         F.count(amt).alias("txn_count"),
         F.min(amt).alias("_min"),
         F.max(amt).alias("_max"),
-        F.stddev_samp(_amount(cfg).cast("double")).alias("_std"),
-        (F.countDistinct(c.merchant) if exact_distinct else F.approx_count_distinct(c.merchant))
-        .alias("unique_merchants"),
+        F.stddev_samp(_amount(amt, cfg)).alias("_std"),
     ]
     if c.online:
         on = F.col(c.online).cast("int")
         aggs += [F.sum(on).alias("_on_sum"), F.count(on).alias("_on_cnt")]
     cat = F.col(c.category)
-    for name, v in zip(pivot_names(cfg.category_prefix, cfg.categories), cfg.categories):
-        aggs.append(F.sum(F.when(cat.cast("string") == F.lit(str(v)), amt)).alias("_" + name))
-    aggs.append(F.count(cat).alias("_cat_rows"))
+    aggs += [F.sum(F.when(cat.cast("string") == F.lit(str(v)), amt)).alias(f"_c{i}") for i, v in enumerate(cfg.categories)]
+    aggs.append(F.count(cat).alias("_cats"))
+    if check_values:
+        aggs.append(_unlisted(cat, cfg.categories).alias("_new_cat"))
     if c.payment and cfg.payments:
         pay = F.col(c.payment)
-        for name, v in zip(pivot_names(cfg.payment_prefix, cfg.payments), cfg.payments):
-            aggs.append(F.count(F.when(pay.cast("string") == F.lit(str(v)), amt)).alias(name))
-        aggs.append(F.count(pay).alias("_pay_rows"))
+        aggs += [F.count(F.when(pay.cast("string") == F.lit(str(v)), amt)).alias(f"_p{i}") for i, v in enumerate(cfg.payments)]
+        aggs.append(F.count(pay).alias("_pays"))
+        if check_values:
+            aggs.append(_unlisted(pay, cfg.payments).alias("_new_pay"))
     return aggs
 
 
-def period_features(txns: DataFrame, cfg: FeatureConfig, exact_distinct: bool = True) -> DataFrame:
+def period_features(txns: DataFrame, cfg: FeatureConfig, check_values: bool = True) -> DataFrame:
     """One row per (entity, period_idx).
 
-    Columns: entity, period_idx, the ten core features, one ``cat_<v>`` spend
-    column per category (0 when none), ``category_diversity`` (number of
-    categories with spend > 0), one ``pay_<v>`` count per payment method.
-    ``cfg`` must have resolved pivot values (see :func:`resolve_values`)."""
+    Columns: entity, period_idx, the ten core features (``online_ratio`` still
+    NULL where no row of the period has the flag: differences are taken before
+    NULLs become 0), one ``cat_<v>`` spend column per category (0 when none),
+    ``category_diversity`` (number of categories with spend > 0), one
+    ``pay_<v>`` count per payment method.  ``cfg`` must have resolved pivot
+    values (see :func:`resolve_values`); with ``check_values`` a value that
+    they do not list fails the job instead of getting lost."""
     if cfg.categories is None or cfg.payments is None:
         raise ValueError("resolve pivot values first (resolve_values)")
     c = cfg.cols
-    g = with_period(txns, cfg).groupBy(c.entity, "period_idx").agg(*feature_aggregates(cfg, exact_distinct))
+    rows = with_period(txns, cfg)
+    keys = [c.entity, "period_idx"]
+    g = (rows.withColumn("_units", amount_units(rows, cfg)).groupBy(*keys)
+         .agg(*feature_aggregates(rows, cfg, check_values)))
+    merchants = (rows.where(F.col(c.merchant).isNotNull()).select(*keys, c.merchant).distinct()
+                 .groupBy(*keys).agg(F.count(F.lit(1)).alias("_merchants")))
+    g = g.join(merchants, keys, "left")
+    keep = F.lit(True)
     if cfg.require_pivot_rows:
-        keep = F.col("_cat_rows") > 0
+        keep = F.col("_cats") > 0
         if c.payment and cfg.payments:
-            keep = keep & (F.col("_pay_rows") > 0)
-        g = g.where(keep)
-    total = F.coalesce(_from_cents(F.col("_sum")), F.lit(0.0))
-    zero = F.lit(0.0)
-    cat_names = pivot_names(cfg.category_prefix, cfg.categories)
-    cat_cols = [F.coalesce(_from_cents(F.col("_" + n)), zero).alias(n) for n in cat_names]
+            keep = keep & (F.col("_pays") > 0)
+    for new in [x for x in ("_new_cat", "_new_pay") if x in g.columns]:
+        keep = F.when(F.col(new).isNotNull(), F.raise_error(F.concat(
+            F.lit("value outside the configured pivot lists: "), F.col(new))).cast("boolean")).otherwise(keep)
+    g = g.where(keep)
+    money = lambda name: F.coalesce(_amount(F.col(name), cfg), F.lit(0.0))
+    total, zero = money("_sum"), F.lit(0.0)
     out = [
         F.col(c.entity), F.col("period_idx"),
         total.alias("total_spent"),
         F.col("txn_count"),
         F.coalesce(safe_div(total, F.col("txn_count")), zero).alias("avg_spent"),
-        F.coalesce(_from_cents(F.col("_min")), zero).alias("min_spent"),
-        F.coalesce(_from_cents(F.col("_max")), zero).alias("max_spent"),
+        money("_min").alias("min_spent"),
+        money("_max").alias("max_spent"),
         F.coalesce(F.nanvl(F.col("_std"), F.lit(None).cast("double")), zero).alias("spend_std_dev"),
     ]
     if c.online:
-        out.append(F.coalesce(safe_div(F.col("_on_sum").cast("double"), F.col("_on_cnt")), zero)
-                   .alias("online_ratio"))
+        out.append(safe_div(F.col("_on_sum").cast("double"), F.col("_on_cnt")).alias("online_ratio"))
     out += [
-        F.col("unique_merchants").cast("long").alias("unique_merchants"),
+        F.coalesce(F.col("_merchants"), F.lit(0)).cast("long").alias("unique_merchants"),
         F.coalesce(safe_div(total, F.col("txn_count")), zero).alias("avg_spend_per_txn"),
-        F.coalesce(safe_div(F.coalesce(_from_cents(F.col("_max")), zero), total), zero).alias("max_txn_ratio"),
+        F.coalesce(safe_div(money("_max"), total), zero).alias("max_txn_ratio"),
     ]
-    out += cat_cols
-    out.append(row_sum([(F.coalesce(F.col("_" + n), F.lit(0)) > 0).cast("long") for n in cat_names])
+    out += [money(f"_c{i}").alias(n) for i, n in enumerate(category_columns(cfg))]
+    out.append(row_sum([(F.coalesce(F.col(f"_c{i}"), F.lit(0)) > 0).cast("long") for i in range(len(cfg.categories))])
                .alias("category_diversity"))
-    if c.payment and cfg.payments:
-        out += [F.col(n) for n in pivot_names(cfg.payment_prefix, cfg.payments)]
+    out += [F.col(f"_p{i}").alias(n) for i, n in enumerate(payment_columns(cfg))]
     return g.select(*out)
 
 
+def period_category_spend(txns: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    """A9 in long form: (entity, period_idx, category, spend), for any number
+    of categories.  Top category and diversity need no wide columns:
+    ``labels.top_category_long`` and :func:`category_diversity`."""
+    c = cfg.cols
+    rows = with_period(txns, cfg).where(F.col(c.category).isNotNull())
+    return (rows.withColumn("_units", amount_units(rows, cfg))
+            .groupBy(c.entity, "period_idx", F.col(c.category).cast("string").alias("category"))
+            .agg(F.coalesce(_amount(F.sum("_units"), cfg), F.lit(0.0)).alias("spend")))
+
+
+def category_diversity(spend: DataFrame, keys: list[str]) -> DataFrame:
+    """A11 from the long form: categories with spend above 0 per key."""
+    return spend.groupBy(*keys).agg(F.count(F.when(F.col("spend") > 0, 1)).alias("category_diversity"))
+
+
 def core_columns(cfg: FeatureConfig) -> list[str]:
     return [x for x in CORE_COLUMNS if cfg.cols.online or x != "online_ratio"]
 
@@ -191,7 +208,7 @@ def category_columns(cfg: FeatureConfig) -> list[str]:
 
 
 def payment_columns(cfg: FeatureConfig) -> list[str]:
-    return pivot_names(cfg.payment_prefix, cfg.payments) if cfg.cols.payment else []
+    return pivot_names(cfg.payment_prefix, cfg.payments) if cfg.cols.payment and cfg.payments else []
 
 
 def with_label(df: DataFrame, cfg: FeatureConfig, keep_index: bool = False) -> DataFrame:

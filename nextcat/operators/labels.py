@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import q
 from ..functions.periods import parse_period
+from .trends import numbered
 
 
 def top_category(spend_cols: list[str], names: list[str]) -> Column:
@@ -37,14 +38,12 @@ def top_category_long(long_df: DataFrame, keys: list[str], category: str = "cate
                    .select(*keys, F.col(category).alias("top_category")))
 
 
-def next_period_labels(df: DataFrame, entity: str, idx: str, top: str = "top_category",
-                       require_adjacent: bool = False) -> DataFrame:
-    """W3 + W4: label of row t = top category of the entity's next observed
-    row, and that row's index (``label_idx``).  With ``require_adjacent`` the
-    next row must be the calendar-adjacent period (else no label).  The label
-    column is computed once per row and then shifted with ``lead`` — the
-    reference shifts every category column and re-joins; here it is one
-    window over (entity ordered by index)."""
+def label_columns(entity: str, idx: str, top: str = "top_category", require_adjacent: bool = False) -> list[Column]:
+    """W3 + W4: ``label_idx`` and ``target_category`` of row t = index and top
+    category of the entity's next observed row.  With ``require_adjacent`` the
+    next row must be the calendar-adjacent period (else no label).  The top
+    category is computed once per row and shifted with ``lead``; selected
+    together with other functions of the same window they share its node."""
     w = Window.partitionBy(entity).orderBy(idx)
     nxt_idx = F.lead(idx, 1).over(w)
     nxt_top = F.lead(top, 1).over(w)
@@ -52,7 +51,13 @@ def next_period_labels(df: DataFrame, entity: str, idx: str, top: str = "top_cat
         ok = nxt_idx == F.col(idx) + 1
         nxt_top = F.when(ok, nxt_top)
         nxt_idx = F.when(ok, nxt_idx)
-    return df.withColumn("label_idx", nxt_idx).withColumn("target_category", nxt_top)
+    return [nxt_idx.alias("label_idx"), nxt_top.alias("target_category")]
+
+
+def next_period_labels(df: DataFrame, entity: str, idx: str, top: str = "top_category",
+                       require_adjacent: bool = False) -> DataFrame:
+    """:func:`label_columns` appended to ``df``."""
+    return df.select("*", *label_columns(entity, idx, top, require_adjacent))
 
 
 def drop_unlabelled(df: DataFrame) -> DataFrame:
@@ -76,15 +81,15 @@ def class_name(index_col: str, categories) -> Column:
 
 def category_index(txns: DataFrame, category: str = "category") -> DataFrame:
     """E9 + M1 as a relation: sorted distinct categories with their class
-    index.  The global ordering runs over the distinct values only."""
+    index, numbered over sorted ranges of the distinct values."""
     d = txns.select(category).where(F.col(category).isNotNull()).distinct()
-    return d.select(category, (F.row_number().over(Window.orderBy(category)) - 1).cast("int").alias("class_index"))
+    return numbered(d, category).select(category, (F.col("_n") - 1).cast("int").alias("class_index"))
 
 
 def normalize_periods(df: DataFrame, period: str = "period", unit: str = "month",
                       out: str = "period_start") -> DataFrame:
-    """Lazily parse the period text to the period start date (NULL when
-    unparseable).  Use :func:`check_periods` to raise on bad values."""
+    """The period text parsed to the period start date (NULL when it does
+    not parse).  ``periods.checked_period`` fails the job on such a value."""
     return df.withColumn(out, parse_period(period, unit))
 
 
@@ -95,8 +100,7 @@ def invalid_periods(df: DataFrame, period: str = "period", unit: str = "month",
 
 
 def check_periods(df: DataFrame, period: str = "period", unit: str = "month") -> None:
-    """E2 guard: raise with up to five examples if any value does not parse
-    (one small job: a filtered, limited distinct)."""
+    """E2 guard as a job of its own: raise with up to five examples."""
     bad = [r[0] for r in invalid_periods(df, period, unit).collect()]
     if bad:
-        raise ValueError(f"Found non-parseable period values (examples): {bad}")
+        raise ValueError(f"these are no periods of unit {unit}: {bad}")

@@ -14,20 +14,27 @@ def feature_array(cols: list[str]) -> Column:
     return F.array(*[F.col(q(c)).cast("double") for c in cols])
 
 
-def trailing_sequences(df: DataFrame, entity: str, idx: str, feature_cols: list[str],
-                       seq_len: int, out: str = "seq") -> DataFrame:
-    """For every row, the feature vectors of the ``seq_len`` periods
-    ending at it, oldest first, as ``array<array<double>>`` — or NULL when any
-    of those calendar periods is missing (E15).
-
-    A RANGE frame over the integer period index covers exactly the calendar
-    periods [t-(L-1), t]; with one row per (entity, period) the frame holds L
-    rows iff the history is complete.  The frame is bounded (L rows), so the
-    window streams through each entity's rows without buffering them."""
+def trailing_steps(entity: str, idx: str, feature_cols: list[str], seq_len: int) -> Column:
+    """The rows of the ``seq_len`` periods ending at a row, as (index, features)
+    structs.  A RANGE frame over the integer period index covers exactly the
+    calendar periods [t-(L-1), t]; the window holds one entity's rows, which are
+    at most one per period."""
     w = Window.partitionBy(entity).orderBy(idx).rangeBetween(-(seq_len - 1), 0)
-    steps = F.collect_list(F.struct(F.col(idx).alias("i"), feature_array(feature_cols).alias("x"))).over(w)
-    ordered = F.array_sort(steps)
-    return df.withColumn(out, F.when(F.size(steps) == seq_len, F.transform(ordered, lambda s: s["x"])))
+    return F.collect_list(F.struct(F.col(idx).alias("i"), feature_array(feature_cols).alias("x"))).over(w)
+
+
+def complete_sequence(steps: str, seq_len: int) -> Column:
+    """The feature vectors of a step list, oldest first, as
+    ``array<array<double>>`` — NULL when any of the periods is missing."""
+    return F.when(F.size(steps) == seq_len, F.transform(F.sort_array(steps), lambda s: s["x"]))
+
+
+def trailing_sequences(df: DataFrame, entity: str, idx: str, feature_cols: list[str],
+                       seq_len: int, out: str = "seq", extra: list[Column] | None = None) -> DataFrame:
+    """W5 + E15 on every row.  ``extra``: more columns of the same window, which
+    are computed in the same node."""
+    with_steps = df.select("*", *(extra or []), trailing_steps(entity, idx, feature_cols, seq_len).alias("_steps"))
+    return with_steps.withColumn(out, complete_sequence("_steps", seq_len)).drop("_steps")
 
 
 def sequences_by_self_join(df: DataFrame, entity: str, idx: str, feature_cols: list[str],

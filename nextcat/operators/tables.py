@@ -9,22 +9,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ..functions.columns import q
-from ..functions.periods import parse_period, period_index
+from ..functions.columns import not_nan, q
+from ..functions.periods import checked_period, parse_period, period_index
 
+# The name parts by which users of the feature tables tell averaged columns.
 MEAN_MARKERS = ("ratio", "avg", "std", "change")
 
 
 def merge_tables(tables: list[DataFrame], keys=("customer_id", "period")) -> DataFrame:
-    """Inner equi-join of feature tables on the keys (1:1 on unique keys).
+    """Inner merge of feature tables, each unique on the keys, on these.
 
-    Each join shuffles both sides on the keys; tables written bucketed or read
-    already hash-partitioned on the keys join without further exchanges."""
-    for t in tables:
-        missing = [k for k in keys if k not in t.columns]
-        if missing:
-            raise ValueError(f"All feature tables must contain {list(keys)}; missing {missing}")
-    return reduce(lambda a, b: a.join(b, list(keys), "inner"), tables)
+    One union and one aggregate, so all tables meet in a single shuffle however
+    many there are.  A key that a table lacks, or that is NULL, drops out; one
+    that a table has twice fails the job (a merge would multiply its rows)."""
+    keys = list(keys)
+    for n, t in enumerate(tables, 1):
+        lacking = [k for k in keys if k not in t.columns]
+        if lacking:
+            raise ValueError(f"table {n} of {len(tables)} lacks the key columns {lacking}")
+    values = [c for t in tables for c in t.columns if c not in keys]
+    if len({c.lower() for c in values}) != len(values):
+        raise ValueError("a value column is in more than one table")
+    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+        t.select(*keys, *[q(c) for c in t.columns if c not in keys], F.lit(n).alias("_table")) for n, t in enumerate(tables)])
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    seen = [F.count(F.when(F.col("_table") == n, 1)).alias(f"_n{n}") for n in range(len(tables))]
+    merged = united.where(known).groupBy(*keys).agg(*[F.any_value(q(c), F.lit(True)).alias(c) for c in values], *seen)
+    counts = [F.col(f"_n{n}") for n in range(len(tables))]
+    twice = reduce(lambda a, b: a | b, [c > 1 for c in counts])
+    every = reduce(lambda a, b: a & b, [c == 1 for c in counts])
+    return merged.where(F.when(twice, F.raise_error(F.concat_ws(
+        " ", F.lit("repeated key:"), *[F.col(k).cast("string") for k in keys])).cast("boolean")).otherwise(every)).select(*keys, *[q(c) for c in values])
 
 
 def validate_keys(df: DataFrame, keys=("customer_id", "period")) -> DataFrame:
@@ -58,27 +73,25 @@ def rollup_rule(columns: list[str], explicit: dict[str, str] | None = None) -> d
 
 
 def monthly_rollup(df: DataFrame, entity: str = "customer_id", period: str = "period",
-                   unit: str = "month", explicit: dict[str, str] | None = None,
-                   pre_partitioned: bool = False) -> DataFrame:
+                   unit: str = "month", explicit: dict[str, str] | None = None, strict: bool = False) -> DataFrame:
     """Re-aggregate feature rows to one row per (entity, period).
 
     The period text is parsed (E2) and truncated to ``unit``; numeric columns
     are summed or averaged by :func:`rollup_rule`; non-numeric columns are
-    dropped.  Output: entity, ``period_start`` (DATE), ``period_idx``, then
-    summed columns in sorted order, then averaged ones in sorted order.  On
-    input that is already unique per (entity, period) this is the identity.
-
-    ``pre_partitioned`` hash-partitions by entity first, so the aggregate and
-    any entity-window that follows share one exchange (feature rows are at
-    most one per entity and period, so an entity cannot be a hot key here)."""
+    dropped, and so are rows with a NULL entity or period, or with a text that
+    is no period (``strict``: that fails the job).  NULL and NaN are
+    skipped: a sum of none is 0, a mean of none NULL.  Output: entity,
+    ``period_start`` (DATE), ``period_idx``, then summed columns in sorted
+    order, then averaged ones in sorted order.  On input that is already unique
+    per (entity, period) this is the identity."""
     num = [f.name for f in df.schema.fields
            if isinstance(f.dataType, NumericType) and f.name not in (entity, period, "period_idx")]
     rule = rollup_rule(num, explicit)
     sums = sorted(c for c, r in rule.items() if r == "sum")
     means = sorted(c for c, r in rule.items() if r == "mean")
-    src = df.withColumn("period_start", parse_period(period, unit))
-    if pre_partitioned:
-        src = src.repartition(entity)
-    aggs = [F.sum(q(c)).alias(c) for c in sums] + [F.avg(q(c)).alias(c) for c in means]
+    src = df.where(F.col(entity).isNotNull() & F.col(period).isNotNull())
+    src = src.withColumn("period_start", checked_period(period, unit) if strict else parse_period(period, unit))
+    aggs = [F.coalesce(F.sum(not_nan(df, c)), F.lit(0)).alias(c) for c in sums] + [F.avg(not_nan(df, c)).alias(c) for c in means]
     g = src.groupBy(entity, "period_start").agg(*aggs)
-    return g.select(entity, "period_start", period_index("period_start", unit).alias("period_idx"), *sums, *means)
+    g = g.where(F.col("period_start").isNotNull())  # on aggregated rows: the text is parsed once per row
+    return g.select(entity, "period_start", period_index("period_start", unit).alias("period_idx"), *[q(c) for c in sums + means])

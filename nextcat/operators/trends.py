@@ -1,8 +1,9 @@
 """Window operators over an entity's ordered rows.
 
-All of them partition by entity and order by the period index (or time), so
-the window input is one shuffle by entity; several functions over the same
-specification share one Window node and one sort."""
+Those over aggregated rows partition by entity and order by the period index:
+one shuffle by entity, and functions over the same specification share one
+Window node and one sort.  Those over raw rows (balance, numbering) range-sort
+all rows first, so the rows of one entity lie over as many tasks as they need."""
 
 from __future__ import annotations
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import FeatureConfig
+from ..session import cut
 
 TREND_COLUMNS = ("prev_total_spent", "prev_txn_count", "prev_online_ratio")
 GROWTH_COLUMNS = ("spend_growth", "txn_growth", "online_ratio_change")
@@ -18,7 +20,7 @@ GROWTH_COLUMNS = ("spend_growth", "txn_growth", "online_ratio_change")
 def trend_growth(features: DataFrame, cfg: FeatureConfig) -> DataFrame:
     """W1 + W2: previous *observed* period's total / count / online ratio and
     the differences to it (Q5: a gap is skipped, not filled); 0 in an entity's
-    first period (Q8)."""
+    first period (Q8), and where one of two online ratios is NULL."""
     c = cfg.cols
     w = Window.partitionBy(c.entity).orderBy("period_idx")
     pairs = [("total_spent", "prev_total_spent", "spend_growth", 0.0),
@@ -55,52 +57,59 @@ def period_gaps(df: DataFrame, entity: str = "customer_id", idx: str = "period_i
                       (F.col(idx) - F.col("_prev") - 1).alias("missing")))
 
 
-def _bucket_offsets(df: DataFrame, entity: str, bucket: str, measure) -> DataFrame:
-    """Per (entity, bucket): the measure summed over all *earlier* buckets of
-    the entity.  Runs on aggregated rows (one per entity and bucket), so the
-    window by entity sees at most one row per bucket however hot the entity."""
-    per = df.groupBy(entity, bucket).agg(measure.alias("_m"))
-    w = (Window.partitionBy(entity).orderBy(bucket)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    return per.select(entity, bucket, F.coalesce(F.sum("_m").over(w), F.lit(0)).alias("_offset"))
+def range_sorted(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` in global order: (..., _part, _at), where _part numbers the range
+    and _at the rows within it.  NULLs sort first and stay.  Written to the
+    checkpoint folder, because ranges are sampled and must not change between
+    the sums over them and the rows."""
+    s = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    row = F.monotonically_increasing_id()  # range number in the upper bits, row number in the lower 33
+    return cut(s.select("*", F.shiftright(row, 33).cast("int").alias("_part"), row.bitwiseAND((1 << 33) - 1).alias("_at")))
 
 
 def running_balance(ledger: DataFrame, entity: str = "customer_id", ts: str = "timestamp",
                     tiebreak: str = "order_key", amount: str = "amount",
-                    opening: str = "opening_balance", bucket_unit: str = "day") -> DataFrame:
+                    opening: str = "opening_balance") -> DataFrame:
     """Balance after each transaction = opening balance minus the running
-    sum of amounts in (time, tie-break) order, exact in DECIMAL.
-
-    Skew-safe two-level prefix sum: rows are split into (entity, day) buckets,
-    the sums of earlier buckets come from a small per-bucket aggregate, and
-    the running sum inside a bucket is a window over (entity, bucket).  No
-    task ever holds all rows of one entity."""
-    b = ledger.withColumn("_bucket", F.date_trunc(bucket_unit, F.col(ts)))
-    offs = _bucket_offsets(b, entity, "_bucket", F.sum(amount))
-    w = (Window.partitionBy(entity, "_bucket").orderBy(ts, tiebreak)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (b.join(offs, [entity, "_bucket"])
-             .withColumn("balance", F.col(opening) - (F.col("_offset") + F.sum(amount).over(w)))
-             .drop("_bucket", "_offset"))
+    sum of amounts in (time, tie-break) order, exact in DECIMAL.  A NULL amount
+    counts 0; rows with a NULL time come first; a NULL entity is an entity.
+
+    Two-level prefix sum: rows are range-sorted by (entity, time, tie-break),
+    summed within their range, and an entity that began in earlier ranges gets
+    their sums added — only the first entity of a range can, so there are fewer
+    such sums than ranges and they are broadcast."""
+    rows = range_sorted(ledger, entity, ts, tiebreak)
+    spent = F.coalesce(F.col(amount), F.lit(0))
+    per = rows.groupBy(entity, "_part").agg(F.sum(spent).alias("_sum"))
+    earlier = Window.partitionBy(entity).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (per.select(F.col(entity).alias("_entity"), F.col("_part").alias("_range"), F.sum("_sum").over(earlier).alias("_before"))
+               .where(F.col("_before").isNotNull()))
+    inside = Window.partitionBy(entity, "_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (rows.join(F.broadcast(offsets), F.col(entity).eqNullSafe(F.col("_entity")) & (F.col("_part") == F.col("_range")), "left")
+            .withColumn("balance", F.col(opening) - (F.coalesce(F.col("_before"), F.lit(0)) + F.sum(spent).over(inside)))
+            .select(*ledger.columns, "balance"))
+
+
+def numbered(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` with ``_n``: 1, 2, 3 … in the given order over the whole table.
+    No window: a row's number is its place in its sorted range plus the rows of
+    the ranges before, a broadcast of one number per range."""
+    rows = range_sorted(df, *order)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    offsets = (rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+               .select(F.col("_part").alias("_range"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")))
+    return (rows.join(F.broadcast(offsets), F.col("_part") == F.col("_range"))
+            .select(*df.columns, (F.col("_before") + F.col("_at") + 1).alias("_n")))
 
 
 def number_transactions(txns: DataFrame, entity: str = "customer_id", order=("timestamp",),
-                        prefix: str = "T", name: str = "transaction_id",
-                        bucket_unit: str = "day") -> DataFrame:
-    """``T<n>`` ids, increasing in time order *within each entity* (a
-    global sequence would need one task to see every row).  Same two-level
-    plan as :func:`running_balance`: row count of earlier (entity, day)
-    buckets + ``row_number`` inside the bucket.  ``order[0]`` must be the
-    timestamp; ties in ``order`` must be broken by the caller (append a unique
-    column) for a deterministic numbering."""
-    ts = order[0]
-    b = txns.withColumn("_bucket", F.date_trunc(bucket_unit, F.col(ts)))
-    offs = _bucket_offsets(b, entity, "_bucket", F.count(F.lit(1)))
-    w = Window.partitionBy(entity, "_bucket").orderBy(*order)
-    n = F.col("_offset") + F.row_number().over(w)
-    return (b.join(offs, [entity, "_bucket"])
-             .withColumn(name, F.concat(F.lit(prefix), n.cast("string")))
-             .drop("_bucket", "_offset"))
+                        prefix: str = "T", name: str = "transaction_id") -> DataFrame:
+    """``T<n>`` ids, unique in the table and increasing in time order within
+    each entity, entity by entity.  Ties in ``order`` must be broken by the
+    caller (append a unique column) for a deterministic numbering; rows with
+    NULLs are numbered too, NULL first."""
+    return (numbered(txns, entity, *order)
+            .withColumn(name, F.concat(F.lit(prefix), F.col("_n").cast("string"))).drop("_n"))
 
 
 def calendar_spine(df: DataFrame, entity: str = "customer_id", idx: str = "period_idx",

@@ -9,8 +9,7 @@ from __future__ import annotations
 from .functions.columns import pivot_names
 from .sources.fixtures import EVENT_TXN_SQL, TPCH_TXN_SQL
 
-# The value domains of the generated test tables (not of the
-# reference).  p_type, o_orderpriority and event_type, in sorted order.
+# The value domains of the generated test tables.  p_type, o_orderpriority and event_type, in sorted order.
 TPCH_CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 TPCH_PAYMENTS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -68,7 +67,7 @@ def feature_store_sql(txn_sql: str = TPCH_TXN_SQL, cats=TPCH_CATEGORIES, pays=TP
                        for v, n in zip(pays, pay_names))
     having = "COUNT(category) > 0" + (" AND COUNT(payment_method) > 0" if pays else "")
     online_aggs = ",\n    SUM(is_online) AS on_sum, COUNT(is_online) AS on_cnt" if online else ""
-    online_col = ("    COALESCE(CAST(on_sum AS DOUBLE) / NULLIF(on_cnt, 0), 0) AS online_ratio,\n"
+    online_col = ("    CAST(on_sum AS DOUBLE) / NULLIF(on_cnt, 0) AS online_ratio,\n"
                   if online else "")
     cat_cols = ",\n".join(f"    COALESCE(CAST({ident('_' + n)} AS DOUBLE), 0) AS {ident(n)}" for n in cat_names)
     diversity = " + ".join(f"CASE WHEN COALESCE({ident('_' + n)}, 0) > 0 THEN 1 ELSE 0 END" for n in cat_names)
@@ -76,6 +75,8 @@ def feature_store_sql(txn_sql: str = TPCH_TXN_SQL, cats=TPCH_CATEGORIES, pays=TP
     lag_online = (",\n  COALESCE(LAG(online_ratio) OVER w, 0) AS prev_online_ratio" if online else "")
     chg_online = (",\n  COALESCE(online_ratio - LAG(online_ratio) OVER w, 0) AS online_ratio_change"
                   if online else "")
+    # differences are taken before NULLs become 0
+    online_filled = " REPLACE (COALESCE(online_ratio, 0) AS online_ratio)" if online else ""
     return f"""
 WITH txn AS ({txn_sql}),
 b AS (
@@ -107,7 +108,7 @@ f AS (
   FROM g
 ),
 fs AS (
-  SELECT f.*,
+  SELECT f.*{online_filled},
   COALESCE(LAG(total_spent) OVER w, 0) AS prev_total_spent,
   COALESCE(LAG(txn_count) OVER w, 0) AS prev_txn_count{lag_online},
   COALESCE(total_spent - LAG(total_spent) OVER w, 0) AS spend_growth,
@@ -123,7 +124,7 @@ def select_from_fs(cols, round_cols=("spend_std_dev",), cte: str | None = None,
     out = []
     for c in cols:
         out.append(f"round({ident(c)}, {digits}) AS {ident(c)}" if c in round_cols else ident(c))
-    return (cte or feature_store_sql()) + "\nSELECT customer_id, period, " + ", ".join(out) + " FROM fs"
+    return (feature_store_sql() if cte is None else cte) + "\nSELECT customer_id, period, " + ", ".join(out) + " FROM fs"
 
 
 __all__ = ["TPCH_CATEGORIES", "TPCH_PAYMENTS", "EVENT_TYPES", "TPCH_TXN_SQL", "EVENT_TXN_SQL",

@@ -11,16 +11,16 @@ from ..operators.features import (category_columns, core_columns, payment_column
                                   period_features, resolve_values, with_label)
 from ..operators.trends import growth_columns, trend_columns, trend_growth
 
-KEYS = ("customer_id", "period")
-
-
-def build_feature_store(txns: DataFrame, cfg: FeatureConfig, keep_index: bool = False,
-                        exact_distinct: bool = True) -> tuple[DataFrame, FeatureConfig]:
+def build_feature_store(txns: DataFrame, cfg: FeatureConfig,
+                        keep_index: bool = False) -> tuple[DataFrame, FeatureConfig]:
     """One aggregate + one window pass.  Returns the combined table (entity,
     period, core, category spends, category_diversity, payment counts,
-    prev_*, growth) and the config with its pivot values fixed."""
+    prev_*, growth) and the config with its pivot values fixed: keep it with the
+    table, since passing it again saves the discovery job and checks the data
+    against it in the same pass."""
+    listed = cfg.categories is not None and cfg.payments is not None
     cfg = resolve_values(txns, cfg)
-    f = period_features(txns, cfg, exact_distinct=exact_distinct)
+    f = period_features(txns, cfg, check_values=listed)
     f = fill_zero(trend_growth(f, cfg), exclude=(cfg.cols.entity, "period_idx"))
     return with_label(f, cfg, keep_index=keep_index), cfg
 

@@ -1,10 +1,10 @@
 """L2: feature rows → labelled, calendar-contiguous sequences with a split.
 
-Plan: (optional) period check → roll-up to one row per (entity, period),
-hash-partitioned by entity once → top category per row → one Window node
-(lead for the label, a bounded RANGE frame for the sequence) → split column.
-Feature rows are at most one per entity and period, so partitioning by entity
-cannot concentrate a large share of the data in one task."""
+Plan: period check inside the scan → roll-up to one row per (entity, period)
+→ top category per row → one Window node (lead for the label, a bounded RANGE
+frame for the sequence) → split column.  Rolled-up rows are at most one per
+entity and period, so partitioning them by entity cannot concentrate a large
+share of the data in one task."""
 
 from __future__ import annotations
 
@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FeatureConfig, SequenceConfig, SplitConfig
+from ..functions.columns import fill_zero
 from ..functions.periods import index_start, period_label
 from ..operators.features import category_columns, payment_columns
-from ..operators.labels import check_periods, class_index, next_period_labels, top_category
+from ..operators.labels import class_index, label_columns, top_category
 from ..operators.sequences import assign_split, trailing_sequences
 from ..operators.tables import monthly_rollup
 
@@ -22,13 +23,12 @@ ID_COLUMNS = ("period_start", "period_idx")
 
 
 def rolled_features(features: DataFrame, fcfg: FeatureConfig, strict: bool = True) -> DataFrame:
-    """E2 + A12: normalise periods and re-aggregate (pivot columns summed)."""
+    """E2 + A12: normalise periods and re-aggregate (pivot columns summed).  A
+    mean of no value is 0, as everywhere in the feature tables.  ``strict``: a
+    text that is no period fails the job; otherwise its rows drop out."""
     ent, unit = fcfg.cols.entity, fcfg.period_unit
-    if strict:
-        check_periods(features, "period", unit)
     explicit = {c: "sum" for c in category_columns(fcfg) + payment_columns(fcfg) if c in features.columns}
-    m = monthly_rollup(features, ent, "period", unit, explicit=explicit, pre_partitioned=True)
-    return m.where(F.col("period_start").isNotNull())
+    return fill_zero(monthly_rollup(features, ent, "period", unit, explicit, strict), exclude=(ent, *ID_COLUMNS))
 
 
 def feature_columns(rolled: DataFrame, fcfg: FeatureConfig) -> list[str]:
@@ -43,8 +43,8 @@ def labelled(rolled: DataFrame, fcfg: FeatureConfig, scfg: SequenceConfig,
     ent = fcfg.cols.entity
     feature_cols = feature_cols or feature_columns(rolled, fcfg)
     m = rolled.withColumn("top_category", top_category(category_columns(fcfg), list(fcfg.categories)))
-    m = next_period_labels(m, ent, "period_idx", "top_category", scfg.require_adjacent)
-    return trailing_sequences(m, ent, "period_idx", feature_cols, scfg.seq_len)
+    label = label_columns(ent, "period_idx", "top_category", scfg.require_adjacent)
+    return trailing_sequences(m, ent, "period_idx", feature_cols, scfg.seq_len, extra=label)
 
 
 def supervised_sequences(features: DataFrame, fcfg: FeatureConfig, scfg: SequenceConfig,

@@ -2,15 +2,16 @@
 
 Jobs that write intermediate tables (round-trip queries, lineage cuts before
 iterative training) put them under ``spark.checkpoint.dir`` — on a cluster that
-is the shared folder the deployment names.  Only when the session has none
-(unit tests, a bare local run) do we create one."""
+is the shared folder the deployment names.  Only a session on one machine
+(unit tests, a bare local run) that names none gets a folder of its own."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -27,6 +28,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -35,19 +37,26 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if _one_machine(spark):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
+def _one_machine(spark: SparkSession) -> bool:
+    return re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is not None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, creating a local one only
-    when the session does not name any."""
+    """The session's checkpoint directory.  A local one is made only where all
+    executors share this machine; elsewhere a missing setting is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not _one_machine(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="nextcat-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -57,3 +66,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint directory and read from there:
+    later jobs neither recompute it nor depend on live executors."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

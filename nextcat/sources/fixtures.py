@@ -1,7 +1,6 @@
 """Transaction-shaped views over the generated TPC-H-like test tables.
 
-These are the inputs every registered query runs on (the reference ships only
-a random generator).  Each view keeps exactly the columns the feature
+These are the inputs every registered query runs on.  Each view keeps exactly the columns the feature
 operators need, so Catalyst prunes the Parquet scans to those columns; joins
 are plain equi-joins and the planner picks the strategy from (runtime) sizes —
 no hint forces a broadcast of a table whose size grows with the data.
@@ -67,6 +66,34 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """
 
 
+def sparse_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sparse_txn``: the same rows with NULLs: no online flag in every third
+    month, no amount on every seventh line of an order, no category on every
+    fifth, no customer for every hundredth order."""
+    t = tpch_transactions(spark, sf_dir)
+    month = F.year("timestamp") * 12 + F.month("timestamp") - 1
+    null = F.lit(None)
+    return t.select(
+        F.when(F.col("order_key") % 100 == 0, null).otherwise(F.col("customer_id")).alias("customer_id"),
+        "order_key", "line_number", "timestamp",
+        F.when((F.col("order_key") + F.col("line_number")) % 7 == 0, null).otherwise(F.col("amount")).alias("amount"),
+        F.when((F.col("order_key") + F.col("line_number")) % 5 == 0, null).otherwise(F.col("category")).alias("category"),
+        "merchant_id", "payment_method", "device",
+        F.when(month % 3 == 0, null).otherwise(F.col("is_online")).alias("is_online"))
+
+
+SPARSE_TXN_SQL = """
+SELECT CASE WHEN l.l_orderkey % 100 = 0 THEN NULL ELSE o.o_custkey END AS customer_id, l.l_shipdate AS "timestamp",
+       CASE WHEN (l.l_orderkey + l.l_linenumber) % 7 = 0 THEN NULL ELSE CAST(l.l_extendedprice AS DECIMAL(18,2)) END AS amount,
+       CASE WHEN (l.l_orderkey + l.l_linenumber) % 5 = 0 THEN NULL ELSE p.p_type END AS category,
+       l.l_suppkey AS merchant_id, o.o_orderpriority AS payment_method, l.l_returnflag AS device,
+       CASE WHEN (year(l.l_shipdate) * 12 + month(l.l_shipdate) - 1) % 3 = 0 THEN NULL
+            WHEN l.l_linestatus = 'O' THEN 1 ELSE 0 END AS is_online
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+                JOIN part p ON l.l_partkey = p.p_partkey
+"""
+
+
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_txn``: events as daily transactions (no payment method, no
     online flag).  merchant_id is the JSON field ``k`` of ``props``."""

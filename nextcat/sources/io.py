@@ -4,15 +4,11 @@ and period-scoped overwrite (S8) and the prediction CSV (S9)."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DecimalType, IntegerType, StringType, StructField, StructType)
 
-from ..config import FeatureConfig
-
-# Raw transaction layout written by the reference's generator.
+# Column names and order of a raw transaction file.
 TXN_CSV_SCHEMA = StructType([
     StructField("customer_id", StringType()),
     StructField("transaction_id", StringType()),
@@ -28,8 +24,23 @@ TXN_CSV_SCHEMA = StructType([
 ])
 
 
-def _is_local(path: str) -> bool:
-    return "://" not in path and not path.startswith("file:")
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
+
+
+def is_directory(spark: SparkSession, path: str) -> bool:
+    """Whether the path is a directory in its own file system (the session's
+    default one for a path without scheme)."""
+    fs, hpath, _ = _hadoop_fs(spark, path)
+    return fs.exists(hpath) and fs.getFileStatus(hpath).isDirectory()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path that this package wrote, with all below it."""
+    fs, hpath, _ = _hadoop_fs(spark, path)
+    fs.delete(hpath, True)
 
 
 def read_transactions_csv(spark: SparkSession, path: str, schema: StructType = TXN_CSV_SCHEMA,
@@ -54,118 +65,113 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_predictions_csv(predictions: DataFrame, path: str) -> None:
-    """(entity, predict_period, predicted_category) as header CSV."""
-    write_csv(predictions, path)
+    """The predictions' plain columns — (entity, predict_period,
+    predicted_category) and, where a model made them, the probability — as
+    header CSV."""
+    flat = [f.name for f in predictions.schema.fields if f.dataType.typeName() != "array"]
+    write_csv(predictions.select(*flat), path)
+
+
+def _by_period(df: DataFrame, partition_col: str, shuffle: bool):
+    """Writer of ``df`` partitioned by period.  The rebalance hint brings each
+    period's rows together and lets adaptive execution split large periods and
+    join small ones, so neither tasks × periods files nor one task per period
+    result; a source that lies in period order already needs no shuffle."""
+    df = df.withColumn(partition_col, F.col(partition_col).cast("string"))
+    if shuffle:
+        df = df.hint("rebalance", partition_col)
+    return df.write.mode("overwrite").partitionBy(partition_col)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_col: str = "period",
-                      files_per_period: int | None = None, entity: str | None = None) -> None:
+def write_partitioned(df: DataFrame, path: str, partition_col: str = "period", shuffle: bool = True) -> None:
     """Replace the whole table at ``path`` with ``df`` partitioned by
     ``partition_col`` (static overwrite: periods absent from ``df`` are
-    removed, like deleting the directory first).
-
-    ``files_per_period`` bounds the file count: rows are hash-distributed by
-    (period, entity bucket), so each period is written by that many tasks
-    instead of by every task that happens to hold one of its rows."""
-    df = df.withColumn(partition_col, F.col(partition_col).cast("string"))
-    if files_per_period:
-        # deterministic key: a retried map task must route every row the same way
-        h = F.xxhash64(F.col(entity)) if entity else F.xxhash64(*[F.col(c) for c in df.columns])
-        df = df.repartition(F.col(partition_col), F.pmod(h, F.lit(files_per_period)))
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-       .partitionBy(partition_col).parquet(path))
+    removed, like deleting the directory first)."""
+    _by_period(df, partition_col, shuffle).option("partitionOverwriteMode", "static").parquet(path)
 
 
 def overwrite_periods(df: DataFrame, path: str, partition_col: str = "period") -> None:
     """S8 (path form): replace only the periods present in ``df``; all other
     period directories are left untouched (dynamic partition overwrite)."""
-    (df.withColumn(partition_col, F.col(partition_col).cast("string"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(partition_col).parquet(path))
+    _by_period(df, partition_col, True).option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def read_partitioned(spark: SparkSession, path: str, partition_col: str = "period") -> DataFrame:
     """S3: Hive-partitioned Parquet directory; the partition value comes back
     as text (``2025-08``, not an inferred date/int), so a filter on it is a
     partition filter (directory pruning) and only read columns are scanned."""
-    if _is_local(path) and not os.path.isdir(path):
-        raise ValueError(f"Expected partitioned feature store directory, got: {path}")
+    if not is_directory(spark, path):
+        raise ValueError(f"no directory of a partitioned table: {path}")
     df = spark.read.option("basePath", path).parquet(path)
     return df.withColumn(partition_col, F.col(partition_col).cast("string"))
 
 
 def read_table(spark: SparkSession, path: str, csv_schema: StructType | None = None) -> DataFrame:
-    """Directory → partitioned Parquet; ``*.csv`` → header CSV (explicit
-    schema if given, else inferred); ``*.parquet`` → Parquet; anything else
-    raises."""
+    """By name, ``*.csv`` → header CSV (explicit schema if given, else
+    inferred; a malformed value fails the job) and ``*.parquet`` → Parquet, as
+    Spark writes either as a directory; any other directory → partitioned
+    Parquet; anything else raises."""
     p = path.rstrip("/")
     low = p.lower()
     if low.endswith(".csv"):
-        r = spark.read.option("header", True)
+        r = spark.read.option("header", True).option("mode", "FAILFAST")
         return r.schema(csv_schema).csv(p) if csv_schema else r.option("inferSchema", True).csv(p)
     if low.endswith(".parquet"):
         return spark.read.parquet(p)
-    if not _is_local(p) or os.path.isdir(p):
+    if is_directory(spark, p):
         return read_partitioned(spark, p)
-    raise ValueError(f"Unsupported feature store path: {path} (expected dir, .parquet, or .csv)")
+    raise ValueError(f"neither a directory nor a .parquet or .csv path: {path}")
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
+def stored_periods(spark: SparkSession, path: str, partition_col: str = "period") -> list[str]:
+    """The period values that a table has directories for (names only)."""
+    fs, base, jvm = _hadoop_fs(spark, path)
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, f"{partition_col}=*")) or []
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    return sorted(unescape(s.getPath().getName().split("=", 1)[1]) for s in found)
 
 
-def drop_partitions(spark: SparkSession, path: str, periods=None, partition_col: str = "period") -> list[str]:
-    """S8 (path form): delete ``period=<v>`` directories under ``path`` — all
-    of them when ``periods`` is None.  Returns the removed partition names;
-    a missing table is a no-op.  Metadata-only (no data is read)."""
-    fs, base, jvm = _hadoop_fs(spark, path)
-    if not fs.exists(base):
-        return []
-    if periods is None:
-        statuses = fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, f"{partition_col}=*")) or []
-        targets = [s.getPath() for s in statuses]
-    else:
-        targets = [jvm.org.apache.hadoop.fs.Path(base, f"{partition_col}={v}") for v in periods]
+def drop_partitions(spark: SparkSession, paths: str | list[str], periods=None, partition_col: str = "period") -> list[str]:
+    """S8 (path form): delete ``period=<v>`` directories of one table or of
+    several — all of them when ``periods`` is None.  Returns what was removed
+    (``path/period=v``); a missing table is a no-op.  No data is read."""
     removed = []
-    for t in targets:
-        if fs.exists(t):
-            fs.delete(t, True)
-            removed.append(t.getName())
+    for path in [paths] if isinstance(paths, str) else paths:
+        fs, base, jvm = _hadoop_fs(spark, path)
+        if not fs.exists(base):
+            continue
+        escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        for v in stored_periods(spark, path, partition_col) if periods is None else periods:
+            target = jvm.org.apache.hadoop.fs.Path(base, f"{partition_col}={escape(str(v))}")
+            if fs.exists(target) and fs.delete(target, True):
+                removed.append(f"{path.rstrip('/')}/{target.getName()}")
     return removed
 
 
-def drop_table_partitions(spark: SparkSession, table: str, periods, partition_col: str = "period") -> None:
+def drop_table_partitions(spark: SparkSession, tables: str | list[str], periods, partition_col: str = "period") -> None:
     """S8 (catalog form): ``ALTER TABLE … DROP IF EXISTS PARTITION``."""
-    for v in periods:
-        esc = str(v).replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = '{esc}')")
+    for table in [tables] if isinstance(tables, str) else tables:
+        for v in periods:
+            esc = str(v).replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = '{esc}')")
 
 
-def write_feature_store(combined: DataFrame, narrow: dict[str, DataFrame], base: str,
-                        files_per_period: int | None = None, entity: str = "customer_id") -> dict[str, str]:
+def write_feature_store(combined: DataFrame, narrow: dict[str, DataFrame], base: str) -> dict[str, str]:
     """Write the combined table once, then each narrow table *from the
-    written combined table* (column-pruned scans of durable files) rather than
-    recomputing the aggregate six times or caching it in executor memory.
+    written combined table*: column-pruned scans of files that lie in period
+    order, so the narrow tables are written without a shuffle.
 
     Returns {table name: path}."""
     spark = combined.sparkSession
     paths = {"feature_store": f"{base.rstrip('/')}/feature_store"}
-    write_partitioned(combined, paths["feature_store"], files_per_period=files_per_period, entity=entity)
+    write_partitioned(combined, paths["feature_store"])
     stored = read_partitioned(spark, paths["feature_store"])
     for name, df in narrow.items():
-        p = f"{base.rstrip('/')}/feature_store_{name}"
-        write_partitioned(stored.select(*df.columns), p, files_per_period=files_per_period, entity=entity)
-        paths[name] = p
+        paths[name] = f"{base.rstrip('/')}/feature_store_{name}"
+        write_partitioned(stored.select(*df.columns), paths[name], shuffle=False)
     return paths
 
 
 def read_narrow_tables(spark: SparkSession, paths: dict[str, str],
                        names=("core_behavior", "category", "payment", "growth", "trend")) -> list[DataFrame]:
     return [read_partitioned(spark, paths[n]) for n in names if n in paths]
-
-
-def feature_store_schema_check(df: DataFrame, cfg: FeatureConfig) -> None:
-    if cfg.cols.entity not in df.columns or "period" not in df.columns:
-        raise ValueError("Merged feature store must contain at least the entity and period columns.")

@@ -10,6 +10,7 @@ Lag features of the first refreshed period of an entity depend on its
 previous *observed* period (Q5), which may be any distance back.  That row is
 taken from the stored table itself (a column-pruned, partition-pruned scan of
 ``period < since``), so the raw transactions before ``since`` are not re-read.
+A stored online ratio of 0 counts as 0, also where it was NULL before filling.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from ..functions.columns import fill_zero
 from ..functions.periods import parse_period, period_index
 from ..operators.features import period_features, with_label
 from ..operators.trends import trend_growth
-from ..sources.io import overwrite_periods, read_partitioned
+from ..session import cut
+from ..sources.io import drop_partitions, overwrite_periods, read_partitioned, stored_periods
 
 _SEED_COLS = ("total_spent", "txn_count", "online_ratio")
 
@@ -41,8 +43,10 @@ def last_stored_rows(spark: SparkSession, path: str, cfg: FeatureConfig, since:
 
 def refresh_since(txns: DataFrame, cfg: FeatureConfig, path: str, since: str) -> DataFrame:
     """Recompute every period >= ``since`` from ``txns`` and overwrite those
-    partitions of the table at ``path``.  ``cfg`` must carry the pivot values
-    the table was built with.  Returns the rows written."""
+    partitions of the table at ``path``; stored periods from ``since`` on that
+    have no rows any more are removed.  ``cfg`` must carry the pivot values the
+    table was built with: a transaction with another value fails the job (the
+    table then needs a rebuild with the wider list).  Returns the rows written."""
     if cfg.categories is None or cfg.payments is None:
         raise ValueError("pass the stored table's pivot values in cfg")
     spark = txns.sparkSession
@@ -52,6 +56,8 @@ def refresh_since(txns: DataFrame, cfg: FeatureConfig, path: str, since: str) ->
     seed = last_stored_rows(spark, path, cfg, since).withColumn("_seed", F.lit(True))
     both = fresh.unionByName(seed, allowMissingColumns=True)
     out = trend_growth(both, cfg).where(~F.col("_seed")).drop("_seed")
-    out = with_label(fill_zero(out, exclude=(ent, "period_idx")), cfg)
+    out = cut(with_label(fill_zero(out, exclude=(ent, "period_idx")), cfg))
     overwrite_periods(out, path)
+    written = {r["period"] for r in out.select("period").distinct().collect()}  # a label per period
+    drop_partitions(spark, path, [p for p in stored_periods(spark, path) if p >= since and p not in written])
     return out
