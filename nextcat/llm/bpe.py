@@ -28,8 +28,9 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of text whose pieces are merged together.
-CHUNK = 4 << 20
+#: Characters of text whose pieces are merged together, and ids that are decoded together.
+CHUNK = 8 << 20
+IDS = 1 << 20
 _NONE = np.int64(1) << 62
 
 
@@ -43,6 +44,9 @@ class Vocabulary:
         self.bytes = [b""] * self.size
         for token, rank in ranks.items():
             self.bytes[rank] = token
+        self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
+        self.lengths = np.fromiter(map(len, self.bytes), np.int64, self.size)
+        self.starts = np.cumsum(self.lengths) - self.lengths
         self.split = regex.compile(pattern).findall
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         pairs = [(ranks[t[:i]] * self.size + ranks[t[i:]], rank) for t, rank in ranks.items()
@@ -56,56 +60,59 @@ class Vocabulary:
         return np.where(self.pair[at] == code, self.rank[at], _NONE) if len(self.pair) else np.full(len(code), _NONE)
 
 
-def merge_in_step(vocab: Vocabulary, pieces: list[bytes], width: int) -> list[list[int]]:
-    """Ids of every piece (1 to ``width`` bytes; width a power of two)."""
+def merge_in_step(vocab: Vocabulary, pieces: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all pieces (1 to ``width`` bytes; width a power of two) one after
+    another, and their number per piece."""
     n, m = len(pieces), width
     lengths = np.fromiter(map(len, pieces), np.int64, n)
-    raw = np.frombuffer(b"".join(p.ljust(m, b"\0") for p in pieces), np.uint8).reshape(n, m)
+    raw = np.frombuffer(b"".join([p.ljust(m, b"\0") for p in pieces]), np.uint8).reshape(n, m)
     inside = np.arange(m) < lengths[:, None]
-    symbol = np.where(inside, vocab.byte_ids[raw], -1)
-    after = np.tile(np.arange(1, m + 1), (n, 1))
-    after[~(np.arange(1, m + 1) < lengths[:, None])] = m  # m: no neighbour
-    before = np.tile(np.arange(-1, m - 1), (n, 1))
-    tree = np.full((n, 2 * m), _NONE)
-    rows, cols = np.nonzero(inside[:, 1:])
-    rank = vocab.pair_ranks(symbol[rows, cols], symbol[rows, cols + 1])
-    tree[rows, m + cols] = np.where(rank < _NONE, rank * m + cols, _NONE)
+    symbol = np.where(inside, vocab.byte_ids[raw], -1).ravel()
+    after = np.where(np.arange(1, m + 1) < lengths[:, None], np.arange(1, m + 1), m).ravel()  # m: no neighbour
+    before = np.tile(np.arange(-1, m - 1), n)
+    leaves = np.full((n, 2 * m), _NONE)
+    row, col = np.nonzero(inside[:, 1:])
+    rank = vocab.pair_ranks(symbol[row * m + col], symbol[row * m + col + 1])
+    leaves[row, m + col] = np.where(rank < _NONE, rank * m + col, _NONE)
     for k in range(m - 1, 0, -1):
-        np.minimum(tree[:, 2 * k], tree[:, 2 * k + 1], out=tree[:, k])
+        np.minimum(leaves[:, 2 * k], leaves[:, 2 * k + 1], out=leaves[:, k])
+    tree = leaves.ravel()  # row r's tree begins at 2 m r, its positions at m r
 
-    def put(rows: np.ndarray, at: np.ndarray, value) -> None:
-        node = at + m
-        tree[rows, node] = value
-        while node[0] > 1:  # all leaves are equally deep
+    def put(row: np.ndarray, at: np.ndarray, value) -> None:
+        base, node, size = row * (2 * m), at + m, m
+        tree[base + node] = value
+        while size > 1:  # all leaves are equally deep
             node = node >> 1
-            tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
+            size >>= 1
+            child = base + 2 * node
+            tree[base + node] = np.minimum(tree[child], tree[child + 1])
 
-    def pair_key(rows: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = np.full(len(rows), _NONE)
+    def pair_key(row: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = np.full(len(row), _NONE)
         has = np.flatnonzero(right < m)
-        rank = vocab.pair_ranks(symbol[rows[has], left[has]], symbol[rows[has], right[has]])
-        key[has] = np.where(rank < _NONE, rank * m + left[has], _NONE)
+        base, at = row[has] * m, left[has]
+        rank = vocab.pair_ranks(symbol[base + at], symbol[base + right[has]])
+        key[has] = np.where(rank < _NONE, rank * m + at, _NONE)
         return key
 
-    rows = np.flatnonzero(tree[:, 1] < _NONE)
-    while len(rows):
-        token, p = np.divmod(tree[rows, 1], m)
-        q = after[rows, p]
-        r = after[rows, q]
-        symbol[rows, p], symbol[rows, q] = token, -1
-        after[rows, p] = r
+    row = np.flatnonzero(tree[1::2 * m] < _NONE)
+    while len(row):
+        token, p = np.divmod(tree[row * (2 * m) + 1], m)
+        base = row * m
+        q = after[base + p]
+        r = after[base + q]
+        symbol[base + p], symbol[base + q] = token, -1
+        after[base + p] = r
         has = r < m
-        before[rows[has], r[has]] = p[has]
-        put(rows, q, _NONE)
-        put(rows, p, pair_key(rows, p, r))
-        left = before[rows, p]
-        has = left >= 0
-        if has.any():
-            put(rows[has], left[has], pair_key(rows[has], left[has], p[has]))
-        rows = rows[tree[rows, 1] < _NONE]
-    out = symbol >= 0
-    flat, ends = symbol[out].tolist(), np.cumsum(out.sum(axis=1)).tolist()
-    return [flat[a:b] for a, b in zip([0, *ends], ends)]
+        before[(base + r)[has]] = p[has]
+        put(row, q, _NONE)
+        put(row, p, pair_key(row, p, r))
+        left = before[base + p]
+        has = np.flatnonzero(left >= 0)
+        if len(has):
+            put(row[has], left[has], pair_key(row[has], left[has], p[has]))
+        row = row[tree[row * (2 * m) + 1] < _NONE]
+    return symbol[symbol >= 0].astype(np.int32), (symbol.reshape(n, m) >= 0).sum(axis=1)
 
 
 def merge_one(vocab: Vocabulary, piece: bytes) -> list[int]:
@@ -159,30 +166,37 @@ def encode_texts(vocab: Vocabulary, texts: list[str]) -> list[np.ndarray]:
     number: dict[str, int] = {}
     spots = [np.array([number.setdefault(p, len(number)) for p in vocab.split(t)], np.int64) for t in texts]
     pieces = [p.encode("utf-8") for p in number]
-    ids: list[list[int]] = [[]] * len(pieces)
-    by_width: dict[int, list[int]] = {}
-    for i, p in enumerate(pieces):
-        by_width.setdefault(max(2, 1 << (len(p) - 1).bit_length()), []).append(i)
-    for width, which in by_width.items():
-        if width > 64:
-            for i in which:
-                ids[i] = merge_one(vocab, pieces[i])
-        else:
-            step = max(1, (1 << 20) // width)  # bounds the arrays
-            for k in range(0, len(which), step):
-                own = which[k:k + step]
-                for i, x in zip(own, merge_in_step(vocab, [pieces[i] for i in own], width)):
-                    ids[i] = x
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((x for one in ids for x in one), np.int32, int(sizes.sum()))
-    starts = np.cumsum(sizes) - sizes
-    out = []
-    for at in spots:
-        n = sizes[at]
-        total = int(n.sum())
-        ends = np.cumsum(n)
-        out.append(flat[np.arange(total) + np.repeat(starts[at] - (ends - n), n)])
-    return out
+    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    sizes, starts, flat, total = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), [], 0
+    widths = np.array([max(2, 1 << (n - 1).bit_length()) for n in range(1, 65)])
+    width = np.where(lengths <= 64, widths[np.minimum(lengths, 64) - 1], 0)  # 0: a tree of its own
+    for w in np.unique(width).tolist():
+        which = np.flatnonzero(width == w)
+        step = max(1, (1 << 20) // w) if w else 1  # bounds the arrays
+        for k in range(0, len(which), step):
+            own = which[k:k + step]
+            if w:
+                ids, n = merge_in_step(vocab, [pieces[i] for i in own.tolist()], w)
+            else:
+                ids = np.array(merge_one(vocab, pieces[own[0]]), np.int32)
+                n = np.array([len(ids)])
+            sizes[own] = n
+            starts[own] = total + np.cumsum(n) - n
+            flat.append(ids)
+            total += len(ids)
+    flat = np.concatenate(flat) if flat else np.zeros(0, np.int32)
+    return [_gather(flat, starts[at], sizes[at])[0] for at in spots]
+
+
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``flat`` one after another, and where each ends."""
+    ends = np.cumsum(sizes)
+    return flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)], ends
+
+
+def decode_ids(vocab: Vocabulary, ids: np.ndarray) -> bytes:
+    return b"".join(_gather(vocab.flat, vocab.starts[x], vocab.lengths[x])[0].tobytes()
+                    for x in np.split(ids, range(IDS, len(ids), IDS)))
 
 
 @lru_cache(maxsize=4)
@@ -220,8 +234,8 @@ def decoder(tokenizer: Broadcast):
     """A column function: array<int> of ids to the bytes they stand for."""
     @F.arrow_udf("binary")
     def decode(ids: pa.Array) -> pa.Array:
-        token = _vocabulary(*tokenizer.value).bytes
-        return pa.array([b"".join([token[i] for i in row]) if row is not None else None for row in ids.to_pylist()], pa.binary())
+        vocab = _vocabulary(*tokenizer.value)
+        return pa.array([decode_ids(vocab, x.values.to_numpy()) if x.is_valid else None for x in ids], pa.binary())
     return decode
 
 
