@@ -1,5 +1,5 @@
 """Helpers shared by the operators: the word definition, a one-value binding
-for column expressions, fresh column names, and a written-and-reread cut."""
+for column expressions, row keys and fresh column names."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import cut  # noqa: F401  the operators' lineage cut
 
 #: White space between words, and a word, as every contract states them.
 SPACE = r"[\x20\x09-\x0D]"
@@ -55,13 +55,6 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there, so
-    that later jobs neither recompute it nor depend on live executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = 10_000) -> DataFrame:
     """A broadcast hint when the counted rows stay within ``limit``; beyond it
     the planner joins by shuffle."""

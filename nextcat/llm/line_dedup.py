@@ -6,8 +6,9 @@ sites; only lines whose estimate lies near the threshold get an exact distinct
 count, so the decision equals the exact one as long as an estimate is not off
 by more than the margin (ten times the sketch's standard error, and two sites).
 
-Hot lines are pre-aggregated before each shuffle, texts are split again rather
-than shuffled per line, and only line numbers travel back to the documents.
+Lines are split once into a written table of hashes; hot lines are
+pre-aggregated before they are shuffled, and only line numbers travel back to
+the documents.
 
 A document of which more than ``max_share`` of the non-blank lines would go is
 a copy of another page, not a page that carries boilerplate; it is left whole
@@ -24,9 +25,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, row_key, text_of
+from .common import broadcast_if_small, cut, fresh, row_key, text_of
 
-_EDGES = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+#: Line hashes that are broadcast (some megabytes); beyond, lines are joined by shuffle.
+BROADCAST_LINES = 100_000
+_BLANKS = " \t\n\x0b\x0c\r"
 
 
 @dataclass(frozen=True)
@@ -45,31 +48,37 @@ def _lines(text: Column) -> Column:
 
 
 def _trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, _EDGES, "")
+    return F.btrim(line, F.lit(_BLANKS))
 
 
-def line_spread(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text", site: str = "source") -> DataFrame:
-    """Hashes (column ``line``) of the lines that at least ``min_sites`` sites share."""
-    lines = _keyed(docs, None, text, site)
+def line_rows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
+    """(key, site, pos, line) of every non-blank line; key stands for the row, line is the line's MD5."""
+    base = docs.select(row_key(docs, id_col, text).alias("key"), F.concat(F.lit("s"), F.col(site).cast("string")).alias("s"),
+                       _lines(text_of(text)).alias("lines"))
+    rows = base.select("key", F.coalesce("s", F.lit("null")).alias("site"), F.posexplode("lines").alias("pos", "raw"))
+    return (rows.select("key", "site", "pos", _trimmed(F.col("raw")).alias("t")).where(F.col("t") != "")
+            .select("key", "site", "pos", F.unhex(F.md5("t")).alias("line")))
+
+
+def shared_lines(lines: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
+    """The ``line`` hashes that at least ``min_sites`` sites share."""
     sketched = (lines.groupBy("line").agg(F.count("*").alias("n"), F.hll_sketch_agg("site", rules.lg_k).alias("sk"))
                 .where(F.col("n") >= rules.min_sites)
                 .select("line", F.hll_sketch_estimate("sk").alias("est")))
+    sketched = cut(sketched.where(F.col("est") >= rules.min_sites - rules.margin))
     clear = sketched.where(F.col("est") > rules.min_sites + rules.margin).select("line")
-    near = sketched.where(F.abs(F.col("est") - rules.min_sites) <= rules.margin).select("line")
-    exact = (lines.join(near, "line", "left_semi").groupBy("line").agg(F.countDistinct("site").alias("sites"))
+    near = sketched.where(F.col("est") <= rules.min_sites + rules.margin).select("line")
+    # (line, site) pairs are made distinct before lines meet, so that a hot line is a row per site and task
+    close = _among(lines.select("line", "site"), near) if near.count() <= BROADCAST_LINES else _among(
+        lines.select("line", "site").distinct(), near)
+    exact = (close.groupBy("line").agg(F.countDistinct("site").alias("sites"))
              .where(F.col("sites") >= rules.min_sites).select("line"))
     return clear.unionByName(exact)
 
 
-def _keyed(docs: DataFrame, id_col: str | None, text: str, site: str) -> DataFrame:
-    """(key, site, pos, n_lines, line hash) of every non-blank line; key and position only with an id."""
-    t = text_of(text)
-    base = docs.select(*([row_key(docs, id_col, text).alias("key")] if id_col else []),
-                       F.concat(F.lit("s"), F.col(site).cast("string")).alias("s"), _lines(t).alias("lines"))
-    rows = base.select(*(["key"] if id_col else []), F.coalesce("s", F.lit("null")).alias("site"),
-                       F.posexplode("lines").alias("pos", "raw"))
-    return (rows.select("*", _trimmed(F.col("raw")).alias("t")).where(F.col("t") != "")
-            .select(*(["key", "pos"] if id_col else []), "site", F.unhex(F.md5("t")).alias("line")))
+def _among(lines: DataFrame, some: DataFrame) -> DataFrame:
+    """The rows whose line is in ``some``, a written table of 16-byte hashes."""
+    return lines.join(broadcast_if_small(some, some.count(), BROADCAST_LINES), "line", "left_semi")
 
 
 def line_dedup(docs: DataFrame, rules: LineRules = LineRules(), id_col: str = "doc_id", text: str = "text",
@@ -78,8 +87,8 @@ def line_dedup(docs: DataFrame, rules: LineRules = LineRules(), id_col: str = "d
     unchanged), plus a struct ``out``: n_lines (non-blank lines before),
     n_shared (boilerplate lines found) and n_removed (0 where the document is
     left whole)."""
-    shared = line_spread(docs, rules, text, site)
-    hits = (_keyed(docs, id_col, text, site).join(shared, "line", "left_semi")
+    lines = cut(line_rows(docs, id_col, text, site))  # hashes only, read three times
+    hits = (_among(lines, cut(shared_lines(lines, rules)))
             .groupBy("key").agg(F.sort_array(F.collect_set("pos")).alias("pos")))
     key, pos, row, out = fresh(docs, "_key", "_pos", "_row", out)
     left = docs.withColumn(row, row_key(docs, id_col, text))
