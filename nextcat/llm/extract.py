@@ -43,7 +43,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 #: Power of a text's own features, which are many and alike within a block, against the names and tags around it.
-TEXT_WEIGHT = 0.5
+TEXT_WEIGHT = 0.4
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -159,6 +159,10 @@ def parse(html: str | None) -> Tree:
     return reader.tree
 
 
+def _stem(word: str) -> str:
+    return f"stem {word[:4]}"
+
+
 def _share(linked: int, chars: int) -> str:
     part = linked / chars if chars else 0
     return "none" if part == 0 else "some" if part < 0.3 else "half" if part < 0.8 else "all"
@@ -200,6 +204,8 @@ class TreeModel:
         e = [0.0, 0.0, 0.0]
         for f in own:
             p = self.seen.get(f)
+            if p is None and f.startswith("name "):  # an unknown word counts as those that begin like it
+                p = self.seen.get(_stem(f[5:]))
             if p:
                 for y in (0, 1, 2):
                     e[y] += p[y]
@@ -266,6 +272,9 @@ def label_counts(html: str) -> Counter:
         counts["label", str(label[i]), "text" if not tree.tag[i] else "element"] += 1
         for f in own:
             counts["feature", f, str(label[i])] += 1
+        for w in tree.names[i]:
+            if len(w) > 4:
+                counts["feature", _stem(w), str(label[i])] += 1
         if i:
             counts["step", f"{label[tree.parent[i]]}{label[i]}", "text" if not tree.tag[i] else "element"] += 1
     return counts

@@ -5,6 +5,7 @@ below it, ``data-y="b"`` what is not, down to the next mark."""
 from __future__ import annotations
 
 import random
+import re
 
 _SYLLABLES = "ka lo mi ter no san ve ru pel du sta fi gon hal ixe jor bre ceth wyn zam oli qua".split()
 
@@ -76,7 +77,7 @@ class _Page:
     def comments(self) -> str:
         one = lambda: f"<div {self.pick(COMMENT_NAMES)}><b>{self.word()}</b><p>{self.prose()}</p></div>"
         inner = f"<h3>{self.words(1, 2)}</h3>" + "".join(one() for _ in range(self.r.randint(1, 5)))
-        if self.r.random() < 0.3:
+        if self.r.random() < 0.5:
             inner = f"<h3>{self.words(1, 2)}</h3><ol>" + "".join(f"<li><p>{self.prose()}</p></li>" for _ in range(self.r.randint(1, 4))) + "</ol>"
         tag = self.r.choice(["div", "section", "aside"])
         return f'<{tag} {self.pick(COMMENT_NAMES)} data-y="b">{inner}</{tag}>'
@@ -87,19 +88,23 @@ class _Page:
                               f'<footer {self.pick(FOOT_NAMES)} data-y="b">{inner}</footer>'])
 
     def header(self) -> str:
-        inner = self.r.choice([f"<p>{self.words(1, 3)}</p>", self.words(1, 4), f"<h2>{self.words(1, 3)}</h2>", f'<a href="/">{self.words(1, 2)}</a>'])
+        inner = self.r.choice([f"<p>{self.words(1, 3)}</p>", self.words(1, 4), f"<h2>{self.words(1, 3)}</h2>", f"<h1>{self.words(1, 3)}</h1>",
+                               f'<a href="/">{self.words(1, 2)}</a>', f"<h1>{self.link(1, 2)}</h1><p>{self.sentence()}</p>"])
+        if self.r.random() < 0.3:
+            inner += self.items(self.r.randint(2, 6)) if self.r.random() < 0.5 else f"<nav>{self.items(self.r.randint(2, 6))}</nav>"
         return self.r.choice([f'<header data-y="b">{inner}</header>', f'<div {self.pick(HEAD_NAMES)} data-y="b">{inner}</div>',
                               f'<header {self.pick(HEAD_NAMES)} data-y="b">{inner}</header>'])
 
     def inside(self) -> str:
         """A part of the main text."""
         kind = self.r.random()
-        if kind < 0.72:
+        if kind < 0.6:
             return f"<p>{self.prose()}</p>"
-        if kind < 0.8:
-            return f"<h2>{self.words(1, 7)}</h2>"
+        if kind < 0.68:
+            return self.r.choice(["<h2>{}</h2>", "<h3>{}</h3>"]).format(self.words(1, 7))
         if kind < 0.86:
-            return "<ul>" + "".join(f"<li>{self.prose()}</li>" for _ in range(self.r.randint(1, 5))) + "</ul>"
+            return self.r.choice(["<ul>{}</ul>", "<ul>{}</ul>", "<ol>{}</ol>"]).format(
+                "".join(f"<li>{self.prose()}</li>" for _ in range(self.r.randint(1, 5))))
         if kind < 0.9:
             return f"<blockquote><p>{self.prose()}</p></blockquote>"
         if kind < 0.93:
@@ -112,7 +117,7 @@ class _Page:
 
     def main(self) -> str:
         parts = [f"<h1>{self.words(2, 10)}</h1>"] if self.r.random() < 0.85 else []
-        if self.r.random() < 0.15 and parts:
+        if self.r.random() < 0.08 and parts:
             parts = [f"<header>{parts[0]}</header>"]
         parts += [self.inside() for _ in range(self.r.randint(1, 14))]
         for _ in range(self.r.randint(0, 2)):
@@ -121,7 +126,9 @@ class _Page:
                 lambda: self.small(SIDE_NAMES, ["aside", "div"]), self.form, lambda: self.small(NOTICE_NAMES, ["div"]), self.comments, self.menu])())
         inner = "".join(parts)
         kind = self.r.random()
-        if kind < 0.35:
+        if kind < 0.08:  # no element around the text
+            return "".join(p if "data-y" in p.split(">")[0] else re.sub(r"^<(\w+)", r'<\1 data-y="c"', p) for p in parts)
+        if kind < 0.38:
             return f'<article data-y="c">{inner}</article>'
         if kind < 0.45:
             return f'<article {self.pick(MAIN_NAMES)} data-y="c">{inner}</article>'
@@ -148,5 +155,5 @@ class _Page:
         return f"<!DOCTYPE html><html><head><title>{self.words(2, 6)}</title></head><body>{''.join(top)}{middle}{foot}</body></html>"
 
 
-def labelled_pages(n: int = 600, seed: int = 11) -> list[str]:
+def labelled_pages(n: int = 1500, seed: int = 11) -> list[str]:
     return [_Page(seed * 1_000_003 + i).render() for i in range(n)]

@@ -80,7 +80,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_language_id")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
     model = train(docs.where(~held_out))
     return predict(docs, model, keep=("doc_id", held_out.alias("held_out")))
 
