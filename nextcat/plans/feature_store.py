@@ -26,7 +26,7 @@ def build_feature_store(txns: DataFrame, cfg: FeatureConfig,
 
 
 def table_columns(cfg: FeatureConfig) -> dict[str, list[str]]:
-    """The narrow tables and their value columns (reference layout:
+    """The narrow tables and their value columns (their layout:
     growth holds spend and txn growth, trend holds the lags and the online
     ratio change)."""
     trend = trend_columns(cfg) + (["online_ratio_change"] if cfg.cols.online else [])

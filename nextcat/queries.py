@@ -414,6 +414,31 @@ def q_validate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate_keys(tpch_transactions(spark, sf_dir), keys=("order_key", "line_number"))
 
 
+_SPARSE_KEYS = ("customer_id", "order_key", "line_number")
+
+
+@register("validate_keys_sparse", f"""
+WITH t AS (SELECT CASE WHEN l_orderkey % 100 = 0 THEN NULL ELSE o_custkey END AS customer_id, l_orderkey AS order_key, l_linenumber AS line_number
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)
+SELECT CASE WHEN customer_id IS NULL THEN 'null_key' ELSE 'duplicate_key' END AS kind, customer_id, order_key, line_number, COUNT(*) AS n
+FROM t GROUP BY customer_id, order_key, line_number HAVING customer_id IS NULL OR COUNT(*) > 1""")
+def q_validate_keys_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5, both kinds of problem: NULL customers and repeated keys."""
+    return validate_keys(sparse_transactions(spark, sf_dir), keys=_SPARSE_KEYS)
+
+
+@register("validate_feature_tables", """
+SELECT unnest(['feature_store', 'core_behavior', 'category', 'payment', 'growth', 'trend']) AS table_name, CAST(0 AS BIGINT) AS n_problems""")
+def q_validate_feature_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 on the six stored tables: no key is NULL or repeated."""
+    paths, _ = _stored_feature_store(spark, sf_dir)
+    out = [validate_keys(IO.read_partitioned(spark, p)).agg(F.count(F.lit(1)).alias("n_problems")).select(
+        F.lit(name).alias("table_name"), "n_problems") for name, p in paths.items()]
+    for t in out[1:]:
+        out[0] = out[0].unionByName(t)
+    return out[0]
+
+
 @register("drop_partitions", O.feature_store_sql() + """
 SELECT t.table_name, period, COUNT(*) AS n FROM fs CROSS JOIN (SELECT unnest(['feature_store', 'core_behavior', 'category',
   'payment', 'growth', 'trend']) AS table_name) t WHERE period >= '1996-01' GROUP BY ALL""")

@@ -1,6 +1,6 @@
 """Incremental, period-scoped rebuild of a stored feature store.
 
-The reference has no streaming: it rewrites complete tables, and offers a
+There is no stream source: tables are rewritten whole, and there is a
 cleaner that deletes partitions before a rebuild (S8).  The incremental unit
 here is therefore the *period*: when transactions from period ``since`` on
 change or arrive, only those periods are recomputed and dynamically
