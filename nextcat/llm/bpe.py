@@ -28,6 +28,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import importable
+
 #: Characters of text whose pieces are merged together, and ids that are decoded together.
 CHUNK = 8 << 20
 IDS = 1 << 20
@@ -206,6 +208,7 @@ def _vocabulary(file: bytes, pattern: str) -> Vocabulary:
 
 def load(spark: SparkSession, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> Broadcast:
     """The rank file (fixed, under a megabyte) for the executors."""
+    importable(spark)
     with open(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         return spark.sparkContext.broadcast((f.read(), pattern))
 

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import importable
+
 BOILER, CONTENT, FRAME = 0, 1, 2
 
 #: Elements that begin a block of their own.
@@ -291,6 +293,7 @@ def train(labelled: DataFrame, html: str = "html", smooth: float = 0.5) -> TreeM
         keys = list(total)
         yield pa.RecordBatch.from_arrays([pa.array([k[j] for k in keys], pa.string()) for j in range(3)]
                                          + [pa.array([total[k] for k in keys], pa.int64())], ["kind", "a", "b", "n"])
+    importable(labelled.sparkSession)
     rows = (labelled.select(F.col(html).cast("string").alias("html")).mapInArrow(run, "kind string, a string, b string, n long")
             .groupBy("kind", "a", "b").agg(F.sum("n").alias("n")).where("kind <> 'feature' OR n >= 2").collect())
     return fit({(r["kind"], r["a"], r["b"]): r["n"] for r in rows}, smooth)
@@ -316,6 +319,7 @@ def fit(counts: dict[tuple[str, str, str], int], smooth: float = 0.5) -> TreeMod
 
 def extract(pages: DataFrame, model: TreeModel, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The columns ``keep``, then text string (the main text)."""
+    importable(pages.sparkSession)
     shared = pages.sparkSession.sparkContext.broadcast(model)
     kept = pages.select(*keep)
 

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import importable
+
 UNKNOWN = "und"
 MAX_LANGUAGES = 10_000
 #: Characters and texts that are handled together.
@@ -144,6 +146,7 @@ def train(docs: DataFrame, conf: Profiles = Profiles(), text: str = "text", lang
         for name, v in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([name] * conf.dim), pa.array(np.arange(conf.dim, dtype=np.int32)),
                                               pa.array(np.rint(v).astype(np.int64))], ["lang", "i", "v"])
+    importable(docs.sparkSession)
     rows = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).where(
         "text IS NOT NULL AND lang IS NOT NULL")
     made = (rows.mapInArrow(sums, "lang string, i int, v long").groupBy("lang", "i").agg(F.sum("v").alias("v"))
@@ -161,6 +164,7 @@ def train(docs: DataFrame, conf: Profiles = Profiles(), text: str = "text", lang
 
 def predict(docs: DataFrame, model: Prototypes, text: str = "text", keep: tuple[str | Column, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of ``docs``, then lang_pred string and score double (the cosine, 0 at least)."""
+    importable(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.select(*keep)
     names_out = [*kept.columns, "lang_pred", "score"]

@@ -88,8 +88,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_chat_format", oracle.chat_sql())
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    said = "\\### Assistant: </turn> ok"
-    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], chats.schema)
+    said = F.lit("\\### Assistant: </turn> ok").alias("text")
+    turns = [F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(n).cast("long").alias("turn"), F.lit(role).alias("role"), said)
+             for n, role in enumerate(("user", "assistant"))]
+    more = spark.range(1).select(F.inline(F.array(*turns)))
     return conversation_digests(format_windows(chats.unionByName(more)))
 
 

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, row_key
+from .common import cut, fresh, importable, row_key
 
 BITS = 64
 #: Machine words compared at once: arrays of this length stay in a core's cache.
@@ -78,6 +78,7 @@ def fingerprints(docs: DataFrame, conf: SimHash = SimHash(), id_col: str = "doc_
             made = [fingerprint(t.as_py(), conf.shingle, conf.seed) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(made, np.uint64).view(np.int64)), b.column(2)],
                                              ["id", "fp", "key"])
+    importable(docs.sparkSession)
     small = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"),
                         row_key(docs, id_col, text).alias("key"))
     return small.mapInArrow(run, "id long, fp long, key binary")
@@ -203,6 +204,7 @@ def links(fps: DataFrame, conf: SimHash = SimHash()) -> DataFrame:
     dealt = own.select("c", "key", "fp", F.explode(tasks).alias("t")).select("c", "key", "t.i", "t.j", "fp")
     grouped = dealt.repartition("c", "key", "i", "j").sortWithinPartitions("c", "key", "i", "j", "fp")
     limit = 64 * conf.bucket_rows
+    importable(fps.sparkSession)
 
     def flush(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         runs = np.concatenate([p[0] for p in parts])

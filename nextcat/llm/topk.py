@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, importable
 
 _EXACT = float(1 << 53)
 
@@ -172,6 +172,7 @@ def top_products(queries: DataFrame, candidates: DataFrame, conf: TopK = TopK(),
     def rows(df: DataFrame) -> DataFrame:
         return df.where(F.col(id_col).isNotNull() & _valid(F.col(vector))).select(
             F.col(id_col).cast("long").alias("id"), _integers(F.col(vector)).alias("vector"))
+    importable(candidates.sparkSession)
     buckets = cut(_numbered(_pack(rows(candidates), conf.bucket, conf.scale), conf.group))
     blocks = cut(_numbered(_pack(rows(queries).distinct(), conf.block, conf.scale), conf.group))
     counts = lambda df: df.groupBy("dim").agg((F.max("g") + 1).alias("groups"))
