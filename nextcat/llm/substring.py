@@ -11,7 +11,8 @@ often as any window that it stands for, and neighbouring windows share one.
 2. Windows whose anchor is estimated to repeat are put out, one row per run of
    windows with a common anchor, and grouped exactly: equal runs first (copies
    match run by run), then window by window where an anchor has several
-   different runs.  A run put out without cause counts 1 and drops out.
+   different runs: in one row where these are few, by a shuffle of windows where
+   they are many.  A run put out without cause counts 1 and drops out.
 3. Documents are joined with their covered spans.
 
 None is lost: the sketch only overestimates.  At any size, the merged sketch is
@@ -27,16 +28,18 @@ text) repeat as well."""
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, row_key
+from .common import cut, fresh, importable, row_key
 
 #: Words whose windows are hashed together.
 CHUNK = 1 << 18
@@ -52,6 +55,7 @@ class Substrings:
     gram: int = 8
     width: int = 1 << 27  # cells of a sketch row, a multiple of SHARD
     depth: int = 2
+    kinds: int = 512      # anchors with more different runs are counted by shuffled windows
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -175,11 +179,10 @@ def sketch(docs: DataFrame, conf: Substrings = Substrings(), text: str = "text")
     return out
 
 
-def candidate_runs(docs: DataFrame, conf: Substrings, key: Column, text: str = "text") -> DataFrame:
-    """(key, anchor, first, hashes, run) of the runs whose anchor the sketch
-    estimates to repeat; run hashes the run's windows."""
-    bits = docs.sparkSession.sparkContext.broadcast(sketch(docs, conf, text))
-
+def candidate_runs(docs: DataFrame, conf: Substrings, key: Column, bits: Broadcast, hashes: bool, text: str = "text") -> DataFrame:
+    """The runs whose anchor the sketch estimates to repeat, as (anchor, run,
+    hashes) with all window hashes, or as (key, anchor, run, first) with the
+    document and first window.  run hashes the run's windows."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bits.value
         for batch, own in _chunks(batches, 1):
@@ -193,57 +196,86 @@ def candidate_runs(docs: DataFrame, conf: Substrings, key: Column, text: str = "
             flat = windows[np.repeat(keep, length)].view(np.int64)
             offsets = np.concatenate(([0], np.cumsum(length[keep])))
             raw = flat.tobytes()
-            run = [xxhash.xxh3_64_intdigest(raw[8 * a:8 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(pa.array(doc[keep])), pa.array(anchor[keep].view(np.int64)),
-                pa.array(first[keep].astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat)),
-                pa.array(np.array(run, _U).view(np.int64))], ["key", "anchor", "first", "hashes", "run"])
+            run = np.array([xxhash.xxh3_64_intdigest(raw[8 * a:8 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], _U)
+            names = [pa.array(anchor[keep].view(np.int64)), pa.array(run.view(np.int64))]
+            if hashes:
+                yield pa.RecordBatch.from_arrays([*names, pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))],
+                                                 ["anchor", "run", "hashes"])
+            else:
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc[keep])), *names, pa.array(first[keep].astype(np.int32))],
+                                                 ["key", "anchor", "run", "first"])
 
-    return docs.select(key.alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(
-        emit, "key binary, anchor long, first int, hashes array<long>, run long")
+    schema = "anchor long, run long, hashes array<long>" if hashes else "key binary, anchor long, run long, first int"
+    return docs.select(key.alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(emit, schema)
+
+
+def _shared_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(anchor, run, at) of the windows that a run without equal shares with another run of its anchor."""
+    for batch in batches:
+        out: tuple[list, list, list] = ([], [], [])
+        for anchor, kinds in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            seen = Counter()
+            for k in kinds:
+                for h in k["hashes"]:
+                    seen[h] += k["n"]
+            for k in kinds:
+                if k["n"] == 1:
+                    at = [i for i, h in enumerate(k["hashes"]) if seen[h] > 1]
+                    if at:
+                        for column, value in zip(out, (anchor, k["run"], at)):
+                            column.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(pa.int32()))],
+                                         ["anchor", "run", "at"])
 
 
 def repeated_spans(docs: DataFrame, conf: Substrings, key: Column, text: str = "text") -> DataFrame:
-    """(key, spans array<struct<begin, n>>): first words and numbers of
-    consecutive repeated windows, per document that has any."""
-    runs = cut(candidate_runs(docs, conf, key, text))
-    kinds = cut(runs.groupBy("anchor", "run").agg(F.count("*").alias("n"), F.any_value("hashes").alias("hashes"))
-                .join(runs.groupBy("anchor").agg(F.count("*").alias("all")).where("all > 1").select("anchor"), "anchor", "left_semi"))
-    copied = kinds.where("n > 1").select("anchor", "run", F.size("hashes").alias("size"))
-    # an anchor with a run that has no equal: its windows are counted one by one, each kind of run weighing n
-    odd = kinds.where("n = 1").select("anchor").distinct()
-    single = cut(kinds.join(odd, "anchor", "left_semi").select("anchor", "run", "n", F.posexplode("hashes").alias("at", "hash")))
-    twice = single.groupBy("anchor", "hash").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", "hash")
-    partly = (single.where("n = 1").join(twice, ["anchor", "hash"], "left_semi")
-              .groupBy("anchor", "run").agg(F.sort_array(F.collect_list("at")).alias("at")))
-    hits = copied.select("anchor", "run", F.sequence(F.lit(0), F.col("size") - 1).alias("at")).unionByName(partly)
-    return (runs.select("key", "anchor", "run", "first").join(hits, ["anchor", "run"])
-            .groupBy("key").agg(F.collect_set(F.struct("first", "at")).alias("spans")))
+    """(key, spans array<struct<first, n>>): stretches of consecutive repeated
+    windows, by first word, per document that has any."""
+    bits = docs.sparkSession.sparkContext.broadcast(sketch(docs, conf, text))
+    # candidates are made twice, with hashes and with places, rather than once and stored with both
+    kinds = cut(candidate_runs(docs, conf, key, bits, True, text).groupBy("anchor", "run")
+                .agg(F.count("*").alias("n"), F.any_value("hashes").alias("hashes")))
+    copied = kinds.where("n > 1").select("anchor", "run", F.array(F.struct(F.lit(0).alias("at"), F.size("hashes").alias("n"))).alias("spans"))
+    # an anchor with several kinds of run, one of them without equal: its windows are counted one by one
+    mixed = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1")
+    few = kinds.join(mixed.where(F.col("kinds") <= conf.kinds).select("anchor"), "anchor", "left_semi")
+    near = (few.groupBy("anchor").agg(F.collect_list(F.struct("run", "n", "hashes")).alias("k"))
+            .mapInArrow(_shared_windows, "anchor long, run long, at array<int>"))
+    many = (kinds.join(mixed.where(F.col("kinds") > conf.kinds).select("anchor"), "anchor", "left_semi")
+            .select("anchor", "run", "n", F.posexplode("hashes").alias("at", "hash")))
+    twice = many.groupBy("anchor", "hash").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", "hash")
+    far = (many.where("n = 1").join(twice, ["anchor", "hash"], "left_semi")
+           .groupBy("anchor", "run").agg(F.collect_list("at").alias("at")))
+    single = near.unionByName(far).select("anchor", "run", F.transform("at", lambda x: F.struct(x.alias("at"), F.lit(1).alias("n"))).alias("spans"))
+    hits = copied.unionByName(single)
+    return (candidate_runs(docs, conf, key, bits, False, text).join(hits, ["anchor", "run"])
+            .select("key", F.transform("spans", lambda x: F.struct((F.col("first") + x["at"]).alias("first"), x["n"].alias("n"))).alias("spans"))
+            .groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans")))
 
 
 def substring_dedup(docs: DataFrame, conf: Substrings = Substrings(), id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id_col, n_words long, n_removed long, kept string) per row of ``docs``;
     kept: the words that no repeated window covers, joined by one space."""
+    importable(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     spans = repeated_spans(docs, conf, row_key(docs, id_col, text), text)
     key, = fresh(docs, "_key")
     own = docs.withColumn(key, row_key(docs, id_col, text)).select(
         F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"), F.col(key).alias("key"))
-    joined = own.join(spans, "key", "left").select(
-        "id", "text", F.flatten(F.transform("spans", lambda s: F.transform(s["at"], lambda a: s["first"] + a))).alias("starts"))
+    joined = own.join(spans, "key", "left").select("id", "text", F.col("spans.first").alias("first"), F.col("spans.n").alias("n"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, kept = [], [], []
             for i in range(batch.num_rows):
                 words = _split(batch.column(1)[i].as_py())
-                starts = batch.column(2)[i].values
+                first, n = batch.column(2)[i].values, batch.column(3)[i].values
                 gone = 0
-                if starts is not None and len(starts):
+                if first is not None and len(first):
+                    first, n = first.to_numpy(), n.to_numpy()
                     step = np.zeros(len(words) + 1, np.int64)
-                    at = np.unique(starts.to_numpy(zero_copy_only=False))
-                    step[at] += 1
-                    step[at + conf.window] -= 1
+                    np.add.at(step, first, 1)
+                    np.add.at(step, first + n + (conf.window - 1), -1)
                     keep = np.cumsum(step[:-1]) == 0
                     gone = len(words) - int(keep.sum())
                     n_words.append(len(words))
