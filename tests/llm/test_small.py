@@ -338,7 +338,7 @@ def test_chat_windows(spark):
 def test_substrings_equal_brute_force(docs, empty):
     rows = sample()
     want = sorted(repr((r[0], len(brute.words(r[1])), " ".join(k))) for r, k in zip(rows, brute.kept_words([r[1] for r in rows])))
-    for conf in (substring.Substrings(), substring.Substrings(width=substring.SHARD, depth=1), substring.Substrings(gram=35)):
+    for conf in (substring.Substrings(), substring.Substrings(width=substring.SHARD, depth=1), substring.Substrings(gram=35), substring.Substrings(kinds=1)):
         got = substring.substring_dedup(clashing(docs), conf).collect()
         assert sorted(repr((r.doc_id, r.n_words, r.kept)) for r in got) == want
         assert all(r.n_words - r.n_removed == len(brute.words(r.kept)) for r in got)
