@@ -250,7 +250,7 @@ def repeated_spans(docs: DataFrame, conf: Substrings, key: Column, text: str = "
     hits = copied.unionByName(single)
     return (candidate_runs(docs, conf, key, bits, False, text).join(hits, ["anchor", "run"])
             .select("key", F.transform("spans", lambda x: F.struct((F.col("first") + x["at"]).alias("first"), x["n"].alias("n"))).alias("spans"))
-            .groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans")))
+            .groupBy("key").agg(F.flatten(F.collect_set("spans")).alias("spans")))  # equal rows have equal spans
 
 
 def substring_dedup(docs: DataFrame, conf: Substrings = Substrings(), id_col: str = "doc_id", text: str = "text") -> DataFrame:
