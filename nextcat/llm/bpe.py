@@ -174,7 +174,7 @@ def encode_texts(vocab: Vocabulary, texts: list[str]) -> list[np.ndarray]:
     width = np.where(lengths <= 64, widths[np.minimum(lengths, 64) - 1], 0)  # 0: a tree of its own
     for w in np.unique(width).tolist():
         which = np.flatnonzero(width == w)
-        step = max(1, (1 << 20) // w) if w else 1  # bounds the arrays
+        step = max(1, (1 << 18) // w) if w else 1  # bounds the arrays
         for k in range(0, len(which), step):
             own = which[k:k + step]
             if w:
