@@ -213,8 +213,10 @@ def load(spark: SparkSession, path: str | None = None, pattern: str = public_tok
         return spark.sparkContext.broadcast((f.read(), pattern))
 
 
-def encode(docs: DataFrame, tokenizer: Broadcast, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id_col, ids array<int>) per row of ``docs``."""
+def encode(docs: DataFrame, tokenizer: Broadcast, id_col: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
+    """(id_col, ids array<int>) per row of ``docs``, and with ``decoded`` also
+    decoded binary: the bytes that the ids stand for, made from them in the same
+    task (a text that comes back unequal shows a fault of the vocabulary)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = _vocabulary(*tokenizer.value)
         for batch in batches:
@@ -227,10 +229,14 @@ def encode(docs: DataFrame, tokenizer: Broadcast, id_col: str = "doc_id", text:
                     made = encode_texts(vocab, texts)
                     offsets = np.concatenate(([0], np.cumsum([len(x) for x in made])))
                     ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(made), pa.int32()))
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, i + 1 - begin), ids], [id_col, "ids"])
+                    columns = [batch.column(0).slice(begin, i + 1 - begin), ids]
+                    if decoded:
+                        columns.append(pa.array([decode_ids(vocab, x) for x in made], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names)
                     begin, size, texts = i + 1, 0, []
-    kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, F.col(text).cast("string").alias("text")).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
+    names = [id_col, "ids", "decoded"][:3 if decoded else 2]
+    schema = f"`{id_col}` {dict(docs.dtypes)[id_col]}, ids array<int>" + (", decoded binary" if decoded else "")
+    return docs.select(id_col, F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def decoder(tokenizer: Broadcast):

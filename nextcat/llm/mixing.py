@@ -134,15 +134,16 @@ def first_words(text: Column, n: Column) -> Column:
 
 
 def mixed_documents(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """A row per copy taken, with the columns of ``docs``; the copy in service
-    when its source reaches the target is cut after the words taken."""
+    """A row per copy taken, with the columns of ``docs``, range-sorted into
+    mixing order; the copy in service when its source reaches the target is cut
+    after the words taken."""
     rows, mixed = mix_sources(docs, mix, id_col, text, source)
-    chosen = rows.join(mixed, rows.source.eqNullSafe(mixed.source) & (rows.slot == mixed.slot)).select("key", rows["size"], "taken")
-    key, size, taken, pick = fresh(docs, "_key", "_size", "_taken", "_pick")
-    chosen = chosen.select(F.col("key").alias(key), F.col("size").alias(size), F.col("taken").alias(taken))
+    key, size, taken, position, pick = fresh(docs, "_key", "_size", "_taken", "_position", "_pick")
+    chosen = rows.join(mixed, rows.source.eqNullSafe(mixed.source) & (rows.slot == mixed.slot)).select(
+        F.col("key").alias(key), rows["size"].alias(size), F.col("taken").alias(taken), F.col("position").alias(position))
     own = docs.withColumn(key, row_key(docs, id_col, text))
     one = Window.partitionBy(key).orderBy(key)  # of equal rows; each of them has slots, so copies, of its own
-    both = own.withColumn(pick, F.row_number().over(one)).where(F.col(pick) == 1).join(chosen, key)
+    both = own.withColumn(pick, F.row_number().over(one)).where(F.col(pick) == 1).join(chosen, key).orderBy(position)
     columns = [F.when(F.col(taken) < F.col(size), first_words(F.col(text), F.col(taken))).otherwise(F.col(text)).alias(text)
                if c == text else F.col(c) for c in docs.columns]
     return both.select(*columns)

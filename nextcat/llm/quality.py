@@ -179,9 +179,8 @@ def quality_rules(docs: DataFrame, rules: QualityRules = QualityRules(), text: s
     hashed = cut(hashed.withColumn("table", lookup(F.col("common"))))
     n_refs = hashed.count()
     parts = F.struct("common", "table", "word_counts", "class_counts")
-    r, k, t, out = fresh(docs, "_ref", "_ref_lang", "_text", out)
+    r, k, pooled, out = fresh(docs, "_ref", "_ref_lang", "_pooled", out)
     own = hashed.where(F.col("lang").isNotNull()).select(F.col("lang").alias(k), parts.alias(r))
-    pooled, = fresh(docs, "_pooled")
     rest = hashed.where(F.col("lang").isNull()).select(parts.alias(pooled))
     keyed = docs.join(broadcast_if_small(own, n_refs), docs[lang].cast("string") == F.col(k), "left")
     keyed = keyed.join(F.broadcast(rest), F.lit(True), "left")  # one row at most

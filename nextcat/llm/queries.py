@@ -63,10 +63,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op1_byte_bpe")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokenizer = bpe.load(spark)
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer)
-    decoded = encoded.withColumn("decoded", bpe.decoder(tokenizer)("ids"))
-    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), bpe.load(spark), decoded=True)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2(bpe.id_text(F.col("ids")), 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 

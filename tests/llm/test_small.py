@@ -102,6 +102,9 @@ def test_mixed_documents_repeat_rows_and_cut(docs):
     out = mixing.mixed_documents(clashing(docs))
     assert out.columns == clashing(docs).columns
     assert sum(len(brute.words(r.text)) for r in out.collect()) == taken
+    rows, mixed = mixing.mix_sources(docs)
+    order = [r.taken for r in mixed.orderBy("position").collect()]
+    assert [len(brute.words(r.text)) for r in mixing.mixed_documents(docs).collect()] == order
 
 
 def test_first_words(spark):
