@@ -6,6 +6,7 @@ import base64
 import hashlib
 import re
 from collections import Counter
+from functools import lru_cache
 
 import duckdb
 import public_tokenizers
@@ -78,3 +79,8 @@ def sql_over(documents, sql):
     con.register("documents_frame", documents)
     con.execute("CREATE TABLE documents AS SELECT * FROM documents_frame")
     return con.execute(sql).df()
+
+
+@lru_cache(maxsize=1)
+def tokenizer_once():
+    return tokenizer()
