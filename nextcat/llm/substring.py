@@ -39,7 +39,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, importable, row_key
+from .common import broadcast_if_small, cut, fresh, importable, row_key
 
 #: Words whose windows are hashed together.
 CHUNK = 1 << 18
@@ -237,11 +237,12 @@ def repeated_spans(docs: DataFrame, conf: Substrings, key: Column, text: str = "
                 .agg(F.count("*").alias("n"), F.any_value("hashes").alias("hashes")))
     copied = kinds.where("n > 1").select("anchor", "run", F.array(F.struct(F.lit(0).alias("at"), F.size("hashes").alias("n"))).alias("spans"))
     # an anchor with several kinds of run, one of them without equal: its windows are counted one by one
-    mixed = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1")
+    mixed = cut(kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1"))
     few = kinds.join(mixed.where(F.col("kinds") <= conf.kinds).select("anchor"), "anchor", "left_semi")
     near = (few.groupBy("anchor").agg(F.collect_list(F.struct("run", "n", "hashes")).alias("k"))
             .mapInArrow(_shared_windows, "anchor long, run long, at array<int>"))
-    many = (kinds.join(mixed.where(F.col("kinds") > conf.kinds).select("anchor"), "anchor", "left_semi")
+    frequent = mixed.where(F.col("kinds") > conf.kinds).select("anchor")  # their runs do not meet in one task
+    many = (kinds.join(broadcast_if_small(frequent, frequent.count(), 100_000), "anchor", "left_semi")
             .select("anchor", "run", "n", F.posexplode("hashes").alias("at", "hash")))
     twice = many.groupBy("anchor", "hash").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", "hash")
     far = (many.where("n = 1").join(twice, ["anchor", "hash"], "left_semi")
