@@ -14,8 +14,12 @@ block become one space, blocks are joined by a blank line.
 
 Defined cases: a null or empty page, or one without content, gives an empty
 text; unclosed and misplaced tags are closed where a browser would close
-paragraphs, list items and cells; deep nesting and very long pages need no
-recursion; repeated rows give repeated rows; a null url is kept."""
+paragraphs, list items and cells; a head without an end tag ends at the first
+tag or text that may not stand in it; an svg or math element ends at a tag of
+HTML that breaks out of it, and these and the other hidden elements end with the
+block around them, but titles, scripts, styles, text areas, frames and templates
+only at their own end tags; deep nesting and very long pages need no recursion;
+repeated rows give repeated rows; a null url is kept."""
 
 from __future__ import annotations
 
@@ -40,6 +44,16 @@ figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main
 tfoot th thead tr ul button""".split())
 #: Elements whose inside is never text of the page.
 HIDDEN = frozenset("head title script style template noscript iframe svg math canvas audio video object select textarea datalist".split())
+#: Hidden elements that nothing but their own end tag closes; all but the last hold no tags.
+SEALED = frozenset("title script style textarea iframe template".split())
+#: Elements with an inside that may stand in a head, and those without.
+HEAD_BLOCKS = frozenset("title script style noscript template noframes".split())
+HEAD_VOID = frozenset("base basefont bgsound link meta".split())
+#: Elements of other languages, the parts of them that hold HTML again, and the start tags that end them elsewhere.
+FOREIGN = frozenset(("svg", "math"))
+POINTS = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+BREAKOUT = frozenset("""b big blockquote br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 hr i img li listing menu meta nobr ol p
+pre ruby s small span strong strike sub sup table tt u ul var""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A start tag closes an open element of its row, unless one of the second set is open in between.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -64,7 +78,6 @@ class _Reader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.tree = Tree()
         self.open: list[tuple[str, int]] = []  # (tag, node; -1 inside a hidden element)
-        self.hidden = 0
         self.buffer: list[str] = []
         self.link = self.linked = 0
         self.add("html", (), "")
@@ -88,16 +101,52 @@ class _Reader(HTMLParser):
             self.buffer = []
         self.link = self.linked = 0
 
+    def visible(self) -> int:
+        """Number of open elements around the outermost hidden one."""
+        k = len(self.open)
+        while self.open[k - 1][1] < 0:
+            k -= 1
+        return k
+
+    def broken_out(self, tag: str) -> int:
+        """Number of open elements that are left when ``tag`` starts in an element of another language."""
+        left = k = len(self.open)
+        while tag in BREAKOUT and self.open[k - 1][1] < 0 and self.open[k - 1][0] not in POINTS:
+            k -= 1
+            if self.open[k][0] in FOREIGN:
+                left = k
+            elif self.open[k][0] in HIDDEN:
+                break
+        return left
+
+    def start_hidden(self, tag: str) -> bool:
+        """Whether the start tag stands in a hidden element, once those that it ends are closed."""
+        while self.open[-1][1] < 0:
+            top = self.open[-1][0]
+            if top == "head" and tag not in HEAD_BLOCKS | HEAD_VOID | {"head", "html"}:
+                self.open.pop()
+            elif (left := self.broken_out(tag)) < len(self.open):
+                del self.open[left:]
+            else:
+                if top == "head":
+                    inner = tag in HEAD_BLOCKS
+                else:  # blocks inside are kept, so that their end tags are not taken for those of blocks around
+                    inner = (top not in SEALED or top == "template") and tag not in VOID and (
+                        tag in HIDDEN or tag in BLOCKS or tag in POINTS or "-" in tag)
+                if inner:
+                    if top == "p" and tag in BLOCKS:
+                        self.open.pop()
+                    self.open.append((tag, -1))
+                return True
+        return False
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag == "body":
-            self.shut({"head"}, set())
-        if self.hidden:
-            if tag == self.open[-1][0] and tag not in VOID:
-                self.hidden += 1
+        if tag == "body" and ("head", -1) in self.open:
+            del self.open[self.open.index(("head", -1)):]
+        if self.start_hidden(tag):
             return
         if tag in HIDDEN:
             self.open.append((tag, -1))
-            self.hidden = 1
             return
         if tag not in BLOCKS and "-" not in tag:
             if tag == "br":
@@ -119,26 +168,30 @@ class _Reader(HTMLParser):
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
-        if tag in HIDDEN:
+        if tag in HIDDEN or self.open[-1] == (tag, -1) and tag in POINTS:
             self.handle_endtag(tag)
 
     def shut(self, tags: set[str] | frozenset[str], until: set[str] | frozenset[str]) -> None:
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k][0] in tags:
                 self.flush()
-                self.hidden = 0
                 del self.open[k:]
                 return
             if self.open[k][0] in until:
                 return
 
     def handle_endtag(self, tag: str) -> None:
-        if self.hidden:
-            if tag == self.open[-1][0]:
-                self.hidden -= 1
-                if not self.hidden:
-                    self.open.pop()
-            return
+        if self.open[-1][1] < 0:
+            known = self.visible()
+            for k in range(len(self.open) - 1, known - 1, -1):
+                if self.open[k][0] == tag:
+                    del self.open[k:]
+                    return
+                if self.open[k][0] in SEALED:
+                    return
+            if tag not in BLOCKS and "-" not in tag or tag not in ("html", "body") and all(x[0] != tag for x in self.open[1:known]):
+                return
+            del self.open[known:]
         if tag == "a":
             self.link = max(0, self.link - 1)
         elif tag in BLOCKS or "-" in tag:
@@ -147,7 +200,9 @@ class _Reader(HTMLParser):
                 self.shut({tag}, frozenset())
 
     def handle_data(self, data: str) -> None:
-        if not self.hidden:
+        if self.open[-1] == ("head", -1) and data.strip():
+            self.open.pop()
+        if self.open[-1][1] >= 0:
             self.buffer.append(data)
             if self.link:
                 self.linked += len(data)
@@ -157,6 +212,7 @@ def parse(html: str | None) -> Tree:
     reader = _Reader()
     reader.feed(html or "")
     reader.close()
+    del reader.open[reader.visible():]
     reader.flush()
     return reader.tree
 

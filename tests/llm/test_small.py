@@ -164,6 +164,33 @@ def test_extract_by_hand(spark, model):
     assert extract.extract(pages, model).count() == 7 and extract.extract(pages.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("html, texts", [
+    ("<html><head><title>T</title><article><p>Text.</p></article></html>", ["Text."]),
+    ("<head><meta charset=x><title>T</title><style>p {}</style><noscript><img src=x></noscript><link rel=x>\n Plain <b>text</b>.", ["Plain text."]),
+    ("<head><title>T</title><noscript><div>no</div></noscript><script>'<p>no</p>'</script></head><body><p>Text.", ["Text."]),
+    ("<head><title>T<body><p>Text.", ["Text."]), ("<head><title>T</title></head>Text.", ["Text."]),
+    ("<title>no <p>no</div> no</title><div>Text.</div>", ["Text."]),
+    ("<div><p>One.</p><svg><path d=x><title>no</title></div><p>Two.</p>", ["One.", "Two."]),
+    ("<svg><g><text>no</text><p>Text.</p>", ["Text."]),
+    ("<div><svg><foreignObject><div><p>no</p></div>no</foreignObject><desc/><text>no</text></svg>Text.</div>", ["Text."]),
+    ("<section>One.<math><mi>x</mi><mo>no</section><p>Two.", ["One.", "Two."]),
+    ("<div>One. <noscript><div><p>no<div>no</p></div>no</div>no</noscript>Two.</div>", ["One. Two."]),
+    ("<div><object><p>no</p>no</div><p>Text.</p>", ["Text."]), ("<div><noscript>no<x-y>no</x-y>no</div>Text.", ["Text."]),
+    ("<div><template><p>no</p></div>no</template>Text.", ["Text."]), ("<div><textarea></div>no</textarea>Text.", ["Text."]),
+    ("<p>One.<svg>no", ["One."]), ("<div><select><option>no</body>", []), ("<head/><p>Text.", ["Text."]),
+    ("<svg>" * 3000 + "<p>Text.", ["Text."]), ("<div><canvas>" + "<div>" * 3000 + "no" + "</div>" * 3001 + "Text.", ["Text."])])
+def test_hidden_elements_end(html, texts):
+    tree = extract.parse(html)
+    assert [t for t in tree.text if t] == texts
+    assert tree.parent[0] == -1 and all(0 <= p < i for i, p in enumerate(tree.parent) if i)
+
+
+def test_extract_without_end_of_head(spark, model):
+    pages = spark.createDataFrame([(1, "u", "<html><head><title>T</title><article><p>Text of the page, some words.</p></article></html>")],
+                                  "page_id long, url string, html string")
+    assert [r.text for r in extract.extract(pages, model).collect()] == ["Text of the page, some words."]
+
+
 def test_extract_on_held_out_pages(model):
     right = wrong = 0
     for html in labelled_pages.labelled_pages(100, seed=77):
