@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nextcat.llm import bpe
-from nextcat.llm.line_dedup import drop_shared_lines
+from nextcat.llm.line_dedup import LineRules, drop_shared_lines
 from nextcat.llm.mixing import mixed_documents
 from nextcat.llm.quality import keep_good
 from nextcat.llm.simhash import drop_near_copies
@@ -22,8 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that many sources share."""
-    return drop_shared_lines(docs)
+    """Documents without the lines that many sources share, whatever their share of a document with others."""
+    return drop_shared_lines(docs, LineRules(own_lines=True))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,8 +11,9 @@ pre-aggregated before they are shuffled, and only line numbers travel back to
 the documents.
 
 A document of which more than ``max_share`` of the non-blank lines would go is
-a copy of another page, not a page that carries boilerplate; it is left whole
-for the near-duplicate stage.
+taken for a copy of another page and left whole for the near-duplicate stage;
+nothing checks that it is one.  With ``own_lines`` the share does not matter: a
+document is left whole only where no line of its own would remain.
 
 Defined cases: null or empty text: no lines, text unchanged; a null site counts
 as one site of its own; blank lines never count and are never removed; repeated
@@ -36,6 +37,7 @@ _BLANKS = " \t\n\x0b\x0c\r"
 class LineRules:
     min_sites: int = 10      # distinct sites that make a line boilerplate
     max_share: float = 0.5   # largest share of a document's lines that may go
+    own_lines: bool = False  # instead, any share may go that leaves a line
     lg_k: int = 12           # log2 of the sketch's registers: standard error 1.04 / sqrt(2^lg_k)
 
     @property
@@ -97,7 +99,8 @@ def line_dedup(docs: DataFrame, rules: LineRules = LineRules(), id_col: str = "d
     n_shared = F.coalesce(F.size(pos), F.lit(0)).cast("long")
     stats, = fresh(both, "_stats")
     both = both.withColumn(stats, F.struct(n_lines.alias("n_lines"), n_shared.alias("n_shared")))
-    cuts = (F.col(stats)["n_shared"] > 0) & (F.col(stats)["n_shared"] <= rules.max_share * F.col(stats)["n_lines"])
+    n_lines, n_shared = F.col(stats)["n_lines"], F.col(stats)["n_shared"]
+    cuts = (n_shared > 0) & (n_shared < n_lines if rules.own_lines else n_shared <= rules.max_share * n_lines)
     kept = F.array_join(F.filter(_lines(F.col(text)), lambda x, i: ~F.array_contains(F.col(pos), i)), "\n")
     columns = [F.when(cuts, kept).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in docs.columns]
     return both.select(*columns, F.struct(

@@ -39,6 +39,13 @@ def test_stages_keep_the_columns_of_documents(spark):
         assert stage(spark, docs, DIR).columns == docs.columns
 
 
+def test_lines_stage_removes_any_share(spark):
+    rows = [(i, f"header\nown body {i}\n footer ", "en", f"s{i}", 0) for i in range(10)] + [(20, "header\n\nfooter", "en", "s0", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, DIR).collect()}
+    assert got == {i: f"own body {i}" for i in range(10)} | {20: "header\n\nfooter"}
+
+
 def test_byte_bpe_query(spark):
     plain = brute.tokenizer()
     got = QUERIES["op1_byte_bpe"](spark, DIR).toPandas().set_index("doc_id")
