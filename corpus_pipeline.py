@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 from nextcat.llm import bpe
 from nextcat.llm.line_dedup import LineRules, drop_shared_lines
 from nextcat.llm.mixing import mixed_documents
-from nextcat.llm.quality import keep_good
+from nextcat.llm.quality import QualityRules, keep_good
 from nextcat.llm.simhash import drop_near_copies
 from nextcat.session import scratch_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return keep_good(docs)
+    """Documents that the quality rules keep; none is judged by documents of other scripts."""
+    return keep_good(docs, QualityRules(caseless_pool=False))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

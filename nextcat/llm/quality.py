@@ -14,8 +14,10 @@ text is shuffled.
 
 Defined cases: a null or empty text has no words, counts 0 and fails the base
 rule; a language that is null, empty or has under ``min_ref_words`` words is
-judged by the pooled reference of all documents; with no reference at all
-(empty table) nothing is judged; repeated rows each get their own result;
+judged by the pooled reference of all documents, except that with
+``caseless_pool`` off a text mostly of letters without case (Arabic, Hindi,
+Korean ...), which is far from a pool of other scripts by its script alone, is
+not judged by it; with no reference at all (empty table) nothing is judged; repeated rows each get their own result;
 other columns are never read."""
 
 from __future__ import annotations
@@ -51,6 +53,7 @@ class QualityRules:
     min_dist_words: int = 40     # guard of the common-word distance
     max_class_distance: float = 0.27
     max_word_distance: float = 0.4
+    caseless_pool: bool = True  # judge texts of letters without case by the pool of all documents
 
 
 def char_classes(text: Column) -> Column:
@@ -64,6 +67,12 @@ def char_classes(text: Column) -> Column:
     return step(text, [p for _, p in CHAR_CLASSES], [])
 
 
+def mostly_caseless(text: Column, spaces: Column) -> Column:
+    """Whether over half of the characters but ``spaces`` are letters without case, or marks on letters."""
+    letters = F.length(text) - F.length(F.regexp_replace(text, r"[\p{Lo}\p{M}]+", ""))
+    return 2 * letters > F.length(text) - spaces
+
+
 def repeated_words(hashes: Column, n: Column, window: int) -> Column:
     """Words inside windows that occur twice or more in the row's own text.
 
@@ -172,8 +181,8 @@ def quality_rules(docs: DataFrame, rules: QualityRules = QualityRules(), text: s
                   out: str = "quality") -> DataFrame:
     """``docs`` plus one struct column ``out``: n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance
-    (both null where the length guard or a missing reference leaves the text
-    unjudged) and kept."""
+    (both null where the length guard, a missing reference or the script leaves
+    the text unjudged) and kept."""
     refs = language_references(docs, rules, text, lang)
     hashed = cut(refs.select("lang", F.transform("common", lambda w: F.xxhash64(w)).alias("common"), "word_counts", "class_counts"))
     hashed = cut(hashed.withColumn("table", lookup(F.col("common"))))
@@ -190,9 +199,10 @@ def quality_rules(docs: DataFrame, rules: QualityRules = QualityRules(), text: s
     names = [c for c, _ in CHAR_CLASSES]
 
     def judged(x: Column, hashes: Column, n: Column, classes: Column) -> Column:
-        chars = F.when(F.length(x) >= rules.min_class_chars, js_distance(classes, ref["class_counts"]))
+        fits = F.lit(True) if rules.caseless_pool else F.col(r).isNotNull() | ~mostly_caseless(x, classes[names.index("space")])
+        chars = F.when((F.length(x) >= rules.min_class_chars) & fits, js_distance(classes, ref["class_counts"]))
         bins = word_bins(hashes, n, ref["common"], ref["table"])
-        common = F.when(n >= rules.min_dist_words, let(bins, lambda b: js_distance(b, ref["word_counts"])))
+        common = F.when((n >= rules.min_dist_words) & fits, let(bins, lambda b: js_distance(b, ref["word_counts"])))
         return F.struct(
             n.cast("long").alias("n_words"),
             (F.length(x) - classes[names.index("space")]).cast("long").alias("word_chars"),

@@ -39,6 +39,22 @@ def test_stages_keep_the_columns_of_documents(spark):
         assert stage(spark, docs, DIR).columns == docs.columns
 
 
+def test_quality_stage_keeps_scripts_without_case(spark):
+    import random
+    r = random.Random(3)
+    latin = [" ".join(r.choice(["the", "of", "and", *(f"{a}{b}" for a in ("Lor", "ips", "dol") for b in ("em", "um", "or"))])
+                      for _ in range(120)) + "." for _ in range(40)]
+    word = lambda low, high: "".join(chr(r.randint(low, high)) for _ in range(r.randint(3, 7)))
+    scripts = [(0x627, 0x63A), (0x5D0, 0x5EA), (0x905, 0x939), (0xE01, 0xE2E), (0xAC00, 0xD7A3), (0x4E00, 0x9FA5)]
+    clean = [" ".join(word(*s) for _ in range(100)) + "." for s in scripts]
+    noise = [" ".join("#$%&*|" for _ in range(60)), " ".join("\u2603\u2604" + chr(0x2600 + i) + chr(0x2580 + i // 2) for i in range(100))]
+    rows = [(i, t, "en") for i, t in enumerate(latin)] + [(100 + i, t, None) for i, t in enumerate(clean)]
+    rows += [(200 + i, t, "xx") for i, t in enumerate(clean)] + [(300 + i, t, None) for i, t in enumerate(noise)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {x.doc_id for x in corpus_pipeline.quality(spark, docs, DIR).collect()}
+    assert kept == {*range(40), *range(100, 106), *range(200, 206)}
+
+
 def test_lines_stage_removes_any_share(spark):
     rows = [(i, f"header\nown body {i}\n footer ", "en", f"s{i}", 0) for i in range(10)] + [(20, "header\n\nfooter", "en", "s0", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
