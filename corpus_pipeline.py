@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nextcat.llm import bpe
+from nextcat.llm.common import text_of
 from nextcat.llm.line_dedup import LineRules, drop_shared_lines
 from nextcat.llm.mixing import mixed_documents
 from nextcat.llm.quality import QualityRules, keep_good
@@ -37,9 +38,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and ids of every copy."""
-    encoded = bpe.encode(docs, bpe.load(spark))
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """doc_id, n_tokens, ids and the SHA-256 of the decoded ids of every copy, and
+    whether they decode to the text's bytes."""
+    texts = docs.select(F.struct("doc_id", F.sha2(text_of("text").cast("binary"), 256).alias("sha256")).alias("doc"), "text")
+    encoded = bpe.encode(texts, bpe.load(spark), id_col="doc", decoded=True)
+    digest = F.sha2("decoded", 256)
+    return encoded.select("doc.doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", digest.alias("decoded_sha256"),
+                          (digest == F.col("doc.sha256")).alias("round_trip"))
 
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("SimHash near-dedup", near_copies),

@@ -3,6 +3,7 @@ queries without SQL against plain Python, on the smallest table."""
 
 import brute
 import pandas as pd
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from nextcat.llm import oracle
@@ -55,6 +56,16 @@ def test_quality_stage_keeps_scripts_without_case(spark):
     assert kept == {*range(40), *range(100, 106), *range(200, 206)}
 
 
+def test_tokens_stage_decodes(spark, monkeypatch):
+    texts = ["one two", "\u00e9 \u00fc\n", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in corpus_pipeline.tokens(spark, docs, DIR).collect()}
+    assert [(got[i].decoded_sha256, got[i].round_trip) for i in range(4)] == [(brute.sha(t or ""), True) for t in texts]
+    encode = corpus_pipeline.bpe.encode
+    monkeypatch.setattr(corpus_pipeline.bpe, "encode", lambda *a, **k: encode(*a, **k).withColumn("decoded", F.lit("x").cast("binary")))
+    assert not any(r.round_trip for r in corpus_pipeline.tokens(spark, docs, DIR).collect())
+
+
 def test_lines_stage_removes_any_share(spark):
     rows = [(i, f"header\nown body {i}\n footer ", "en", f"s{i}", 0) for i in range(10)] + [(20, "header\n\nfooter", "en", "s0", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
