@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.trends import numbered, range_sorted
 from .common import SPACE, WORD, cut, fresh, row_key, text_of
 
 #: Ranges of a source's random order, and of the virtual time, that are summed on their own.
@@ -45,26 +46,29 @@ def size_of(text: str = "text") -> Column:
 
 
 def targets(sizes: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """(source, source_size, target) from (source, source_size): one row per
-    source, so the unpartitioned windows see as many rows as there are sources."""
-    n = len(mix.weights)
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    weight = F.array(*[F.lit(float(w)) for w in mix.weights])[F.pmod(F.row_number().over(by_name) - 1, F.lit(n))]
-    w = sizes.select("source", "source_size", weight.alias("weight"))
-    cap = F.col("source_size") * mix.max_epochs
-    by_share = Window.orderBy((cap / F.col("weight")), F.col("source").asc_nulls_last())
-    before = by_share.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    filled = w.select(
-        "*", (F.sum("source_size").over(everything) * F.lit(mix.budget)).alias("budget"),
-        F.coalesce(F.sum(cap).over(before), F.lit(0)).alias("stopped"),
-        (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))).alias("open"))
+    """(source, source_size, target) from (source, source_size), a row per source.
+
+    Sources are numbered, and their caps and weights summed, over sorted ranges:
+    no task sees more than a range of them."""
+    last = F.col("source").asc_nulls_last()
+    weight = F.array(*[F.lit(float(w)) for w in mix.weights])[F.pmod(F.col("_n") - 1, F.lit(len(mix.weights))).cast("int")]
+    w = numbered(sizes.select("source", "source_size"), last).select("source", "source_size", weight.alias("weight"))
+    w = w.withColumn("cap", F.col("source_size") * mix.max_epochs).withColumn("full", F.col("cap") / F.col("weight"))
+    rows = range_sorted(w, F.col("full"), last)
+    per = cut(rows.groupBy("_part").agg(F.sum("cap").alias("cap"), F.sum("weight").alias("weight"), F.sum("source_size").alias("size")))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    ahead = per.select(F.col("_part").alias("range"), F.coalesce(F.sum("cap").over(earlier), F.lit(0)).alias("caps"),
+                       F.coalesce(F.sum("weight").over(earlier), F.lit(0.0)).alias("weights"))
+    whole = per.agg((F.sum("size") * F.lit(mix.budget)).alias("budget"), F.sum("weight").alias("all_weights"))
+    inside = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    filled = (rows.join(F.broadcast(ahead), F.col("_part") == F.col("range")).join(F.broadcast(whole)).select(
+        "source", "source_size", "weight", F.col("cap").cast("double").alias("cap"), "budget",
+        (F.col("caps") + F.coalesce(F.sum("cap").over(inside), F.lit(0))).alias("stopped"),
+        (F.col("all_weights") - (F.col("weights") + F.coalesce(F.sum("weight").over(inside), F.lit(0.0)))).alias("open")))
     # share per weight if all sources before this one have stopped; the first that does not stop there sets it for all after
-    share = (F.col("budget") - F.col("stopped")) / F.col("open")
-    level = filled.select("*", share.alias("share"), cap.cast("double").alias("cap"))
-    level = level.select("*", F.min(F.when(F.col("share") * F.col("weight") <= F.col("cap"),
-                                           F.struct("stopped", "share"))).over(everything)["share"].alias("level"))
-    return level.select("source", "source_size", F.when(
+    filled = cut(filled.withColumn("share", (F.col("budget") - F.col("stopped")) / F.col("open")))
+    level = filled.agg(F.min(F.when(F.col("share") * F.col("weight") <= F.col("cap"), F.struct("stopped", "share")))["share"].alias("level"))
+    return filled.join(F.broadcast(level)).select("source", "source_size", F.when(  # one row
         F.col("level").isNull() | (F.col("level") * F.col("weight") > F.col("cap")), F.col("cap"))
         .otherwise(F.col("level") * F.col("weight")).alias("target"))
 
@@ -87,7 +91,7 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text:
     earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     start = (sums.select("source", "range", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("sum_before"),
                          F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("rows_before")))
-    at = start.join(goal, start.source.eqNullSafe(goal.source)).select(start["*"], goal.source_size, goal.target)
+    at = start.join(goal.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     inside = Window.partitionBy("source", "range").orderBy("order", "id", "size", "key")
     queued = sized.join(at, sized.source.eqNullSafe(at.source) & (sized.range == at.range)).select(
         sized["*"], "sum_before", "rows_before", "source_size", "target")

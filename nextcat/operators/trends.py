@@ -7,7 +7,7 @@ all rows first, so the rows of one entity lie over as many tasks as they need.""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import FeatureConfig
@@ -57,9 +57,10 @@ def period_gaps(df: DataFrame, entity: str = "customer_id", idx: str = "period_i
                       (F.col(idx) - F.col("_prev") - 1).alias("missing")))
 
 
-def range_sorted(df: DataFrame, *order: str) -> DataFrame:
+def range_sorted(df: DataFrame, *order: str | Column) -> DataFrame:
     """``df`` in global order: (..., _part, _at), where _part numbers the range
-    and _at the rows within it.  NULLs sort first and stay.  Written to the
+    and _at the rows within it.  NULLs stay, and sort first
+    unless the order says otherwise.  Written to the
     checkpoint folder, because ranges are sampled and must not change between
     the sums over them and the rows."""
     s = df.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -90,7 +91,7 @@ def running_balance(ledger: DataFrame, entity: str = "customer_id", ts: str = "t
             .select(*ledger.columns, "balance"))
 
 
-def numbered(df: DataFrame, *order: str) -> DataFrame:
+def numbered(df: DataFrame, *order: str | Column) -> DataFrame:
     """``df`` with ``_n``: 1, 2, 3 … in the given order over the whole table.
     No window: a row's number is its place in its sorted range plus the rows of
     the ranges before, a broadcast of one number per range."""

@@ -2,6 +2,7 @@
 texts, ties, repeated rows, empty tables, columns with clashing names."""
 
 import random
+import re
 
 import brute
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nextcat.llm import bpe, chat, extract, labelled_pages, langid, line_dedup, mixing, oracle, quality, simhash, substring, topk
+from nextcat.operators import trends
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that the operators use themselves, and one in another case.
@@ -90,6 +92,31 @@ def test_mix_by_hand(spark):
     assert max(r.most for r in got) <= 20
 
 
+def test_targets_of_many_sources(spark, monkeypatch):
+    r = random.Random(4)
+    names = sorted(f"s{i}" for i in range(500)) + [None]
+    size = {n: r.choice([0, 1, r.randint(1, 50), r.randint(1, 5000)]) for n in names}
+    left, stopped = 1.5 * sum(size.values()), set()
+    weight = {n: (5, 2, 1)[i % 3] for i, n in enumerate(names)}
+    while True:  # sources that stop give what is over to the others
+        share = (left - sum(2 * size[n] for n in stopped)) / sum(weight[n] for n in names if n not in stopped)
+        full = {n for n in names if n not in stopped and share * weight[n] > 2 * size[n]}
+        if not full:
+            break
+        stopped |= full
+    rows = r.sample(list(size.items()), len(size))
+    for patched in (mixing, trends):  # the whole plan in one piece
+        monkeypatch.setattr(patched, "cut", lambda df: df)
+    made = mixing.targets(spark.createDataFrame(rows, "source string, source_size long").repartition(5))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    windows = [x for x in plan.splitlines() if re.search(r"\bWindow \[", x)]
+    assert windows and all("_part#" in x for x in windows)  # over ranges, or inside one
+    monkeypatch.undo()
+    got = mixing.targets(spark.createDataFrame(rows, "source string, source_size long").repartition(5)).collect()
+    assert {x.source: x.source_size for x in got} == size and len(got) == len(size)
+    assert all(x.target == pytest.approx(2 * size[x.source] if x.source in stopped else share * weight[x.source]) for x in got)
+
+
 def test_mix_order_and_positions(docs):
     _, mixed = mixing.mix_sources(docs)
     rows = mixed.orderBy("position").collect()
