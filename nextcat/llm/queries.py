@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, oracle
+from . import bpe, oracle, packing
 from .chat import conversation_digests, format_windows
 from .common import table
 from .extract import extract
@@ -104,3 +104,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = spark.createDataFrame([(p,) for p in labelled_pages()], "html string")
     texts = extract(table(spark, sf_dir, "pages"), train_extractor(labelled))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@register("op11_best_fit_packing")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), packing.load(spark), digest=F.crc32("ids").alias("ids_crc32"))
