@@ -137,3 +137,27 @@ p AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q
       FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p
 QUALIFY rank <= {conf.k}"""
+
+
+def trie_sql() -> str:
+    crc = ("xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''), "
+           "lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), "
+           "lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295)")
+    path = lambda n: f"sha256(array_to_string(list_transform(t[1:{n}], lambda x: x.id), ''))"
+    return rf"""
+WITH a AS (SELECT conv_id, turn, left(sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')), 32) AS id,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({{'id': id, 'w': w}} ORDER BY turn NULLS FIRST, id) AS t FROM a GROUP BY conv_id),
+k AS (SELECT conv_id, t, conv_id - conv_id % 20 AS host, {crc} % 4 AS h FROM o),
+r AS (SELECT k.conv_id, list_concat(coalesce(o.t[1:k.h], []), k.t[k.h + 1:]) AS t FROM k LEFT JOIN o ON o.conv_id = k.host),
+p AS (SELECT conv_id, t, len(t) AS n, unnest(range(0, len(t) + 1)) AS depth FROM r),
+q AS (SELECT conv_id, depth, n, {path('depth')} AS path, CASE WHEN depth > 0 THEN {path('depth - 1')} END AS parent,
+        CASE WHEN depth > 0 THEN t[depth].w ELSE 0 END AS w FROM p),
+nodes AS (SELECT path, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(w) AS w, max(n) > depth AS inner_node,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256 FROM q GROUP BY path, depth),
+sub AS (SELECT q.path AS top, count(*) FILTER (NOT inner_node) AS n_leaves, sum((n_convs - 1) * nodes.w) AS saved
+        FROM nodes JOIN q ON q.conv_id = nodes.conv_id AND q.depth <= nodes.depth GROUP BY top),
+ch AS (SELECT parent, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(ch.n, 0) AS n_children, sub.n_leaves,
+  CAST(sub.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sub ON sub.top = n.path LEFT JOIN ch ON ch.parent = n.path LEFT JOIN nodes u ON u.path = n.parent"""

@@ -17,6 +17,7 @@ from .labelled_pages import labelled_pages
 from .langid import predict, train
 from .line_dedup import line_dedup
 from .mixing import mix_report
+from .prefix_trie import prefix_trie, turn_sequences, with_shared_heads
 from .quality import quality_rules
 from .simhash import hex_fingerprint, simhash_groups
 from .substring import substring_dedup
@@ -109,3 +110,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op11_best_fit_packing")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), packing.load(spark), digest=F.crc32("ids").alias("ids_crc32"))
+
+
+@register("op13_prefix_trie", oracle.trie_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie(with_shared_heads(turn_sequences(table(spark, sf_dir, "conversations"))))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
