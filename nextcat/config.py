@@ -44,6 +44,10 @@ class FeatureConfig:
     amount_scale: int = 2
     category_prefix: str = "cat_"
     payment_prefix: str = "pay_"
+    # Column names of the values, in their order, where a dictionary has fixed
+    # them; otherwise prefix and value make the name.
+    category_names: tuple[str, ...] | None = None
+    payment_names: tuple[str, ...] | None = None
     # Q9: a period whose rows all have a NULL pivot value drops out (inner-join
     # semantics of the three-table merge).  False keeps such rows.
     require_pivot_rows: bool = True
@@ -54,8 +58,9 @@ class FeatureConfig:
         if not 0 <= self.amount_scale <= 8:
             raise ValueError("amount_scale must be 0 to 8")
 
-    def with_values(self, categories, payments) -> "FeatureConfig":
-        return replace(self, categories=tuple(categories), payments=tuple(payments))
+    def with_values(self, categories, payments, category_names=None, payment_names=None) -> "FeatureConfig":
+        names = [None if n is None else tuple(n) for n in (category_names, payment_names)]
+        return replace(self, categories=tuple(categories), payments=tuple(payments), category_names=names[0], payment_names=names[1])
 
 
 @dataclass(frozen=True)

@@ -12,7 +12,7 @@ Three encodings are used:
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PERIOD_UNITS
@@ -106,6 +106,16 @@ def checked_period(period: str = "period", unit: str = "month") -> Column:
     return F.coalesce(start, F.when(_c(period).isNotNull(), bad))
 
 
+def canonical_period(spark: SparkSession, text: str, unit: str = "month") -> tuple[str, int]:
+    """Label and index of the period that a text names (any form that
+    :func:`parse_period` takes); an error if it names none."""
+    start = parse_period(F.lit(text), unit)
+    label, index = spark.range(1).select(period_label(start, unit), period_index(start, unit)).first()
+    if label is None:
+        raise ValueError(f"not a period of unit {unit}: {text!r}")
+    return label, index
+
+
 def add_periods(start, n: int, unit: str = "month") -> Column:
     """Start of the period ``n`` units after the one starting at ``start``."""
     _check(unit)

@@ -60,6 +60,8 @@ def discover_pivot_values(df: DataFrame, columns: list[str]) -> dict[str, list]:
 def resolve_values(txns: DataFrame, cfg: FeatureConfig) -> FeatureConfig:
     """Fix the pivot values (explicit lists win; the others are discovered in
     one shared job).  Values are compared as text."""
+    if cfg.category_names is not None:
+        return cfg  # fixed by a dictionary, in class order
     c = cfg.cols
     todo = []
     if cfg.categories is None:
@@ -204,11 +206,13 @@ def core_columns(cfg: FeatureConfig) -> list[str]:
 
 
 def category_columns(cfg: FeatureConfig) -> list[str]:
-    return pivot_names(cfg.category_prefix, cfg.categories)
+    return list(cfg.category_names) if cfg.category_names is not None else pivot_names(cfg.category_prefix, cfg.categories)
 
 
 def payment_columns(cfg: FeatureConfig) -> list[str]:
-    return pivot_names(cfg.payment_prefix, cfg.payments) if cfg.cols.payment and cfg.payments else []
+    if not (cfg.cols.payment and cfg.payments):
+        return []
+    return list(cfg.payment_names) if cfg.payment_names is not None else pivot_names(cfg.payment_prefix, cfg.payments)
 
 
 def with_label(df: DataFrame, cfg: FeatureConfig, keep_index: bool = False) -> DataFrame:

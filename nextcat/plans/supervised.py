@@ -42,7 +42,8 @@ def labelled(rolled: DataFrame, fcfg: FeatureConfig, scfg: SequenceConfig,
     """Top category, next-period label and trailing sequence on every row."""
     ent = fcfg.cols.entity
     feature_cols = feature_cols or feature_columns(rolled, fcfg)
-    m = rolled.withColumn("top_category", top_category(category_columns(fcfg), list(fcfg.categories)))
+    names, columns = zip(*sorted(zip(fcfg.categories, category_columns(fcfg))))  # ties go to the first name, whatever its class index
+    m = rolled.withColumn("top_category", top_category(list(columns), list(names)))
     label = label_columns(ent, "period_idx", "top_category", scfg.require_adjacent)
     return trailing_sequences(m, ent, "period_idx", feature_cols, scfg.seq_len, extra=label)
 

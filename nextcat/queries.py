@@ -281,7 +281,8 @@ from .plans.feature_store import narrow_tables  # noqa: E402
 from .session import scratch_path  # noqa: E402
 from .sources import io as IO  # noqa: E402
 from .sources.fixtures import ORDER_LEDGER_SQL, order_ledger  # noqa: E402
-from .streaming.incremental import refresh_since  # noqa: E402
+from .operators.dictionary import read_dictionary  # noqa: E402
+from .streaming.incremental import create_store, read_store, refresh_since, refresh_store  # noqa: E402
 from pyspark.sql.types import (DecimalType, IntegerType, LongType, StringType,  # noqa: E402
                                StructField, StructType)
 
@@ -484,6 +485,57 @@ def q_withdraw_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fs_all(IO.read_partitioned(spark, path))
 
 
+# ---------------------------------------------------------------- stores with a growing dictionary
+
+_LATE = "LARGE"
+_LATE_TXN = f"SELECT * FROM ({O.TPCH_TXN_SQL}) WHERE NOT (category = {O.lit(_LATE)} AND \"timestamp\" < TIMESTAMP '2001-01-01')"
+
+
+def _late_category_store(spark: SparkSession, sf_dir: str) -> str:
+    """A store built without one category and without 2001, then refreshed from
+    2001 on with all transactions: the category appears as a new class."""
+    txn = tpch_transactions(spark, sf_dir)
+    jan = F.lit("2001-01-01").cast("timestamp_ntz")
+    seen = txn.where((F.col("category") != _LATE) | (F.col("timestamp") >= jan))
+    base = scratch_path(spark, "fs-store")
+    create_store(seen.where(F.col("timestamp") < jan), TPCH_CONFIG, base)
+    refresh_store(seen, TPCH_CONFIG, base, "2001-01-15")  # any day of the period names it
+    return base
+
+
+@register("refresh_new_category", O.select_from_fs(_ALL, cte=O.feature_store_sql(_LATE_TXN)))
+def q_refresh_new_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E9 + S8: a refresh in one commit that meets a new category; its column is
+    0 in the periods before, all other columns stay."""
+    fs, _ = read_store(spark, _late_category_store(spark, sf_dir))
+    return _fs_all(fs)
+
+
+@register("category_dictionary", f"""
+WITH v AS (SELECT 'category' AS "pivot", category AS value, category = {O.lit(_LATE)} AS late FROM ({_LATE_TXN})
+           UNION ALL SELECT 'payment', payment_method, FALSE FROM ({_LATE_TXN}) WHERE "timestamp" < TIMESTAMP '2001-01-01'),
+d AS (SELECT DISTINCT * FROM v)
+SELECT "pivot", value, CAST(row_number() OVER (PARTITION BY "pivot" ORDER BY late, value) - 1 AS INTEGER) AS class_index,
+  CASE "pivot" WHEN 'category' THEN 'cat_' ELSE 'pay_' END || regexp_replace(value, '[^0-9A-Za-z_]', '_', 'g') AS column_name FROM d""")
+def q_category_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E9 + M1: the stored dictionary after that refresh; the late category has
+    the last class index, the others keep theirs."""
+    return read_dictionary(spark, _late_category_store(spark, sf_dir) + "/dictionary")
+
+
+@register("drop_catalog_partitions", O.feature_store_sql() + """
+SELECT period, COUNT(*) AS n FROM fs WHERE period >= '1996-01' GROUP BY period""")
+def q_drop_catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8, catalog form: a partitioned table of the catalog loses its 1995
+    partitions by ALTER TABLE; what is left per period."""
+    fs, _ = tpch_feature_store(spark, sf_dir)
+    path = scratch_path(spark, "fs-catalog")
+    table = "fs_" + path.rsplit("-", 1)[1]
+    fs.select("customer_id", "period").write.partitionBy("period").option("path", path).saveAsTable(table)
+    IO.drop_table_partitions(spark, table, [f"1995-{m:02d}" for m in range(1, 13)])
+    return spark.table(table).groupBy("period").agg(F.count(F.lit(1)).alias("n"))
+
+
 _BASELINE = f"SELECT customer_id, '{FIXTURE_SPLIT.predict}' AS predict_period, top_category AS predicted_category FROM sup WHERE split = 'predict'"
 
 

@@ -24,7 +24,8 @@ TXN_CSV_SCHEMA = StructType([
 ])
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
+def hadoop_fs(spark: SparkSession, path: str):
+    """(file system, path, JVM gateway) of a path, for names, renames and deletes; never for data."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
@@ -33,13 +34,13 @@ def _hadoop_fs(spark: SparkSession, path: str):
 def is_directory(spark: SparkSession, path: str) -> bool:
     """Whether the path is a directory in its own file system (the session's
     default one for a path without scheme)."""
-    fs, hpath, _ = _hadoop_fs(spark, path)
+    fs, hpath, _ = hadoop_fs(spark, path)
     return fs.exists(hpath) and fs.getFileStatus(hpath).isDirectory()
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path that this package wrote, with all below it."""
-    fs, hpath, _ = _hadoop_fs(spark, path)
+    fs, hpath, _ = hadoop_fs(spark, path)
     fs.delete(hpath, True)
 
 
@@ -123,9 +124,14 @@ def read_table(spark: SparkSession, path: str, csv_schema: StructType | None = N
     raise ValueError(f"neither a directory nor a .parquet or .csv path: {path}")
 
 
+def partition_name(spark: SparkSession, partition_col: str, value: str) -> str:
+    """``col=value``, with the characters escaped that a writer escapes."""
+    return f"{partition_col}={spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))}"
+
+
 def stored_periods(spark: SparkSession, path: str, partition_col: str = "period") -> list[str]:
     """The period values that a table has directories for (names only)."""
-    fs, base, jvm = _hadoop_fs(spark, path)
+    fs, base, jvm = hadoop_fs(spark, path)
     found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, f"{partition_col}=*")) or []
     unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     return sorted(unescape(s.getPath().getName().split("=", 1)[1]) for s in found)
@@ -137,12 +143,11 @@ def drop_partitions(spark: SparkSession, paths: str | list[str], periods=None, p
     (``path/period=v``); a missing table is a no-op.  No data is read."""
     removed = []
     for path in [paths] if isinstance(paths, str) else paths:
-        fs, base, jvm = _hadoop_fs(spark, path)
+        fs, base, jvm = hadoop_fs(spark, path)
         if not fs.exists(base):
             continue
-        escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
         for v in stored_periods(spark, path, partition_col) if periods is None else periods:
-            target = jvm.org.apache.hadoop.fs.Path(base, f"{partition_col}={escape(str(v))}")
+            target = jvm.org.apache.hadoop.fs.Path(base, partition_name(spark, partition_col, v))
             if fs.exists(target) and fs.delete(target, True):
                 removed.append(f"{path.rstrip('/')}/{target.getName()}")
     return removed
