@@ -165,15 +165,16 @@ def build_trees(vectors: DataFrame, conf: Mining = Mining()) -> DataFrame:
 
 def _grouped(rows: DataFrame, size: int) -> DataFrame:
     """``rows`` (with dim and bytes), written, with number and g: groups, counted
-    from 0 per dimension, of neighbours of about ``size`` bytes."""
+    from 0 per dimension, of neighbours of about ``size`` bytes.  A row's bytes are
+    added up inside its task, and to the sums of the tasks before (a row per task)."""
     rows = cut(rows.withColumn("number", F.monotonically_increasing_id()))
-    before = Window.partitionBy("dim", "task").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    # the upper bits of the number are those of the task that made the row: a group lies in one task's sorted rows
     small = rows.select("dim", "bytes", "number", F.shiftright("number", 33).alias("task"))
-    small = small.withColumn("c", F.floor(F.coalesce(F.sum("bytes").over(before), F.lit(0)) / size))
-    names = small.select("dim", "task", "c").distinct()  # a row per group
-    names = names.withColumn("g", F.row_number().over(Window.partitionBy("dim").orderBy("task", "c")) - 1)
-    return cut(rows.join(small.join(names, ["dim", "task", "c"]).select("number", "g"), "number"))
+    before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    tasks = small.groupBy("dim", "task").agg(F.sum("bytes").alias("all")).select(
+        "dim", "task", F.coalesce(F.sum("all").over(before("dim").orderBy("task")), F.lit(0)).alias("ahead"))
+    inside = F.coalesce(F.sum("bytes").over(before("dim", "task").orderBy("number")), F.lit(0))
+    placed = small.withColumn("inside", inside).join(tasks, ["dim", "task"])
+    return cut(rows.join(placed.select("number", F.floor((F.col("ahead") + F.col("inside")) / size).cast("int").alias("g")), "number"))
 
 
 def _unpack(ids: bytes, vectors: bytes, dim: int) -> tuple[np.ndarray, np.ndarray]:
