@@ -28,9 +28,9 @@ class FeatureConfig:
 
     ``categories`` / ``payments`` fix the pivot values (sorted on use); a value
     in the data that they do not list then fails the job.  When ``None`` they
-    are discovered with one ``distinct`` job over the data, as many as there
-    are: wide columns are a projection for as many values as a schema can hold,
-    and ``period_category_spend`` is the long form beyond that.
+    are discovered with one ``distinct`` job over the data, up to ``max_wide``
+    values, since each becomes a column; ``build_feature_maps`` builds the same
+    table with map columns for any number of values and without discovery.
     ``payments=()`` disables the payment pivot (sources that have no payment
     column).
 
@@ -42,6 +42,7 @@ class FeatureConfig:
     categories: tuple[str, ...] | None = None
     payments: tuple[str, ...] | None = None
     amount_scale: int = 2
+    max_wide: int = 4096
     category_prefix: str = "cat_"
     payment_prefix: str = "pay_"
     # Column names of the values, in their order, where a dictionary has fixed

@@ -38,17 +38,21 @@ def with_period(txns: DataFrame, cfg: FeatureConfig) -> DataFrame:
                 .withColumn("period_idx", period_index(c.timestamp, cfg.period_unit)))
 
 
-def discover_pivot_values(df: DataFrame, columns: list[str]) -> dict[str, list]:
+def discover_pivot_values(df: DataFrame, columns: list[str], most: int = 4096) -> dict[str, list]:
     """E9 for several columns in *one* job: (column, value) pairs from a single
     scan, distinct (partially aggregated before the shuffle).  The values become
-    column names, so the driver has to know them all."""
+    column names, so the driver has to know them: more than ``most`` are an error
+    (the map form has no such limit)."""
     if not columns:
         return {}
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.col(c).cast("string").alias("v"))
                                 for i, c in enumerate(columns)]))
     d = df.select(pairs.alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull()).distinct()
     out = {c: [] for c in columns}
-    for r in d.collect():
+    found = d.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} values in {columns}: build_feature_maps takes any number")
+    for r in found:
         out[columns[r["k"]]].append(r["v"])
     for c, vals in out.items():
         if not vals:
@@ -68,7 +72,7 @@ def resolve_values(txns: DataFrame, cfg: FeatureConfig) -> FeatureConfig:
         todo.append(c.category)
     if cfg.payments is None and c.payment:
         todo.append(c.payment)
-    found = discover_pivot_values(txns, todo)
+    found = discover_pivot_values(txns, todo, cfg.max_wide)
     cats = cfg.categories if cfg.categories is not None else found[c.category]
     pays = cfg.payments if cfg.payments is not None else found.get(c.payment, [])
     return cfg.with_values(sorted(cats), sorted(pays))

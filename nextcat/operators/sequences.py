@@ -14,13 +14,18 @@ def feature_array(cols: list[str]) -> Column:
     return F.array(*[F.col(q(c)).cast("double") for c in cols])
 
 
-def trailing_steps(entity: str, idx: str, feature_cols: list[str], seq_len: int) -> Column:
+def steps_of(entity: str, idx: str, features: Column, seq_len: int) -> Column:
     """The rows of the ``seq_len`` periods ending at a row, as (index, features)
     structs.  A RANGE frame over the integer period index covers exactly the
     calendar periods [t-(L-1), t]; the window holds one entity's rows, which are
     at most one per period."""
     w = Window.partitionBy(entity).orderBy(idx).rangeBetween(-(seq_len - 1), 0)
-    return F.collect_list(F.struct(F.col(idx).alias("i"), feature_array(feature_cols).alias("x"))).over(w)
+    return F.collect_list(F.struct(F.col(idx).alias("i"), features.alias("x"))).over(w)
+
+
+def trailing_steps(entity: str, idx: str, feature_cols: list[str], seq_len: int) -> Column:
+    """:func:`steps_of` for wide rows."""
+    return steps_of(entity, idx, feature_array(feature_cols), seq_len)
 
 
 def complete_sequence(steps: str, seq_len: int) -> Column:

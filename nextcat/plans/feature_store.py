@@ -9,6 +9,7 @@ from ..config import FeatureConfig
 from ..functions.columns import fill_zero
 from ..operators.features import (category_columns, core_columns, payment_columns,
                                   period_features, resolve_values, with_label)
+from ..operators.states import period_states, state_features
 from ..operators.trends import growth_columns, trend_columns, trend_growth
 
 def build_feature_store(txns: DataFrame, cfg: FeatureConfig,
@@ -43,3 +44,17 @@ def narrow_tables(combined: DataFrame, cfg: FeatureConfig) -> dict[str, DataFram
     keys = [cfg.cols.entity, "period"]
     return {name: combined.select(*keys, *cols)
             for name, cols in table_columns(cfg).items() if cols}
+
+
+def build_feature_maps(txns: DataFrame, cfg: FeatureConfig, keep_index: bool = False) -> DataFrame:
+    """L1 for any number of pivot values: the combined table with the pivots as
+    map columns (category_spend, payment_count) instead of a column per value.
+    One pass over the transactions, no discovery job, no value on the driver;
+    ``states.wide_pivots`` projects chosen values to columns."""
+    return maps_from_states(period_states(txns, cfg), cfg, keep_index)
+
+
+def maps_from_states(states: DataFrame, cfg: FeatureConfig, keep_index: bool = False) -> DataFrame:
+    """:func:`build_feature_maps` from stored or rolled-up states of ``cfg.period_unit`` periods."""
+    f = fill_zero(trend_growth(state_features(states, cfg), cfg), exclude=(cfg.cols.entity, "period_idx"))
+    return with_label(f, cfg, keep_index=keep_index)

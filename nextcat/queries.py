@@ -828,6 +828,161 @@ def q_category_diversity_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("customer_id", period_label(index_start("period_idx", "month"), "month").alias("period"), "category_diversity")
 
 
+# ---------------------------------------------------------------- maps, states, sparse vectors
+
+from dataclasses import replace  # noqa: E402
+
+from .config import TxnColumns  # noqa: E402
+from .operators import states as S  # noqa: E402
+from .operators.dictionary import ENTRY, entries, pivot_values  # noqa: E402
+from .plans import sparse as SP  # noqa: E402
+from .plans.feature_store import build_feature_maps, maps_from_states  # noqa: E402
+
+
+def _wide(maps: DataFrame) -> DataFrame:
+    """The listed categories and payment methods of a map table as columns."""
+    wide = S.wide_pivots(maps, "category_spend", O.TPCH_CATEGORIES, _CATS)
+    return _fs_all(S.wide_pivots(wide, "payment_count", O.TPCH_PAYMENTS, _PAYS))
+
+
+@register("feature_store_maps", _FS_ALL_SQL)
+def q_feature_store_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 with map pivots (one pass, no discovery), its maps as columns."""
+    return _wide(build_feature_maps(tpch_transactions(spark, sf_dir), TPCH_CONFIG))
+
+
+_MANY_TXN = f"""SELECT o_custkey AS customer_id, l_shipdate AS ts, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
+  CAST(l_partkey AS VARCHAR) || '/' || CAST(l_suppkey AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR) AS category,
+  CAST(l_orderkey AS VARCHAR) AS payment FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""
+
+
+@register("many_value_pivots", f"""
+WITH t AS ({_MANY_TXN}), b AS (SELECT *, {O.label_sql('ts', 'month')} AS period FROM t)
+SELECT customer_id, period, 'category_spend' AS pivot_name, category AS value, CAST(SUM(amount) AS DOUBLE) AS amount FROM b GROUP BY ALL
+UNION ALL SELECT customer_id, period, 'payment_count', payment, CAST(COUNT(amount) AS DOUBLE) FROM b GROUP BY ALL""")
+def q_many_value_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9, A10 over tens of thousands of different values (part, supplier and line
+    as category, order as payment method), the maps flattened."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    p = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey")
+    t = (li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey).select(
+        F.col("o_custkey").alias("customer_id"), F.col("l_shipdate").alias("timestamp"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
+        F.concat("l_partkey", F.lit("/"), "l_suppkey", F.lit("."), "l_linenumber").alias("category"), F.col("l_suppkey").alias("merchant_id"),
+        F.col("l_orderkey").alias("payment_method"), F.lit(1).alias("is_online")))
+    maps = build_feature_maps(t, TPCH_CONFIG)
+    flat = [S.long_pivot(maps, m, ["customer_id", "period"]).select(
+        "customer_id", "period", F.lit(m).alias("pivot_name"), F.col("key").alias("value"), F.col("value").cast("double").alias("amount"))
+        for m in ("category_spend", "payment_count")]
+    return flat[0].unionByName(flat[1])
+
+
+def _rolled_states(txns: DataFrame, spark: SparkSession, cfg: FeatureConfig, fine: str, coarse: str) -> tuple[DataFrame, FeatureConfig]:
+    """States of the ``fine`` unit, stored, read back and merged to ``coarse`` periods."""
+    path = scratch_path(spark, "states")
+    S.period_states(txns, replace(cfg, period_unit=fine, require_pivot_rows=False)).write.parquet(path)
+    return S.roll_states(spark.read.parquet(path), replace(cfg, period_unit=fine), coarse), replace(cfg, period_unit=coarse)
+
+
+@register("daily_states_to_months", _FS_ALL_SQL)
+def q_daily_states_to_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored daily states merged to months give the direct monthly
+    build, deviations, ratios and pivots included."""
+    return _wide(maps_from_states(*_rolled_states(tpch_transactions(spark, sf_dir), spark, TPCH_CONFIG, "day", "month")))
+
+
+@register("sparse_states_to_months", O.select_from_fs(_ALL, cte=O.feature_store_sql(SPARSE_TXN_SQL)))
+def q_sparse_states_to_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over transactions with NULLs: NULL customers, amounts, categories and flags."""
+    return _wide(maps_from_states(*_rolled_states(sparse_transactions(spark, sf_dir), spark, TPCH_CONFIG, "day", "month")))
+
+
+@register("merchant_sketches", f"""
+WITH t AS ({O.TPCH_TXN_SQL}), d AS (SELECT category, "timestamp"::DATE AS day, COUNT(DISTINCT customer_id) AS n FROM t GROUP BY ALL),
+s AS (SELECT category, CAST(year(day) AS VARCHAR) AS period, CAST(SUM(n) AS BIGINT) AS summed_days FROM d GROUP BY ALL)
+SELECT s.category, s.period, COUNT(DISTINCT customer_id) AS distinct_exact, any_value(summed_days) AS summed_days, TRUE AS within_bound
+FROM t JOIN s ON s.category = t.category AND s.period = CAST(year("timestamp") AS VARCHAR) GROUP BY s.category, s.period""")
+def q_merchant_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 + A12: distinct counts that roll up (here: customers per category and
+    year from daily sketches), beside the exact count and the sum of the daily
+    counts, which counts twice; four standard errors are the bound."""
+    cfg = replace(TPCH_CONFIG, cols=TxnColumns(entity="category", category="payment_method", merchant="customer_id", payment=None), payments=())
+    txns = tpch_transactions(spark, sf_dir)
+    path = scratch_path(spark, "sketches")
+    S.period_states(txns, replace(cfg, period_unit="day")).write.parquet(path)
+    days = spark.read.parquet(path)
+    year = period_index(index_start("period_idx", "day"), "year")
+    summed = days.groupBy("category", year.alias("period_idx")).agg(F.sum("unique_merchants").alias("summed_days"))
+    rolled = S.roll_states(days, replace(cfg, period_unit="day"), "year").select("category", "period_idx", F.hll_sketch_estimate("merchant_sketch").alias("estimate"))
+    exact = S.period_states(txns, replace(cfg, period_unit="year")).select("category", "period_idx", F.col("unique_merchants").alias("distinct_exact"))
+    both = exact.join(rolled, ["category", "period_idx"], "left").join(summed, ["category", "period_idx"], "left")
+    off = F.abs(F.col("estimate") - F.col("distinct_exact"))
+    return both.select("category", F.col("period_idx").cast("string").alias("period"), "distinct_exact", "summed_days",
+                       F.coalesce(off <= 4 * S.sketch_error() * F.col("distinct_exact") + 1, F.lit(False)).alias("within_bound"))
+
+
+_DIRTY_RATIO = "CASE WHEN period_idx % 3 = 0 THEN NULL ELSE online_ratio END"
+_DIRTY_STD = "CASE WHEN period_idx % 5 = 0 THEN CAST('NaN' AS DOUBLE) ELSE spend_std_dev END"
+
+
+def _name_rule_sql() -> str:
+    rule = rollup_rule(_ALL, {c: "sum" for c in _CATS + _PAYS})
+    longs = {"txn_count", "unique_merchants", "category_diversity", "prev_txn_count", "txn_growth", *_PAYS}
+    cols = []
+    for c in _ALL:
+        x = O.ident(c)
+        if c == "spend_std_dev":
+            x = f"CASE WHEN isnan({x}) THEN NULL ELSE {x} END"
+        if rule[c] == "mean":
+            cols.append(f"CAST(CAST(AVG({x}) AS FLOAT) AS DOUBLE) AS {O.ident(c)}")
+        elif c in longs:
+            cols.append(f"CAST(SUM({x}) AS BIGINT) AS {O.ident(c)}")
+        else:
+            cols.append(f"CAST(CAST(SUM({x}) AS FLOAT) AS DOUBLE) AS {O.ident(c)}")
+    return O.feature_store_sql(unit="day") + f""",
+dirty AS (SELECT * REPLACE ({_DIRTY_RATIO} AS online_ratio, {_DIRTY_STD} AS spend_std_dev) FROM fs)
+SELECT customer_id, CAST(date_trunc('month', CAST(period AS DATE)) AS DATE) AS period_start, {", ".join(cols)} FROM dirty
+GROUP BY customer_id, date_trunc('month', CAST(period AS DATE))"""
+
+
+@register("daily_name_rule_rollup", _name_rule_sql())
+def q_daily_name_rule_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A12 by the name rule where it merges rows: daily features to months, with
+    NULL and NaN values to skip (a mean of averages; states give the true one).
+    Compared as 32-bit floats: sums of doubles depend on their order, and averages
+    of cents often lie midway between two decimals."""
+    daily, cfg = build_feature_store(tpch_transactions(spark, sf_dir), replace(TPCH_CONFIG, period_unit="day"), keep_index=True)
+    dirty = daily.withColumns({"online_ratio": F.expr(_DIRTY_RATIO), "spend_std_dev": F.expr(_DIRTY_STD)}).drop("period_idx")
+    explicit = {c: "sum" for c in category_columns(cfg) + payment_columns(cfg)}
+    out = monthly_rollup(dirty, unit="month", explicit=explicit).drop("period_idx")
+    kinds = dict(out.dtypes)
+    return out.select("customer_id", "period_start", *[F.col(c).cast("float").cast("double").alias(c) if kinds[c] == "double" else F.col(c) for c in _ALL])
+
+
+_PLAIN = sorted(c for c in _ALL if c not in (*_CATS, *_PAYS))
+_PLACE = {c: i for i, c in enumerate(_PLAIN)} | {c: len(_PLAIN) + 2 * i for i, c in enumerate(_CATS)} | {c: len(_PLAIN) + 2 * i + 1 for i, c in enumerate(_PAYS)}
+
+
+@register("sparse_sequence_vectors", _train_steps_sql() + f"""
+SELECT pu.customer_id, pu.period, pu.split, CAST({SEQ.seq_len} * CASE feature {" ".join(f"WHEN {O.lit(c)} THEN {i}" for c, i in _PLACE.items())} END
+  + pu.step AS INTEGER) AS pos, round(pu.v / st2.scale, 4) AS value FROM pu JOIN st2 USING (feature) WHERE pu.v <> 0""")
+def q_sparse_sequence_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 + M3 in sparse form from the maps: the entries of the stored sparse
+    vectors of all three splits, scaled without centring."""
+    txn = tpch_transactions(spark, sf_dir)
+    words = entries(pivot_values(txn, TPCH_CONFIG), spark.createDataFrame([], ENTRY), TPCH_CONFIG)
+    maps = build_feature_maps(txn, TPCH_CONFIG, keep_index=True)
+    seqs = SP.sparse_sequences(maps, words, TPCH_CONFIG, SEQ, FIXTURE_SPLIT)
+    path = scratch_path(spark, "sparse-sequences")
+    seqs.write.parquet(path)
+    seqs = spark.read.parquet(path)
+    scales = SP.sparse_scales(seqs.where("split = 'train'"), SEQ.seq_len)
+    size = SP.vector_size(words, SP.plain_columns(maps, TPCH_CONFIG), SEQ.seq_len)
+    v = SP.store_vectors(SP.sparse_vectors(seqs, scales, TPCH_CONFIG, SEQ.seq_len, size), scratch_path(spark, "sparse-vectors"))
+    flat = v.select("customer_id", "period", "split", F.posexplode(vector_to_array("features")).alias("pos", "value"))
+    return flat.where("value <> 0").select("customer_id", "period", "split", F.col("pos").cast("int").alias("pos"), F.round("value", 4).alias("value"))
+
+
 # ---------------------------------------------------------------- quarterly variant
 
 def _quarter_sql() -> str:
