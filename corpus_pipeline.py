@@ -10,21 +10,22 @@ from pyspark.sql import functions as F
 
 from nextcat.llm import bpe
 from nextcat.llm.common import text_of
-from nextcat.llm.line_dedup import LineRules, drop_shared_lines
+from nextcat.llm.line_dedup import drop_shared_lines
 from nextcat.llm.mixing import mixed_documents
-from nextcat.llm.quality import QualityRules, keep_good
+from nextcat.llm.quality import keep_good
 from nextcat.llm.simhash import drop_near_copies
 from nextcat.session import scratch_path
+from nextcat.sources.io import remove
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; none is judged by documents of other scripts."""
-    return keep_good(docs, QualityRules(caseless_pool=False))
+    """Documents that the quality rules keep."""
+    return keep_good(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that many sources share, whatever their share of a document with others."""
-    return drop_shared_lines(docs, LineRules(own_lines=True))
+    """Documents without the lines that many sources share."""
+    return drop_shared_lines(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +56,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written as Parquet and read again; what
+    a stage has read is removed once its result is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (_, stage) in enumerate(STAGES):
         path = scratch_path(spark, f"pipeline-{k}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
