@@ -10,10 +10,8 @@ Lines are split once into a written table of hashes; hot lines are
 pre-aggregated before they are shuffled, and only line numbers travel back to
 the documents.
 
-A document of which more than ``max_share`` of the non-blank lines would go is
-taken for a copy of another page and left whole for the near-duplicate stage;
-nothing checks that it is one.  With ``own_lines`` the share does not matter: a
-document is left whole only where no line of its own would remain.
+Shared lines go whatever their share of a document; only one in which no line of
+its own would remain is left whole, for the near-duplicate stage.
 
 Defined cases: null or empty text: no lines, text unchanged; a null site counts
 as one site of its own; blank lines never count and are never removed; repeated
@@ -26,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, cut, fresh, row_key, text_of
+from .common import broadcast_if_small, cut, fresh, let, row_key, text_of
 
 #: Line hashes that are broadcast (some megabytes); beyond, lines are joined by shuffle.
 BROADCAST_LINES = 100_000
@@ -35,10 +33,8 @@ _BLANKS = " \t\n\x0b\x0c\r"
 
 @dataclass(frozen=True)
 class LineRules:
-    min_sites: int = 10      # distinct sites that make a line boilerplate
-    max_share: float = 0.5   # largest share of a document's lines that may go
-    own_lines: bool = False  # instead, any share may go that leaves a line
-    lg_k: int = 12           # log2 of the sketch's registers: standard error 1.04 / sqrt(2^lg_k)
+    min_sites: int = 10  # distinct sites that make a line boilerplate
+    lg_k: int = 12       # log2 of the sketch's registers: standard error 1.04 / sqrt(2^lg_k)
 
     @property
     def margin(self) -> float:
@@ -83,6 +79,15 @@ def _among(lines: DataFrame, some: DataFrame) -> DataFrame:
     return lines.join(broadcast_if_small(some, some.count(), BROADCAST_LINES), "line", "left_semi")
 
 
+def _without(lines: Column, pos: Column) -> Column:
+    """``lines`` but those at the sorted places ``pos``: the stretches between
+    them, so that the work grows with the lines and not with their product."""
+    n = F.size(pos)
+    begin = lambda k: F.when(k == 0, 0).otherwise(F.get(pos, k - 1) + 1)
+    end = lambda k: F.when(k == n, F.size(lines)).otherwise(F.get(pos, k))
+    return F.flatten(F.transform(F.sequence(F.lit(0), n), lambda k: F.slice(lines, begin(k) + 1, end(k) - begin(k))))
+
+
 def line_dedup(docs: DataFrame, rules: LineRules = LineRules(), id_col: str = "doc_id", text: str = "text",
                site: str = "source", out: str = "lines") -> DataFrame:
     """``docs`` with the boilerplate lines taken out of ``text`` (other columns
@@ -100,8 +105,8 @@ def line_dedup(docs: DataFrame, rules: LineRules = LineRules(), id_col: str = "d
     stats, = fresh(both, "_stats")
     both = both.withColumn(stats, F.struct(n_lines.alias("n_lines"), n_shared.alias("n_shared")))
     n_lines, n_shared = F.col(stats)["n_lines"], F.col(stats)["n_shared"]
-    cuts = (n_shared > 0) & (n_shared < n_lines if rules.own_lines else n_shared <= rules.max_share * n_lines)
-    kept = F.array_join(F.filter(_lines(F.col(text)), lambda x, i: ~F.array_contains(F.col(pos), i)), "\n")
+    cuts = (n_shared > 0) & (n_shared < n_lines)
+    kept = let(_lines(F.col(text)), lambda ls: F.array_join(_without(ls, F.col(pos)), "\n"))
     columns = [F.when(cuts, kept).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in docs.columns]
     return both.select(*columns, F.struct(
         F.col(stats)["n_lines"].alias("n_lines"), F.col(stats)["n_shared"].alias("n_shared"),

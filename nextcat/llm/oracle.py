@@ -26,26 +26,24 @@ c AS (SELECT rid, lang, unnest([1, 2, 3, 4, 5, 6, 7]) AS k,
         unnest([length(t) - length(r1), length(r1) - length(r2), length(r2) - length(r3), length(r3) - length(r4),
                 length(r4) - length(r5), length(r5) - length(r6), length(r6)]) AS n FROM s6),
 wd AS (SELECT rid, lang, unnest(ws) AS word FROM s6),
-wc AS (SELECT lang, word, count(*) AS n FROM wd WHERE lang IS NOT NULL GROUP BY ALL
-       UNION ALL SELECT NULL, word, count(*) FROM wd GROUP BY word),
-tot AS (SELECT lang, sum(n) AS total FROM wc GROUP BY lang
-        HAVING sum(n) >= CASE WHEN lang IS NULL THEN 1 ELSE {rules.min_ref_words} END),
-top AS (SELECT wc.*, tot.total FROM wc JOIN tot ON wc.lang IS NOT DISTINCT FROM tot.lang
+wc AS (SELECT lang, word, count(*) AS n FROM wd WHERE lang IS NOT NULL GROUP BY ALL),
+tot AS (SELECT lang, sum(n) AS total FROM wc GROUP BY lang HAVING sum(n) >= {rules.min_ref_words}),
+top AS (SELECT wc.*, tot.total FROM wc JOIN tot ON wc.lang = tot.lang
         QUALIFY row_number() OVER (PARTITION BY wc.lang ORDER BY n DESC, word) <= {rules.common_words}),
 rw AS (SELECT lang, word, n * 1.0 / total AS q FROM top
        UNION ALL SELECT lang, NULL, (any_value(total) - sum(n)) * 1.0 / any_value(total) FROM top GROUP BY lang),
-rc0 AS (SELECT lang, k, sum(n) AS n FROM c WHERE lang IS NOT NULL GROUP BY ALL UNION ALL SELECT NULL, k, sum(n) FROM c GROUP BY k),
+rc0 AS (SELECT lang, k, sum(n) AS n FROM c WHERE lang IS NOT NULL GROUP BY ALL),
 rc AS (SELECT lang, k, n * 1.0 / sum(n) OVER (PARTITION BY lang) AS q FROM rc0),
 doc AS (SELECT s6.rid, s6.doc_id, s6.t, s6.ws, len(s6.ws) AS n_words, tot.lang AS ref
         FROM s6 LEFT JOIN tot ON s6.lang = tot.lang),
 cd AS (SELECT doc.rid, c.n * 1.0 / sum(c.n) OVER (PARTITION BY doc.rid) AS p, rc.q
-       FROM doc JOIN c USING (rid) JOIN rc ON rc.k = c.k AND rc.lang IS NOT DISTINCT FROM doc.ref WHERE length(doc.t) >= {rules.min_class_chars}),
+       FROM doc JOIN c USING (rid) JOIN rc ON rc.k = c.k AND rc.lang = doc.ref WHERE length(doc.t) >= {rules.min_class_chars}),
 cdist AS (SELECT rid, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
             + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2)) AS dist FROM cd GROUP BY rid),
 hits AS (SELECT doc.rid, rw.word, count(*) AS n FROM doc JOIN wd USING (rid)
-         JOIN rw ON rw.word = wd.word AND rw.lang IS NOT DISTINCT FROM doc.ref GROUP BY ALL),
+         JOIN rw ON rw.word = wd.word AND rw.lang = doc.ref GROUP BY ALL),
 bins AS (SELECT doc.rid, rw.word, rw.q, doc.n_words, coalesce(hits.n, 0) AS n FROM doc
-         JOIN rw ON rw.lang IS NOT DISTINCT FROM doc.ref LEFT JOIN hits ON hits.rid = doc.rid AND hits.word = rw.word
+         JOIN rw ON rw.lang = doc.ref LEFT JOIN hits ON hits.rid = doc.rid AND hits.word = rw.word
          WHERE doc.n_words >= {rules.min_dist_words}),
 wp AS (SELECT rid, q, CASE WHEN word IS NULL THEN n_words - sum(n) OVER (PARTITION BY rid) ELSE n END * 1.0 / n_words AS p FROM bins),
 wdist AS (SELECT rid, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
@@ -78,7 +76,7 @@ shared AS (SELECT line FROM k WHERE line <> '' GROUP BY line HAVING count(DISTIN
 f AS (SELECT k.*, k.line <> '' AS full_line, shared.line IS NOT NULL AS hit FROM k LEFT JOIN shared ON shared.line = k.line),
 n AS (SELECT rid, count(*) FILTER (full_line) AS n_lines, count(*) FILTER (hit) AS n_shared,
         string_agg(raw, chr(10) ORDER BY i) FILTER (NOT hit) AS kept FROM f GROUP BY rid),
-r AS (SELECT d.doc_id, d.text, n.*, n_shared > 0 AND n_shared <= {rules.max_share} * n_lines AS cuts FROM d JOIN n USING (rid))
+r AS (SELECT d.doc_id, d.text, n.*, n_shared > 0 AND n_shared < n_lines AS cuts FROM d JOIN n USING (rid))
 SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_shared AS BIGINT) AS n_shared,
   CAST(CASE WHEN cuts THEN n_shared ELSE 0 END AS BIGINT) AS n_removed,
   CASE WHEN cuts THEN coalesce(kept, '') ELSE text END AS text FROM r"""

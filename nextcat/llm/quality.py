@@ -13,18 +13,16 @@ Only DataFrame functions run here: all work on one text stays inside its row
 text is shuffled.
 
 Defined cases: a null or empty text has no words, counts 0 and fails the base
-rule; a language that is null, empty or has under ``min_ref_words`` words is
-judged by the pooled reference of all documents, except that with
-``caseless_pool`` off a text mostly of letters without case (Arabic, Hindi,
-Korean ...), which is far from a pool of other scripts by its script alone, is
-not judged by it; with no reference at all (empty table) nothing is judged; repeated rows each get their own result;
-other columns are never read."""
+rule; a text whose language is null, empty or has under ``min_ref_words`` words
+in all has no reference of its own and is judged by neither distance, whatever
+other documents there are; repeated rows each get their own result; other
+columns are never read."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE, broadcast_if_small, cut, fresh, let, text_of, words_of
@@ -53,7 +51,6 @@ class QualityRules:
     min_dist_words: int = 40     # guard of the common-word distance
     max_class_distance: float = 0.27
     max_word_distance: float = 0.4
-    caseless_pool: bool = True  # judge texts of letters without case by the pool of all documents
 
 
 def char_classes(text: Column) -> Column:
@@ -67,12 +64,6 @@ def char_classes(text: Column) -> Column:
     return step(text, [p for _, p in CHAR_CLASSES], [])
 
 
-def mostly_caseless(text: Column, spaces: Column) -> Column:
-    """Whether over half of the characters but ``spaces`` are letters without case, or marks on letters."""
-    letters = F.length(text) - F.length(F.regexp_replace(text, r"[\p{Lo}\p{M}]+", ""))
-    return 2 * letters > F.length(text) - spaces
-
-
 def repeated_words(hashes: Column, n: Column, window: int) -> Column:
     """Words inside windows that occur twice or more in the row's own text.
 
@@ -144,33 +135,22 @@ def js_distance(counts: Column, reference: Column) -> Column:
 
 def language_references(docs: DataFrame, rules: QualityRules = QualityRules(),
                         text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row per language with enough words, and one with a null language for
-    all documents: (lang, common array<string>, word_counts, class_counts).
+    """One row per language with enough words: (lang, common array<string>,
+    word_counts, class_counts).
 
     Ties between equally common words go to the smaller word."""
-    key = F.when(F.col(lang).cast("string") != "", F.col(lang).cast("string"))
-    base = docs.select(key.alias("lang"), text_of(text).alias("text"))
-    words = (base.select("lang", F.explode(words_of(F.col("text"))).alias("word"))
-             .groupBy("lang", "word").agg(F.count("*").alias("n")))
-    words = cut(words)
-    pooled = words.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "word", "n")
-    both = words.where(F.col("lang").isNotNull()).unionByName(pooled)
-    # the k most common words of each language, from the k most common of each of 4,096 salted groups
-    top = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "word"))), 1, rules.common_words)
-    salted = (both.groupBy("lang", F.pmod(F.xxhash64("word"), F.lit(4096)).alias("salt"))
-              .agg(top.alias("top"), F.sum("n").alias("total")))
-    merged = (salted.groupBy("lang")
-              .agg(F.slice(F.sort_array(F.flatten(F.collect_list("top"))), 1, rules.common_words).alias("top"),
-                   F.sum("total").alias("total"))
-              .where(F.col("total") >= F.when(F.col("lang").isNull(), 1).otherwise(rules.min_ref_words)))
-    own = [F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(len(CHAR_CLASSES) + 1)]
-    classes = cut(base.select("lang", char_classes(F.col("text")).alias("c")).groupBy("lang").agg(*own))
+    base = docs.select(F.col(lang).cast("string").alias("lang"), text_of(text).alias("text")).where(F.col("lang") != "")
+    words = cut(base.select("lang", F.explode(words_of(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")))
+    totals = words.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= rules.min_ref_words)
+    # ranks up to a limit: every task sends on no more than that many words of a language
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "word"))
+    top = (words.withColumn("rank", rank).where(F.col("rank") <= rules.common_words).groupBy("lang")
+           .agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "word"))).alias("top")))
+    merged = top.join(totals, "lang")
     names = [f"c{i}" for i in range(len(CHAR_CLASSES) + 1)]
-    all_classes = classes.groupBy().agg(*[F.sum(c).alias(c) for c in names]).select(
-        F.lit(None).cast("string").alias("lang"), *names)
-    classes = classes.where(F.col("lang").isNotNull()).unionByName(all_classes)
+    classes = base.select("lang", char_classes(F.col("text")).alias("c")).groupBy("lang").agg(*[F.sum(F.col("c")[i]).alias(c) for i, c in enumerate(names)])
     c = classes.select(F.col("lang").alias("c_lang"), F.array(*names).alias("class_counts"))
-    return (merged.join(c, F.col("lang").eqNullSafe(F.col("c_lang")))
+    return (merged.join(c, F.col("lang") == F.col("c_lang"))
             .select("lang", F.transform("top", lambda x: x["word"]).alias("common"),
                     F.concat(F.transform("top", lambda x: -x["m"]),
                              F.array(F.col("total") - F.aggregate("top", F.lit(0).cast("long"), lambda s, x: s - x["m"])))
@@ -181,28 +161,24 @@ def quality_rules(docs: DataFrame, rules: QualityRules = QualityRules(), text: s
                   out: str = "quality") -> DataFrame:
     """``docs`` plus one struct column ``out``: n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance
-    (both null where the length guard, a missing reference or the script leaves
-    the text unjudged) and kept."""
+    (both null where the length guard or a missing reference leaves the text
+    unjudged) and kept."""
     refs = language_references(docs, rules, text, lang)
     hashed = cut(refs.select("lang", F.transform("common", lambda w: F.xxhash64(w)).alias("common"), "word_counts", "class_counts"))
     hashed = cut(hashed.withColumn("table", lookup(F.col("common"))))
     n_refs = hashed.count()
     parts = F.struct("common", "table", "word_counts", "class_counts")
-    r, k, pooled, out = fresh(docs, "_ref", "_ref_lang", "_pooled", out)
-    own = hashed.where(F.col("lang").isNotNull()).select(F.col("lang").alias(k), parts.alias(r))
-    rest = hashed.where(F.col("lang").isNull()).select(parts.alias(pooled))
+    r, k, out = fresh(docs, "_ref", "_ref_lang", out)
+    own = hashed.select(F.col("lang").alias(k), parts.alias(r))
     keyed = docs.join(broadcast_if_small(own, n_refs), docs[lang].cast("string") == F.col(k), "left")
-    keyed = keyed.join(F.broadcast(rest), F.lit(True), "left")  # one row at most
-
-    ref = F.coalesce(F.col(r), F.col(pooled))
+    ref = F.col(r)
 
     names = [c for c, _ in CHAR_CLASSES]
 
     def judged(x: Column, hashes: Column, n: Column, classes: Column) -> Column:
-        fits = F.lit(True) if rules.caseless_pool else F.col(r).isNotNull() | ~mostly_caseless(x, classes[names.index("space")])
-        chars = F.when((F.length(x) >= rules.min_class_chars) & fits, js_distance(classes, ref["class_counts"]))
+        chars = F.when((F.length(x) >= rules.min_class_chars) & ref.isNotNull(), js_distance(classes, ref["class_counts"]))
         bins = word_bins(hashes, n, ref["common"], ref["table"])
-        common = F.when((n >= rules.min_dist_words) & fits, let(bins, lambda b: js_distance(b, ref["word_counts"])))
+        common = F.when((n >= rules.min_dist_words) & ref.isNotNull(), let(bins, lambda b: js_distance(b, ref["word_counts"])))
         return F.struct(
             n.cast("long").alias("n_words"),
             (F.length(x) - classes[names.index("space")]).cast("long").alias("word_chars"),
