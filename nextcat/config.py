@@ -97,7 +97,7 @@ class ModelConfig:
     chosen classifier does not have is an error.  ``report_every``: iterations
     between rows of the training report (0: none)."""
 
-    kind: str = "mlp"  # "mlp" | "logistic"
+    kind: str = "mlp"  # "mlp" | "logistic" | "centroid" (nearest class mean; has no iterations)
     hidden_dim: int = 64
     num_layers: int = 1
     epochs: int = 10
@@ -109,10 +109,12 @@ class ModelConfig:
     report_every: int = 0
 
     def __post_init__(self) -> None:
-        if self.kind not in ("mlp", "logistic") or self.solver not in ("l-bfgs", "gd"):
+        if self.kind not in ("mlp", "logistic", "centroid") or self.solver not in ("l-bfgs", "gd"):
             raise ValueError("unknown kind or solver")
         if self.step_size is not None and (self.kind, self.solver) != ("mlp", "gd"):
             raise ValueError("step_size needs kind 'mlp' and solver 'gd'")
+        if self.report_every and self.kind == "centroid":
+            raise ValueError("kind 'centroid' has no iterations to report")
         if self.reg_param is not None and self.kind != "logistic":
             raise ValueError("reg_param needs kind 'logistic'")
 

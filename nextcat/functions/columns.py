@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +43,12 @@ def safe_div(num, den) -> Column:
     return F.try_divide(num, den)
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row, however often the body
+    names it (a column alias would be copied into every lambda)."""
+    return F.transform(F.array(value), body)[0]
+
+
 def row_sum(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, cols) if cols else F.lit(0)
 

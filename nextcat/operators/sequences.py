@@ -58,6 +58,32 @@ def sequences_by_self_join(df: DataFrame, entity: str, idx: str, feature_cols: l
     return j.withColumn("_n", F.count(F.lit(1)).over(full)).where(F.col("_n") == seq_len).drop("_n")
 
 
+def history_runs(df: DataFrame, entity: str = "customer_id", idx: str = "period_idx") -> DataFrame:
+    """W7 as runs: the stretches of contiguous periods of an entity, (entity,
+    from_idx, to_idx, length).  A period's index less its rank is the same
+    throughout a run.  Rows are one per entity and period."""
+    rank = F.row_number().over(Window.partitionBy(entity).orderBy(idx))
+    runs = df.select(entity, F.col(idx).alias("_i"), (F.col(idx) - rank).alias("_run"))
+    return runs.groupBy(entity, "_run").agg(F.min("_i").alias("from_idx"), F.max("_i").alias("to_idx"),
+                                            F.count(F.lit(1)).alias("length")).drop("_run")
+
+
+def rejected_anchors(df: DataFrame, entity: str = "customer_id", idx: str = "period_idx", seq_len: int = 3) -> DataFrame:
+    """E15 explained: the rows that have no complete history of ``seq_len``
+    periods, each with ``missing`` (the periods of its look-back without a row,
+    oldest first) and ``reason``: ``short`` (all before the entity's first
+    period), ``gap`` (none before it) or ``both``.  Accepted anchors are the other
+    rows.  One window over the entity's rows, as for the sequences."""
+    w = Window.partitionBy(entity).orderBy(idx)
+    back = F.collect_list(F.col(idx)).over(w.rangeBetween(-(seq_len - 1), 0))
+    first = F.min(idx).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = df.select(entity, idx, first.alias("_first"), back.alias("_there"))
+    missing = F.array_except(F.sequence(F.col(idx) - (seq_len - 1), F.col(idx)), F.col("_there"))
+    rows = rows.where(F.size("_there") < seq_len).withColumn("missing", missing)
+    early, late = F.exists("missing", lambda i: i < F.col("_first")), F.exists("missing", lambda i: i > F.col("_first"))
+    return rows.select(entity, idx, "missing", F.when(early & late, "both").when(early, "short").otherwise("gap").alias("reason"))
+
+
 def split_indices(split: SplitConfig, unit: str = "month") -> tuple[Column, Column, Column]:
     """Integer period indices of the three boundaries (literal expressions,
     constant-folded by the optimiser)."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -42,6 +42,54 @@ def merge_tables(tables: list[DataFrame], keys=("customer_id", "period")) -> Dat
         " ", F.lit("repeated key:"), *[F.col(k).cast("string") for k in keys])).cast("boolean")).otherwise(every)).select(*keys, *[q(c) for c in values])
 
 
+def merge_bucketed(tables: list[DataFrame], keys=("customer_id", "period")) -> DataFrame:
+    """J2 over tables that are bucketed alike by ``keys`` (``io.write_bucketed``):
+    the same result as :func:`merge_tables`, each table aggregated to its keys
+    and merge-joined where its buckets lie, so that no row is shuffled."""
+    keys = list(keys)
+    values = [c for t in tables for c in t.columns if c not in keys]
+    if len({c.lower() for c in values}) != len(values):
+        raise ValueError("a value column is in more than one table")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    one = [t.where(known).groupBy(*keys).agg(*[F.any_value(q(c)).alias(c) for c in t.columns if c not in keys],
+                                             F.count(F.lit(1)).alias(f"_n{n}")) for n, t in enumerate(tables)]
+    both = reduce(lambda a, b: a.hint("merge").join(b.hint("merge"), keys), one)
+    twice = reduce(lambda a, b: a | b, [F.col(f"_n{n}") > 1 for n in range(len(tables))])
+    return both.where(F.when(twice, F.raise_error(F.concat_ws(
+        " ", F.lit("repeated key:"), *[F.col(k).cast("string") for k in keys])).cast("boolean")).otherwise(F.lit(True))).select(*keys, *[q(c) for c in values])
+
+
+def observe_keys(df: DataFrame, keys=("customer_id", "period")) -> tuple[DataFrame, Observation]:
+    """S5 inside another job: ``df`` unchanged, and an observation whose ``get``
+    has, once a job has run over it, n_rows, n_null_keys (rows with a NULL in a
+    key) and n_repeated_keys (rows beyond the first of their key).
+
+    Rows of a key are brought together by a window over the keys, which needs no
+    shuffle of its own where the rows already lie by (some of) the keys; rows with a
+    NULL key are spread by their other values.  A stage that Spark runs again after
+    losing an executor counts its rows again: zeros stay zeros, other counts
+    may come out high."""
+    missing = [k for k in keys if k not in df.columns]
+    if missing:
+        raise ValueError(f"missing key columns {missing}")
+    null = reduce(lambda a, b: a | b, [F.col(q(k)).isNull() for k in keys])
+    rest = [F.col(q(c)) for c, kind in df.dtypes if c not in keys and "map<" not in kind]
+    spread = F.when(null, F.xxhash64(*rest) if rest else F.lit(0).cast("long"))
+    nth = F.row_number().over(Window.partitionBy(*[q(k) for k in keys], spread).orderBy(*[q(k) for k in keys]))
+    seen = Observation()
+    flagged = df.withColumn("_again", ~null & (nth > 1)).withColumn("_null", null)
+    observed = flagged.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(F.col("_null").cast("long")), F.lit(0)).alias("n_null_keys"),
+                               F.coalesce(F.sum(F.col("_again").cast("long")), F.lit(0)).alias("n_repeated_keys"))
+    return observed.drop("_again", "_null"), seen
+
+
+def observe_counts(df: DataFrame, column: str, values) -> tuple[DataFrame, Observation]:
+    """E16 inside another job: ``df`` unchanged, and an observation of how many
+    rows have each of the listed ``values`` in ``column``."""
+    seen = Observation()
+    return df.observe(seen, *[F.count(F.when(F.col(column) == v, 1)).alias(str(v)) for v in values]), seen
+
+
 def validate_keys(df: DataFrame, keys=("customer_id", "period")) -> DataFrame:
     """Problems with the key columns, one row per offending key value:
     (kind, key..., n) where kind is ``null_key`` or ``duplicate_key``.  An

@@ -6,6 +6,7 @@ SQL.  Float columns whose last bits depend on the aggregation algorithm
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,7 +94,6 @@ _EV_ALL = _EV_CORE + _EV_CATS + ["category_diversity", "prev_total_spent", "prev
     _EV_ALL, cte=O.feature_store_sql(O.EVENT_TXN_SQL, O.EVENT_TYPES, (), unit="day", online=False)))
 def q_event_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 over the events view at daily periods (no payment, no online flag)."""
-    from dataclasses import replace
     cfg = replace(EVENT_CONFIG, period_unit="day")
     fs, _ = build_feature_store(event_transactions(spark, sf_dir), cfg)
     return _rounded(fs)
@@ -613,7 +613,7 @@ def q_txn_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 from .config import ModelConfig  # noqa: E402
 from .operators.scaling import fit_scaler, scale_sequences, scaler_stats  # noqa: E402
 from .operators.tables import rollup_rule  # noqa: E402
-from pyspark.ml.functions import vector_to_array  # noqa: E402
+from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: E402
 
 MODEL = ModelConfig()
 
@@ -724,67 +724,154 @@ SELECT {len(_ALL) * SEQ.seq_len} AS n_inputs, {len(O.TPCH_CATEGORIES)} AS n_clas
        (SELECT COUNT(*) FROM sup WHERE split = 'predict') AS predict_sequences""")
 def q_train_next_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4: fit the classifier; one row describing what it was fitted on."""
-    res, _ = _trained(spark, sf_dir)
-    n = res.metrics["counts"]
-    row = (res.model.numFeatures, res.model.numClasses, n["train"], n["test"], n["predict"])
+    res, preds = _trained(spark, sf_dir)
+    row = (res.model.numFeatures, res.model.numClasses, res.metrics["train"]["n"], res.metrics["test"]["n"], preds.count())
     return spark.createDataFrame([row], "n_inputs int, n_classes int, train_sequences long, test_sequences long, predict_sequences long")
 
 
-def _checked() -> list:
-    """What does not depend on the optimiser's last bits: that the measures lie where they must."""
-    return [F.col("accuracy").between(0, 1).alias("accuracy_ok"),
-            ((F.col("log_loss") > 0) & (F.col("log_loss") < 35)).alias("log_loss_ok")]
+def _scored_rows(spark: SparkSession, sf_dir: str, res) -> DataFrame:
+    """The train and test examples as the model saw them."""
+    _, _, sup, _ = _sup_and_names(spark, sf_dir)
+    return M.vectors(sup.where("split IN ('train', 'test')"), res.means, res.scales).select("features", "label", "split")
+
+
+def _close(a, b):
+    return F.abs(F.col(a) - F.col(b)) <= 1e-9 * F.greatest(F.lit(1.0), F.abs(F.col(b)))
+
+
+def _against_weights(spark: SparkSession, sf_dir: str, res, rows: DataFrame) -> DataFrame:
+    """Reported n, accuracy and log loss beside those recomputed from the fitted
+    weights: an accuracy that is off by one example, or a loss off by 1e-9, is not ok."""
+    own = M.recomputed_scores(res, _scored_rows(spark, sf_dir, res)).select(
+        "split", F.col("n").alias("_n"), F.col("accuracy").alias("_accuracy"), F.col("log_loss").alias("_log_loss"))
+    both = rows.join(own, "split")
+    return both.withColumns({"accuracy_ok": (F.col("n") == F.col("_n")) & _close("accuracy", "_accuracy"), "log_loss_ok": _close("log_loss", "_log_loss")})
 
 
 @register("eval_model", _SUP + """
 SELECT split, COUNT(*) AS n, TRUE AS accuracy_ok, TRUE AS log_loss_ok FROM sup WHERE split IN ('train', 'test') GROUP BY split""")
 def q_eval_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M5 + M6: accuracy and log loss of the fitted model on train and test
-    (as checks of their range; the values are in ``train_history``'s report)."""
+    """M5 + M6: accuracy and log loss of the fitted model on train and test,
+    against both recomputed from its weights by array expressions."""
     res, _ = _trained(spark, sf_dir)
     rows = [(k, int(v["n"]), v["accuracy"], v["log_loss"]) for k, v in res.metrics.items() if k in ("train", "test")]
-    return spark.createDataFrame(rows, "split string, n long, accuracy double, log_loss double").select("split", "n", *_checked())
+    reported = spark.createDataFrame(rows, "split string, n long, accuracy double, log_loss double")
+    return _against_weights(spark, sf_dir, res, reported).select("split", "n", "accuracy_ok", "log_loss_ok")
 
 
 @register("train_history", _SUP + f"""
-SELECT CAST(iteration AS INTEGER) AS iteration, split, COUNT(*) AS n, TRUE AS accuracy_ok, TRUE AS log_loss_ok
+SELECT CAST(iteration AS INTEGER) AS iteration, split, COUNT(*) AS n, TRUE AS falls, CASE WHEN iteration = {MODEL.epochs} THEN TRUE END AS accuracy_ok,
+  CASE WHEN iteration = {MODEL.epochs} THEN TRUE END AS log_loss_ok
 FROM sup, (SELECT unnest([5, {MODEL.epochs}]) AS iteration) WHERE split IN ('train', 'test') GROUP BY ALL""")
 def q_train_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M7: train and test loss and accuracy after every fifth iteration."""
-    from dataclasses import replace
+    """M7: train and test loss and accuracy after every fifth iteration.  The
+    last report is checked against the final weights; the train loss must fall
+    from the frequencies of the classes to the first report and on to the next."""
     res, _ = _trained(spark, sf_dir, replace(MODEL, report_every=5))
-    return M.report_frame(spark, res).select("iteration", "split", "n", *_checked())
+    checked = _against_weights(spark, sf_dir, res, M.report_frame(spark, res))
+    last = F.col("iteration") == MODEL.epochs
+    train = [r for r in res.report if r["split"] == "train"]
+    prior = M.scores(_prior_rows(spark, sf_dir).where("split = 'train'")).first()["log_loss"]
+    falls = all(b < a for a, b in zip([prior, *[r["log_loss"] for r in train]], [r["log_loss"] for r in train]))
+    return checked.select("iteration", "split", "n", F.lit(falls).alias("falls"), F.when(last, F.col("accuracy_ok")).alias("accuracy_ok"),
+                          F.when(last, F.col("log_loss_ok")).alias("log_loss_ok"))
 
 
-_PREDICTED = f"SELECT customer_id, '{FIXTURE_SPLIT.predict}' AS predict_period, TRUE AS listed, TRUE AS probabilities_ok FROM sup WHERE split = 'predict'"
-
-
-def _prediction_checks(preds: DataFrame) -> DataFrame:
-    """A row per prediction: the category is one of the list, and the one whose
-    probability is largest; the probabilities are one per category and sum to 1."""
-    p = F.col("probabilities")
+def _prior_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train and test examples with the class frequencies of train as probabilities."""
+    _, cfg, sup, _ = _sup_and_names(spark, sf_dir)
+    counts = {int(r["label"]): r["count"] for r in sup.where("split = 'train'").groupBy("label").count().collect()}
+    share = [counts.get(i, 0) / sum(counts.values()) for i in range(len(cfg.categories))]
+    vector = array_to_vector(F.array(*[F.lit(x) for x in share]))
+    return sup.where("split IN ('train', 'test')").select("split", "label").withColumns(
+        {"probability": vector, "prediction": F.lit(float(share.index(max(share))))})
+
+
+@register("eval_class_frequencies", _SUP + """,
+freq AS (SELECT label, COUNT(*) * 1.0 / SUM(COUNT(*)) OVER () AS p FROM sup WHERE split = 'train' GROUP BY label),
+best AS (SELECT label FROM freq ORDER BY p DESC, label LIMIT 1)
+SELECT split, COUNT(*) AS n, AVG(CASE WHEN sup.label = best.label THEN 1.0 ELSE 0 END) AS accuracy, round(AVG(-ln(freq.p)), 9) AS log_loss
+FROM sup LEFT JOIN freq ON freq.label = sup.label, best WHERE split IN ('train', 'test') GROUP BY split""")
+def q_eval_class_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 + M6 with their values: the scoring of models over a probability vector
+    that SQL knows, the class frequencies of train."""
+    return M.scores(_prior_rows(spark, sf_dir)).withColumn("log_loss", F.round("log_loss", 9))
+
+
+CENTROID = ModelConfig(kind="centroid")
+
+
+def _centroid_sql() -> str:
+    cats = "[" + ", ".join(O.lit(c) for c in O.TPCH_CATEGORIES) + "]"
+    return _train_steps_sql() + f""",
+z AS (SELECT pu.customer_id, pu.period, pu.split, pu.step, st2.feature_index AS j, (pu.v - st2.mean) / st2.scale AS z FROM pu JOIN st2 USING (feature)),
+lz AS (SELECT z.*, sup.label FROM z JOIN sup USING (customer_id, period)),
+mu AS (SELECT label, step, j, AVG(z) AS m FROM lz WHERE split = 'train' GROUP BY ALL),
+cl AS (SELECT label, SUM(m * m) / 2 AS half FROM mu GROUP BY label),
+pr0 AS (SELECT label, ln(COUNT(*) * 1.0 / SUM(COUNT(*)) OVER ()) AS lp FROM sup WHERE split = 'train' GROUP BY label),
+dot AS (SELECT z.customer_id, z.period, z.split, mu.label AS k, SUM(z.z * mu.m) AS d FROM z JOIN mu ON mu.step = z.step AND mu.j = z.j GROUP BY ALL),
+sc AS (SELECT customer_id, period, split, k, d - half + lp AS s FROM dot JOIN cl ON cl.label = k JOIN pr0 ON pr0.label = k),
+so AS (SELECT *, exp(s - MAX(s) OVER q) / SUM(exp(s)) OVER q * exp(MAX(s) OVER q) AS p, row_number() OVER (PARTITION BY customer_id, period ORDER BY s DESC, k) AS r
+       FROM sc WINDOW q AS (PARTITION BY customer_id, period)),
+named AS (SELECT *, {cats}[CAST(k AS INTEGER) + 1] AS category FROM so)"""
+
+
+@register("centroid_predictions", _centroid_sql() + f"""
+SELECT customer_id, '{FIXTURE_SPLIT.predict}' AS predict_period, category AS predicted_category, round(p, 6) AS probability
+FROM named WHERE split = 'predict' AND r = 1""")
+def q_centroid_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3 / M4 / M8 / O4 / F14 with their values: fit, forward pass, softmax and
+    argmax of the nearest-mean classifier, all stated in SQL as well."""
+    _, preds = _trained(spark, sf_dir, CENTROID)
+    return preds.select("customer_id", "predict_period", "predicted_category", F.round("probability", 6).alias("probability"))
+
+
+@register("centroid_metrics", _centroid_sql() + """
+SELECT n.split, COUNT(*) AS n, AVG(CASE WHEN n.r = 1 THEN 1.0 ELSE 0 END) AS accuracy, round(AVG(-ln(greatest(n.p, 1e-15))), 6) AS log_loss
+FROM named n JOIN sup ON sup.customer_id = n.customer_id AND sup.period = n.period AND sup.label = n.k
+WHERE n.split IN ('train', 'test') GROUP BY n.split""")
+def q_centroid_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3 / M5 / M6 with their values: hold-out accuracy and cross-entropy of the
+    fitted nearest-mean classifier."""
+    res, _ = _trained(spark, sf_dir, CENTROID)
+    rows = [(k, int(v["n"]), v["accuracy"], round(v["log_loss"], 6)) for k, v in res.metrics.items() if k in ("train", "test")]
+    return spark.createDataFrame(rows, "split string, n long, accuracy double, log_loss double")
+
+
+_PREDICTED = f"SELECT customer_id, '{FIXTURE_SPLIT.predict}' AS predict_period, TRUE AS category_ok, TRUE AS probabilities_ok FROM sup WHERE split = 'predict'"
+
+
+def _prediction_checks(preds: DataFrame, res, sup: DataFrame) -> DataFrame:
+    """A row per prediction: whether the category is the one, and every
+    probability within 1e-9 of the one, that the fitted weights give by array
+    expressions (the model's own transform made the predictions)."""
     cats = F.array(*[F.lit(c) for c in O.TPCH_CATEGORIES])
-    best = F.element_at(p, F.array_position(cats, F.col("predicted_category")).cast("int")) == F.col("probability")
-    total = F.aggregate(p, F.lit(0.0), lambda a, x: a + x)
-    return preds.select("customer_id", "predict_period", F.array_contains(cats, F.col("predicted_category")).alias("listed"),
-                        (best & (F.size(p) == len(O.TPCH_CATEGORIES)) & (F.abs(total - 1) < 1e-9)).alias("probabilities_ok"))
+    own = M.forward(res, M.vectors(sup.where("split = 'predict'"), res.means, res.scales)).select("customer_id", F.col("probabilities").alias("_p"))
+    best = F.element_at(cats, F.array_position("_p", F.array_max("_p")).cast("int"))
+    near = F.forall(F.zip_with("probabilities", "_p", lambda a, b: F.coalesce(F.abs(a - b) <= 1e-9, F.lit(False))), lambda x: x)
+    return preds.join(own, "customer_id", "left").select(
+        "customer_id", "predict_period", F.coalesce(F.col("predicted_category") == best, F.lit(False)).alias("category_ok"),
+        F.coalesce(near & (F.size("probabilities") == len(O.TPCH_CATEGORIES)), F.lit(False)).alias("probabilities_ok"))
 
 
 @register("predict_next_category", _SUP + "\n" + _PREDICTED)
 def q_predict_next_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One predicted category per prediction anchor."""
-    _, preds = _trained(spark, sf_dir)
-    return _prediction_checks(preds)
+    """One predicted category per prediction anchor, checked
+    against the fitted weights."""
+    fs, cfg, sup, _ = _sup_and_names(spark, sf_dir)
+    res, preds = M.train_and_predict(fs, cfg, SEQ, FIXTURE_SPLIT, MODEL)
+    return _prediction_checks(preds, res, sup)
 
 
 @register("predict_from_tables", _SUP + "\n" + _PREDICTED)
 def q_predict_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 → S7 → S3 → J2 → A12 → L2 → L3: the five narrow tables written, read
-    back and merged, then rolled up, sequenced, trained on and predicted from."""
+    back and merged, then rolled up, sequenced, trained on and predicted from
+    (here by multinomial logistic regression)."""
     paths, cfg = _stored_feature_store(spark, sf_dir)
     merged = merge_tables(IO.read_narrow_tables(spark, paths))
-    _, preds = M.train_and_predict(merged, cfg, SEQ, FIXTURE_SPLIT, MODEL)
-    return _prediction_checks(preds)
+    res, preds = M.train_and_predict(merged, cfg, SEQ, FIXTURE_SPLIT, ModelConfig(kind="logistic", reg_param=0.01))
+    return _prediction_checks(preds, res, supervised_sequences(merged, cfg, SEQ, FIXTURE_SPLIT))
 
 
 @register("period_ranges", """
@@ -828,9 +915,123 @@ def q_category_diversity_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("customer_id", period_label(index_start("period_idx", "month"), "month").alias("period"), "category_diversity")
 
 
-# ---------------------------------------------------------------- maps, states, sparse vectors
+# ---------------------------------------------------------------- bucketed merge, quarantine, observed writes, lost anchors
+
+from .operators.sequences import history_runs, rejected_anchors  # noqa: E402
+from .operators.tables import merge_bucketed, observe_counts, observe_keys  # noqa: E402
 
-from dataclasses import replace  # noqa: E402
+
+@register("merge_bucketed_tables", _FS_ALL_SQL)
+def q_merge_bucketed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 without a shuffle: the five narrow tables bucketed and sorted by
+    (customer, period), merged bucket by bucket."""
+    fs, cfg = tpch_feature_store(spark, sf_dir)
+    base = scratch_path(spark, "fs-bucketed")
+    IO.write_partitioned(fs, f"{base}/feature_store")
+    stored, tag = IO.read_partitioned(spark, f"{base}/feature_store"), base.rsplit("-", 1)[1]
+    tables = []
+    for name, df in narrow_tables(stored, cfg).items():
+        IO.write_bucketed(df, f"{name}_{tag}", f"{base}/{name}", buckets=8)
+        tables.append(spark.table(f"{name}_{tag}"))
+    return _fs_all(merge_bucketed(tables))
+
+
+_DAMAGE_SQL = f"""
+WITH t AS (SELECT o_custkey, l_orderkey, l_linenumber, l_shipdate, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, p_type, l_suppkey, o_orderpriority,
+                  CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS is_online
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+x AS (SELECT *, l_orderkey % 11 = 0 AS no_amount, l_orderkey % 13 = 0 AS no_time, l_orderkey % 17 = 0 AS mils, l_orderkey % 19 = 0 AS short FROM t),
+c AS (SELECT *, concat_ws(',', o_custkey, l_orderkey, l_linenumber, CASE WHEN no_time THEN '2001-02-30 10:00:00' ELSE strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') END,
+    CASE WHEN no_amount THEN 'n/a' WHEN mils THEN amount::VARCHAR || '5' ELSE amount::VARCHAR END, p_type, l_suppkey, o_orderpriority)
+    || CASE WHEN short THEN '' ELSE ',' || is_online END AS record FROM x)"""
+_LINE_SCHEMA = StructType([StructField("customer_id", LongType()), StructField("order_key", LongType()), StructField("line_number", LongType()),
+                           StructField("timestamp", StringType()), StructField("amount", DecimalType(18, 2)), StructField("category", StringType()),
+                           StructField("merchant_id", LongType()), StructField("payment_method", StringType()), StructField("is_online", IntegerType())])
+
+
+def _quarantined(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The transactions as text lines, some of them damaged, through the quarantine."""
+    t = tpch_transactions(spark, sf_dir)
+    hit = lambda n: F.col("order_key") % n == 0
+    time = F.when(hit(13), "2001-02-30 10:00:00").otherwise(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+    amount = F.col("amount").cast("string")
+    amount = F.when(hit(11), "n/a").when(hit(17), F.concat(amount, F.lit("5"))).otherwise(amount)
+    line = F.concat_ws(",", "customer_id", "order_key", "line_number", time, amount, "category", "merchant_id", "payment_method")
+    path = scratch_path(spark, "txn-lines")
+    t.select(F.when(hit(19), line).otherwise(F.concat_ws(",", line, "is_online")).alias("value")).write.text(path)
+    return IO.quarantine_transactions_csv(spark, path, scratch_path(spark, "quarantine"), _LINE_SCHEMA, header=False)
+
+
+@register("quarantine_accepted", _DAMAGE_SQL + """
+SELECT o_custkey AS customer_id, l_orderkey AS order_key, CAST(l_linenumber AS BIGINT) AS line_number, l_shipdate AS "timestamp", amount, p_type AS category,
+  l_suppkey AS merchant_id, o_orderpriority AS payment_method, is_online FROM c WHERE NOT (no_amount OR no_time OR mils OR short)""")
+def q_quarantine_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2: the good records of a damaged transaction file, typed."""
+    return _quarantined(spark, sf_dir)[0]
+
+
+@register("quarantine_rejects", _DAMAGE_SQL + """
+SELECT record, CASE WHEN short THEN 'wrong number of fields' ELSE concat_ws('; ', CASE WHEN no_time THEN 'timestamp: not timestamp' END,
+  CASE WHEN no_amount THEN 'amount: not decimal(18,2)' WHEN mils THEN 'amount: more than 2 decimals' END) END AS reason
+FROM c WHERE no_amount OR no_time OR mils OR short""")
+def q_quarantine_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2: the bad records of that file, as text, each with the reasons."""
+    return _quarantined(spark, sf_dir)[1]
+
+
+@register("observed_keys", f"""
+WITH t AS (SELECT CASE WHEN l_orderkey % 100 = 0 THEN NULL ELSE o_custkey END AS customer_id, l_orderkey, l_linenumber
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+k AS (SELECT customer_id, COUNT(*) AS n FROM t GROUP BY customer_id, l_orderkey, l_linenumber)
+SELECT CAST(SUM(n) AS BIGINT) AS n_rows, CAST(SUM(n) FILTER (customer_id IS NULL) AS BIGINT) AS n_null_keys,
+  CAST(SUM(n - 1) FILTER (customer_id IS NOT NULL) AS BIGINT) AS n_repeated_keys FROM k""")
+def q_observed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 inside the job that writes: rows, NULL keys and repeated keys of the
+    sparse transactions, counted while they are written."""
+    rows, seen = observe_keys(sparse_transactions(spark, sf_dir), _SPARSE_KEYS)
+    rows.write.parquet(scratch_path(spark, "observed"))
+    got = seen.get
+    return spark.createDataFrame([tuple(got[c] for c in ("n_rows", "n_null_keys", "n_repeated_keys"))], "n_rows long, n_null_keys long, n_repeated_keys long")
+
+
+@register("observed_split_counts", _SUP + "\nSELECT split, COUNT(*) AS n FROM sup GROUP BY split")
+def q_observed_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E16 inside the job that writes the sequences: examples per split."""
+    fs, cfg = tpch_feature_store(spark, sf_dir)
+    rows, seen = observe_counts(supervised_sequences(fs, cfg, SEQ, FIXTURE_SPLIT), "split", ("train", "test", "predict"))
+    rows.write.parquet(scratch_path(spark, "observed-sequences"))
+    return spark.createDataFrame(list(seen.get.items()), "split string, n long")
+
+
+@register("history_runs", O.feature_store_sql() + f"""
+, r AS (SELECT customer_id, period_idx, period_idx - row_number() OVER (PARTITION BY customer_id ORDER BY period_idx) AS run FROM fs)
+SELECT customer_id, {O.month_label_of_idx('MIN(period_idx)')} AS from_period, {O.month_label_of_idx('MAX(period_idx)')} AS to_period, COUNT(*) AS length
+FROM r GROUP BY customer_id, run""")
+def q_history_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W7 as islands: stretches of contiguous months of each customer."""
+    fs, _ = tpch_feature_store(spark, sf_dir, keep_index=True)
+    label = lambda c: period_label(index_start(c, "month"), "month")
+    return history_runs(fs).select("customer_id", label("from_idx").alias("from_period"), label("to_idx").alias("to_period"), "length")
+
+
+@register("rejected_anchors", _SUP + f"""
+, firsts AS (SELECT customer_id, MIN(period_idx) AS first_idx FROM m GROUP BY customer_id),
+x AS (SELECT m.customer_id, m.period, m.period_idx, first_idx, m.period_idx - b AS miss FROM m JOIN firsts USING (customer_id), (SELECT unnest(range({SEQ.seq_len})) AS b)),
+y AS (SELECT x.*, bool_or(miss < first_idx) OVER q AS early, bool_or(miss > first_idx) OVER q AS late
+      FROM x ANTI JOIN m ON m.customer_id = x.customer_id AND m.period_idx = x.miss WINDOW q AS (PARTITION BY x.customer_id, x.period_idx))
+SELECT customer_id, period, {O.month_label_of_idx('miss')} AS missing_period,
+  CASE WHEN early AND late THEN 'both' WHEN early THEN 'short' ELSE 'gap' END AS reason FROM y""")
+def q_rejected_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E15 + W7: the anchors that lack a complete history, with each missing month
+    of the look-back and the reason."""
+    rolled, _ = _rolled(spark, sf_dir)
+    rows = rejected_anchors(rolled, "customer_id", "period_idx", SEQ.seq_len)
+    label = lambda c: period_label(index_start(c, "month"), "month")
+    return rows.select("customer_id", label("period_idx").alias("period"), F.explode("missing").alias("_m"), "reason").select(
+        "customer_id", "period", label("_m").alias("missing_period"), "reason")
+
+
+# ---------------------------------------------------------------- maps, states, sparse vectors
 
 from .config import TxnColumns  # noqa: E402
 from .operators import states as S  # noqa: E402
@@ -1006,7 +1207,6 @@ FROM l JOIN fullh USING (customer_id, period_idx) WHERE nidx = period_idx + 1"""
 def q_quarterly_adjacent_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Period unit = quarter: anchors with a full 3-quarter history whose
     label comes from the calendar-adjacent quarter (``require_adjacent``)."""
-    from dataclasses import replace
     fs, cfg = build_feature_store(tpch_transactions(spark, sf_dir), replace(TPCH_CONFIG, period_unit="quarter"))
     m = labelled(rolled_features(fs, cfg), cfg, SequenceConfig(seq_len=3, require_adjacent=True))
     m = m.where(F.col("seq").isNotNull() & F.col("target_category").isNotNull())

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DecimalType, IntegerType, StringType, StructField, StructType)
+from pyspark.sql.types import (BooleanType, DecimalType, IntegerType, StringType, StructField, StructType)
 
 # Column names and order of a raw transaction file.
 TXN_CSV_SCHEMA = StructType([
@@ -59,6 +59,47 @@ def read_transactions_csv(spark: SparkSession, path: str, schema: StructType = T
     return raw.withColumn(ts_col, parsed)
 
 
+def check_transactions_csv(spark: SparkSession, path: str, schema: StructType = TXN_CSV_SCHEMA, ts_col: str = "timestamp",
+                           ntz: bool = True, header: bool = True) -> DataFrame:
+    """S1 + S2 without a failing job: every record of the CSV with its typed
+    columns, ``_reject`` (why the record is bad; NULL for a good one) and
+    ``_record`` (its text).  Bad is a record with too few or too many fields, a
+    value that is not of its column's type, a decimal with more digits after the
+    point than its column keeps, and a time that is none.  Empty values are NULL."""
+    text = StructType([*[StructField(f.name, StringType()) for f in schema.fields], StructField("_corrupt", StringType())])
+    raw = (spark.read.schema(text).option("header", header).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_corrupt").csv(path))
+    typed, why = [], [F.when(F.col("_corrupt").isNotNull(), F.lit("wrong number of fields"))]
+    for f in schema.fields:
+        c, kind = F.col(f.name), f.dataType.simpleString()
+        if f.name == ts_col:
+            value = F.try_to_timestamp(c)
+            value = value.cast("timestamp_ntz") if ntz else value
+            kind = "timestamp"
+        else:
+            value = c.try_cast(f.dataType)
+        typed.append(value.alias(f.name))
+        why.append(F.when(c.isNotNull() & value.isNull(), F.lit(f"{f.name}: not {kind}")))
+        if isinstance(f.dataType, DecimalType):
+            why.append(F.when(value != c.try_cast("double"), F.lit(f"{f.name}: more than {f.dataType.scale} decimals")))
+    reasons = F.filter(F.array(*why), lambda x: x.isNotNull())
+    record = F.coalesce("_corrupt", F.to_csv(F.struct(*[F.col(f.name) for f in schema.fields])))
+    return raw.select(*typed, F.when(F.size(reasons) > 0, F.array_join(F.when(F.col("_corrupt").isNotNull(), F.slice(reasons, 1, 1)).otherwise(reasons), "; "))
+                      .alias("_reject"), record.alias("_record"))
+
+
+def quarantine_transactions_csv(spark: SparkSession, path: str, out: str, schema: StructType = TXN_CSV_SCHEMA, **options) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejects) of a transaction CSV, both kept at ``out``: one pass
+    over the file writes the typed good records and, in a partition of their own,
+    the bad ones as (record, reason)."""
+    checked = check_transactions_csv(spark, path, schema, **options)
+    bad = F.col("_reject").isNotNull()
+    checked.withColumn("_record", F.when(bad, F.col("_record"))).withColumn("_bad", bad).write.partitionBy("_bad").parquet(out)
+    kept = spark.read.schema(StructType([*checked.schema.fields, StructField("_bad", BooleanType())])).parquet(out)
+    return (kept.where(~F.col("_bad")).select(*[f.name for f in schema.fields]),
+            kept.where(F.col("_bad")).select(F.col("_record").alias("record"), F.col("_reject").alias("reason")))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV, one part file per task (no single-writer
     funnel); the directory is created by the writer."""
@@ -180,3 +221,10 @@ def write_feature_store(combined: DataFrame, narrow: dict[str, DataFrame], base:
 def read_narrow_tables(spark: SparkSession, paths: dict[str, str],
                        names=("core_behavior", "category", "payment", "growth", "trend")) -> list[DataFrame]:
     return [read_partitioned(spark, paths[n]) for n in names if n in paths]
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys=("customer_id", "period"), buckets: int = 32) -> None:
+    """J2, stored form: ``df`` as the catalog table ``table`` at ``path``, bucketed
+    and sorted by ``keys`` with one file a bucket.  Tables with equal keys and
+    bucket counts merge without a shuffle (``tables.merge_bucketed``)."""
+    (df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table))
