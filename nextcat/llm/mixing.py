@@ -1,23 +1,30 @@
 """Mixing sources to target weights by weighted fair queueing.
 
-Every source is a queue of its documents in a seeded random order (MD5 of seed
-and id), gone through once per epoch.  A document copy's virtual finish time is
-its source's cumulative tokens divided by the source's target, so all sources
-reach their targets at virtual time 1.  Copies are range-sorted by finish time
-over all sources and cut off at the total budget; the copy in service when its
-source reaches the target is served in part.
+Every source is a queue of its documents in a seeded random order (MD5 of seed,
+id and text), gone through ``max_epochs`` times.  A document copy's virtual finish
+time is its source's cumulative tokens, this copy included, divided by the
+source's target, so every source reaches its target at virtual time 1.  The copies
+of all sources are sorted by (finish, source, epoch, place in the source) and
+taken from the front until the total budget is used up; the copy in service then
+is taken in part.  No source is cut on its own: what one leaves at time 1,
+because its next document is long, goes to those whose next documents finish
+first.  A source therefore takes its target up to the size of one of its
+documents, or up to what others leave.
 
 Targets: sources get budget in proportion to weight, stop at ``max_epochs``
 times their size, and what is over goes to the others by weight (water-filling,
 solved by sorting sources by the share at which they stop).
 
-No source is handled whole by one task: each is split into 4,096 ranges of the
-random order, their sums (a bounded number per source) are prefix-summed, and
-the running sum inside a range is added.  Texts are never shuffled.
+No source is handled whole by one task: rows are range-sorted by (source, order),
+ranges summed, their sums (a row per source and range) prefix-summed, and the
+running sum inside a range added.  Finish times fill 0 to 1 evenly in words
+whatever the sources, so fixed ranges of them, as many as the counted rows ask
+for, are even; times from 2 on fall in ranges of their logarithm.  Only the ranges
+before the budget's end are sorted.  Texts are never shuffled.
 
 Defined cases: null text: size 0; documents of size 0 are never taken; a null
-source is a source, last in order; equal ids in a source are ordered by size,
-and rows equal in all three are interchangeable; an empty table gives no rows."""
+source is a source, last in order; rows of equal id and text are ordered by id and
+size, and rows equal in all are interchangeable; an empty table gives no rows."""
 
 from __future__ import annotations
 
@@ -29,8 +36,9 @@ from pyspark.sql import functions as F
 from ..operators.trends import numbered, range_sorted
 from .common import SPACE, WORD, cut, fresh, row_key, text_of
 
-#: Ranges of a source's random order, and of the virtual time, that are summed on their own.
+#: Least number of ranges of the virtual time from 0 to 1, and rows of a range beyond which there are more.
 RANGES = 4096
+RANGE_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -73,6 +81,12 @@ def targets(sizes: DataFrame, mix: Mix = Mix()) -> DataFrame:
         .otherwise(F.col("level") * F.col("weight")).alias("target"))
 
 
+def finish_range(finish: Column, ranges: int) -> Column:
+    """Number of the range that a virtual finish time falls in, ascending with it."""
+    late = 2 * ranges + F.floor(F.log2(F.greatest(finish, F.lit(2.0))) * 64)
+    return F.when(finish < 2, F.floor(finish * ranges)).otherwise(late).cast("int")
+
+
 def mix_sources(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text: str = "text",
                 source: str = "source") -> tuple[DataFrame, DataFrame]:
     """(documents, mix).
@@ -82,43 +96,41 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text:
     mix: a row per copy taken, in mixing order: slot, source, epoch, taken
     (words), finish (virtual time), position (words of the mix before it); the
     order is that of (finish, source, epoch, slot)."""
-    order = F.md5(F.concat(F.lit(f"{mix.seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("null"))))
-    sized = cut(docs.select(F.col(id_col).alias("id"), row_key(docs, id_col, text).alias("key"),
-                            F.col(source).cast("string").alias("source"), size_of(text).alias("size"))
-                .withColumn("order", order).withColumn("range", F.conv(F.substring("order", 1, 3), 16, 10).cast("int")))
-    sums = cut(sized.groupBy("source", "range").agg(F.sum("size").alias("sum"), F.count("*").alias("rows")))
-    goal = targets(sums.groupBy("source").agg(F.sum("sum").alias("source_size")), mix)
-    earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    start = (sums.select("source", "range", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("sum_before"),
+    order = F.md5(F.concat(F.lit(f"{mix.seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.md5(text_of(text))))
+    sized = docs.select(F.col(id_col).alias("id"), row_key(docs, id_col, text).alias("key"), F.col(source).cast("string").alias("source"),
+                        size_of(text).alias("size"), order.alias("order"))
+    sized = cut(sized.withColumn("row", F.monotonically_increasing_id()))
+    # the row number, last in order, lets a third of all rows be equal: they lie over as many ranges as they need
+    rows = range_sorted(sized, F.col("source").asc_nulls_last(), "order", "id", "size", "key", "row")
+    sums = cut(rows.groupBy("source", "_part").agg(F.sum("size").alias("sum"), F.count("*").alias("rows")))
+    goal = cut(targets(sums.groupBy("source").agg(F.sum("sum").alias("source_size")), mix))
+    total = F.coalesce(F.sum("source_size"), F.lit(0))
+    budget, n = goal.agg(F.floor(total * F.lit(mix.budget))).first()[0], sums.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    ranges = max(RANGES, -(-n // RANGE_ROWS))
+    earlier = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    start = (sums.select("source", "_part", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("sum_before"),
                          F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("rows_before")))
-    at = start.join(goal.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    inside = Window.partitionBy("source", "range").orderBy("order", "id", "size", "key")
-    queued = sized.join(at, sized.source.eqNullSafe(at.source) & (sized.range == at.range)).select(
-        sized["*"], "sum_before", "rows_before", "source_size", "target")
+    at = (start.join(goal.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+          .withColumnsRenamed({"source": "_source", "_part": "_range"}))
+    inside = Window.partitionBy("source", "_part").orderBy("_at")
+    queued = rows.join(at, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_part") == F.col("_range")))
     queued = cut(queued.select(
         "id", "key", "source", "size", "source_size", "target",
         (F.col("rows_before") + F.row_number().over(inside)).alias("slot"),
         (F.col("sum_before") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).alias("before")))
-    copies = (queued.where("size > 0").select("slot", "source", "size", "target", F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(mix.max_epochs - 1)),
-        lambda e: F.struct(e.alias("epoch"), (F.col("before") + e * F.col("source_size")).alias("begin")))).alias("c"))
-        .select("slot", "source", "c.epoch", F.col("c.begin").alias("begin"), "size", F.floor("target").alias("goal"), "target")
-        .where("begin < goal")
-        .select("slot", "source", "epoch", F.least(F.col("size"), F.col("goal") - F.col("begin")).alias("served"),
-                (F.least(F.col("begin") + F.col("size"), F.col("goal")) / F.col("target")).alias("finish")))
-    # finish times fill 0 to 1 evenly in words, so fixed ranges of them are even whatever the sources
-    timed = copies.withColumn("range", F.least(F.lit(RANGES - 1), F.floor(F.col("finish") * RANGES)).cast("int"))
-    served = timed.groupBy("range").agg(F.sum("served").alias("n"))
-    ahead = served.select("range", F.coalesce(F.sum("n").over(
-        Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))  # RANGES rows at most
-    total = goal.select(F.floor(F.sum("source_size") * F.lit(mix.budget)).alias("budget"))
+    epochs = F.sequence(F.lit(0), F.lit(mix.max_epochs - 1))
+    copies = (queued.where("size > 0").select("slot", "source", "size", "target", "before", "source_size", F.explode(epochs).alias("epoch"))
+              .select("slot", "source", "epoch", "size",
+                      ((F.col("before") + F.col("epoch") * F.col("source_size") + F.col("size")).cast("double") / F.col("target")).alias("finish")))
+    timed = copies.withColumn("range", finish_range(F.col("finish"), ranges))
+    ahead = timed.groupBy("range").agg(F.sum("size").alias("n")).select("range", F.coalesce(F.sum("n").over(  # a row per range
+        Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead")).where(F.col("ahead") < budget)
     own = Window.partitionBy("range").orderBy("finish", F.col("source").asc_nulls_last(), "epoch", "slot")
     placed = timed.join(ahead, "range").select(
-        "slot", "source", "epoch", "served", "finish",
-        (F.col("ahead") + F.sum("served").over(own.rowsBetween(Window.unboundedPreceding, 0)) - F.col("served")).alias("position"))
-    taken = F.least(F.col("served"), F.col("budget") - F.col("position"))
-    mixed = placed.join(F.broadcast(total)).where(F.col("position") < F.col("budget")).select(  # one row
-        "slot", "source", "epoch", taken.alias("taken"), "finish", "position")
+        "slot", "source", "epoch", "size", "finish",
+        (F.col("ahead") + F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).alias("position"))
+    taken = F.least(F.col("size"), budget - F.col("position"))
+    mixed = placed.where(F.col("position") < budget).select("slot", "source", "epoch", taken.alias("taken"), "finish", "position")
     return queued.drop("before"), mixed
 
 
@@ -139,8 +151,8 @@ def first_words(text: Column, n: Column) -> Column:
 
 def mixed_documents(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """A row per copy taken, with the columns of ``docs``, range-sorted into
-    mixing order; the copy in service when its source reaches the target is cut
-    after the words taken."""
+    mixing order; the copy in service when the budget ends is cut after the words
+    taken."""
     rows, mixed = mix_sources(docs, mix, id_col, text, source)
     key, size, taken, position, pick = fresh(docs, "_key", "_size", "_taken", "_position", "_pick")
     chosen = rows.join(mixed, rows.source.eqNullSafe(mixed.source) & (rows.slot == mixed.slot)).select(

@@ -86,8 +86,8 @@ def mix_sql(mix: Mix = Mix()) -> str:
     weights = ", ".join(str(float(w)) for w in mix.weights)
     epochs = ", ".join(str(e) for e in range(mix.max_epochs))
     return rf"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
-           FROM documents),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+             md5('{mix.seed}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS o FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
         ([{weights}])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mix.weights)} + 1]::DOUBLE AS w FROM d GROUP BY source),
 f AS (SELECT *, source_size * {mix.max_epochs} AS cap, sum(source_size) OVER ()::DOUBLE * {mix.budget} AS budget,
@@ -96,11 +96,12 @@ f AS (SELECT *, source_size * {mix.max_epochs} AS cap, sum(source_size) OVER ():
 l AS (SELECT *, (budget - stopped) / open AS share FROM f),
 v AS (SELECT arg_min(share, stopped) AS level FROM l WHERE share * w <= cap),
 t AS (SELECT source, source_size, CASE WHEN level IS NULL OR level * w > cap THEN cap::DOUBLE ELSE level * w END AS target FROM l, v),
-p AS (SELECT d.*, t.source_size, t.target, sum(size) OVER (PARTITION BY d.source ORDER BY md5('{mix.seed}:' || coalesce(doc_id::VARCHAR, 'null')),
-        doc_id, size, rid ROWS UNBOUNDED PRECEDING) - size AS before FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-c AS (SELECT rid, greatest(0, least(size, floor(target) - (before + e * source_size))) AS n FROM p, (SELECT unnest([{epochs}]) AS e))
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(coalesce(k.n, 0) AS BIGINT) AS taken
-FROM p LEFT JOIN (SELECT rid, sum(n) AS n FROM c GROUP BY rid) k USING (rid)"""
+p AS (SELECT d.*, t.source_size, t.target, sum(size) OVER q AS upto, row_number() OVER q AS slot FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+      WINDOW q AS (PARTITION BY d.source ORDER BY o, doc_id NULLS FIRST, size, rid ROWS UNBOUNDED PRECEDING)),
+c AS (SELECT rid, source, epoch, slot, size, CAST(upto + epoch * source_size AS DOUBLE) / target AS finish FROM p, (SELECT unnest([{epochs}]) AS epoch) WHERE size > 0),
+z AS (SELECT rid, size, sum(size) OVER (ORDER BY finish, source NULLS LAST, epoch, slot ROWS UNBOUNDED PRECEDING) - size AS position FROM c),
+k AS (SELECT rid, sum(least(size, budget - position)) AS n FROM z, (SELECT floor(sum(size) * {mix.budget}) AS budget FROM d) WHERE position < budget GROUP BY rid)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(coalesce(k.n, 0) AS BIGINT) AS taken FROM p LEFT JOIN k USING (rid)"""
 
 
 def chat_sql(conf: ChatWindows = ChatWindows()) -> str:

@@ -82,16 +82,41 @@ def test_mix_equals_sql_and_reruns(docs, empty):
 
 def test_mix_by_hand(spark):
     # three sources of 100, 1000 and 1000 words with weights 5, 2, 1: budget 3150; a stops at 200, b would get
-    # 2 / 3 of 2950 = 1966.7 and c 983.3, both below twice their size
+    # 2 / 3 of 2950 = 1966.7 and c 983.3, both below twice their size; documents of 10 words finish one after another,
+    # and the 197th of b comes before the 99th of c: 1970 + 980 words fill the budget
     rows = [(s * 1000 + i, "w " * 10, "en", "abc"[s], 20) for s, n in enumerate((10, 100, 100)) for i in range(n)]
     got = mixing.mix_report(spark.createDataFrame(rows, DOCS)).join(
         spark.createDataFrame([(r[0], r[3]) for r in rows], "id long, source string"), "id").groupBy("source").agg(
         F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("taken").alias("most")).orderBy("source").collect()
-    assert [r.taken for r in got] == [200, 1966, 983]
+    assert [r.taken for r in got] == [200, 1970, 980] and sum(r.taken for r in got) == 3150
     assert [round(r.target, 3) for r in got] == [200.0, 1966.667, 983.333]
     assert max(r.most for r in got) <= 20
 
 
+def test_mix_is_cut_once_and_near_every_target(spark):
+    r = random.Random(11)
+    rows = [(i, "w " * r.choice([1, 5, 30, 200]), "en", r.choice("aaaabbc") if i else "giant", 0) for i in range(600)]
+    rows += [(9000, "w " * 4000, "en", "giant", 0)] + [(None, "same text here", "en", "a", 0)] * 150  # a document over its source's target; a group of equal rows
+    docs, mixed = mixing.mix_sources(spark.createDataFrame(rows, DOCS).repartition(6))
+    got, goal = mixed.orderBy("position").collect(), {x.source: x for x in docs.groupBy("source").agg(
+        F.max("target").alias("target"), F.max("size").alias("longest"), F.max("source_size").alias("size")).collect()}
+    budget = int(1.5 * sum(x.size for x in goal.values()))
+    assert [x.position for x in got] == [sum(y.taken for y in got[:i]) for i in range(len(got))] and sum(x.taken for x in got) == budget
+    order = [(x.finish, x.source, x.epoch, x.slot) for x in got]
+    assert order == sorted(order)
+    taken = {s: sum(x.taken for x in got if x.source == s) for s in goal}
+    spare = sum(x.longest for x in goal.values())
+    assert all(-x.longest <= taken[s] - x.target <= spare for s, x in goal.items()) and all(taken[s] <= 2 * x.size for s, x in goal.items())
+    sizes = {(d.source, d.slot): d.size for d in docs.collect()}
+    assert [x.taken for x in got[:-1]] == [sizes[(x.source, x.slot)] for x in got[:-1]]  # only the last copy may be cut
+
+
+def test_finish_ranges_ascend(spark):
+    times = [0.0, 1e-9, 0.3, 0.99999, 1.0, 1.5, 1.9999, 2.0, 2.01, 7.0, 1e6, 1e12]
+    got = [x.r for x in spark.createDataFrame([(t,) for t in times], "t double").select("t", mixing.finish_range(F.col("t"), 4096).alias("r")).orderBy("t").collect()]
+    assert got == sorted(got) and got[-1] < 12_000 and got[7] == 8192 + 64
+
+
 def test_targets_of_many_sources(spark, monkeypatch):
     r = random.Random(4)
     names = sorted(f"s{i}" for i in range(500)) + [None]
