@@ -63,18 +63,19 @@ def _turns(rows: DataFrame, conf: ChatWindows) -> DataFrame:
                   .select("conv", "role", "text", "tokens", F.spark_partition_id().alias("part"),
                           F.monotonically_increasing_id().alias("at")))
     heads = ordered.groupBy("conv").agg(F.min("at").alias("first"), F.min_by(F.struct("role", "tokens"), "at").alias("head"))
+    room = F.greatest(F.lit(1), F.lit(conf.budget) - F.when(F.col("head.role") == conf.system, F.col("head.tokens")).otherwise(0))
+    past = F.greatest(F.lit(0), F.least(F.lit(conf.history), room - max(1, conf.budget // 4)))
     heads = heads.select(F.col("conv").alias("h_conv"), F.when(F.col("head.role") == conf.system, F.col("first")).alias("system_at"),
-                         F.greatest(F.lit(max(1, conf.budget // 4)), F.lit(conf.budget - conf.history) - F.when(
-                             F.col("head.role") == conf.system, F.col("head.tokens")).otherwise(0)).alias("stride"))
+                         past.alias("past"), (room - past).alias("stride"))
     joined = cut(ordered.join(heads, F.col("conv").eqNullSafe(F.col("h_conv"))).select(
-        ordered["*"], "stride", F.coalesce(F.col("at") == F.col("system_at"), F.lit(False)).alias("system")))
+        ordered["*"], "stride", "past", F.coalesce(F.col("at") == F.col("system_at"), F.lit(False)).alias("system")))
     size = F.when(F.col("system"), 0).otherwise(F.col("tokens"))
     parts = joined.groupBy("conv", "part").agg(F.sum(size).alias("n"))
     earlier = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select(F.col("conv").alias("p_conv"), F.col("part").alias("p_part"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     inside = Window.partitionBy("conv", "part").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     summed = (joined.join(parts, F.col("conv").eqNullSafe(F.col("p_conv")) & (F.col("part") == F.col("p_part")))
-              .select("conv", "at", "role", "text", "system", "tokens", "stride", (F.col("before") + F.sum(size).over(inside) - size).alias("begin")))
+              .select("conv", "at", "role", "text", "system", "tokens", "stride", "past", (F.col("before") + F.sum(size).over(inside) - size).alias("begin")))
     cell = F.floor(F.col("begin") / F.col("stride"))
     last = F.floor((F.col("begin") + F.col("tokens") - 1) / F.col("stride"))
     return cut(summed.withColumn("span", F.when(F.col("system"), F.lit(-1)).otherwise(
@@ -103,9 +104,9 @@ def format_windows(chats: DataFrame, conf: ChatWindows = ChatWindows(), conv: st
         "conv", "window", "at", "role", "text", (F.col("start") == 0).alias("new"))
     # a turn can be history of windows that start at most `history` tokens after it: these lie in a few strides
     near = turns.where("span >= 0").withColumn("cell", F.explode(F.sequence(
-        F.floor((F.col("begin") + F.col("tokens")) / F.col("stride")), F.floor((F.col("begin") + F.greatest(F.col("tokens"), F.lit(conf.history))) / F.col("stride")))))
+        F.floor((F.col("begin") + F.col("tokens")) / F.col("stride")), F.floor((F.col("begin") + F.greatest(F.col("tokens"), F.col("past"))) / F.col("stride")))))
     again = near.join(windows, F.col("conv").eqNullSafe(F.col("w_conv")) & (F.col("cell") == F.col("w_cell"))).where(
-        (F.col("start") > F.col("begin")) & (F.col("start") - F.col("begin") <= conf.history) & (F.col("window") > F.col("span"))).select(
+        (F.col("start") > F.col("begin")) & (F.col("start") - F.col("begin") <= F.col("past")) & (F.col("window") > F.col("span"))).select(
         "conv", "window", "at", "role", "text", F.lit(False).alias("new"))
     gathered = own.unionByName(system).unionByName(again).groupBy("conv", "window").agg(F.sort_array(F.collect_list(part)).alias("turns"))
 

@@ -73,15 +73,40 @@ class Tree:
     mark: list[str] = field(default_factory=list)     # label of a training page's element
 
 
+class _Open(list):
+    """Open elements from the root on, (tag, node; -1 inside a hidden element),
+    with how many there are of each, so that an end tag without its element costs
+    no walk along them."""
+
+    def __init__(self):
+        super().__init__()
+        self.here: Counter = Counter()  # of (tag, hidden)
+        self.hidden = 0                 # the hidden ones are the last
+
+    def push(self, tag: str, node: int) -> None:
+        self.append((tag, node))
+        self.here[tag, node < 0] += 1
+        self.hidden += node < 0
+
+    def cut(self, k: int) -> None:
+        for tag, node in self[k:]:
+            self.here[tag, node < 0] -= 1
+            self.hidden -= node < 0
+        del self[k:]
+
+    def any(self, tags) -> bool:
+        return any(self.here[t, False] or self.here[t, True] for t in tags)
+
+
 class _Reader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tree = Tree()
-        self.open: list[tuple[str, int]] = []  # (tag, node; -1 inside a hidden element)
+        self.open = _Open()
         self.buffer: list[str] = []
         self.link = self.linked = 0
         self.add("html", (), "")
-        self.open.append(("html", 0))
+        self.open.push("html", 0)
 
     def add(self, tag: str, names: tuple[str, ...], mark: str, text: str = "") -> int:
         t = self.tree
@@ -103,15 +128,12 @@ class _Reader(HTMLParser):
 
     def visible(self) -> int:
         """Number of open elements around the outermost hidden one."""
-        k = len(self.open)
-        while self.open[k - 1][1] < 0:
-            k -= 1
-        return k
+        return len(self.open) - self.open.hidden
 
     def broken_out(self, tag: str) -> int:
         """Number of open elements that are left when ``tag`` starts in an element of another language."""
         left = k = len(self.open)
-        while tag in BREAKOUT and self.open[k - 1][1] < 0 and self.open[k - 1][0] not in POINTS:
+        while tag in BREAKOUT and self.open.any(FOREIGN) and self.open[k - 1][1] < 0 and self.open[k - 1][0] not in POINTS:
             k -= 1
             if self.open[k][0] in FOREIGN:
                 left = k
@@ -124,9 +146,9 @@ class _Reader(HTMLParser):
         while self.open[-1][1] < 0:
             top = self.open[-1][0]
             if top == "head" and tag not in HEAD_BLOCKS | HEAD_VOID | {"head", "html"}:
-                self.open.pop()
+                self.open.cut(len(self.open) - 1)
             elif (left := self.broken_out(tag)) < len(self.open):
-                del self.open[left:]
+                self.open.cut(left)
             else:
                 if top == "head":
                     inner = tag in HEAD_BLOCKS
@@ -135,18 +157,18 @@ class _Reader(HTMLParser):
                         tag in HIDDEN or tag in BLOCKS or tag in POINTS or "-" in tag)
                 if inner:
                     if top == "p" and tag in BLOCKS:
-                        self.open.pop()
-                    self.open.append((tag, -1))
+                        self.open.cut(len(self.open) - 1)
+                    self.open.push(tag, -1)
                 return True
         return False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag == "body" and ("head", -1) in self.open:
-            del self.open[self.open.index(("head", -1)):]
+        if tag == "body" and self.open.here["head", True]:
+            self.open.cut(self.open.index(("head", -1)))
         if self.start_hidden(tag):
             return
         if tag in HIDDEN:
-            self.open.append((tag, -1))
+            self.open.push(tag, -1)
             return
         if tag not in BLOCKS and "-" not in tag:
             if tag == "br":
@@ -155,7 +177,7 @@ class _Reader(HTMLParser):
                 self.link += 1
             return
         self.flush()
-        if tag in ("html", "body") and any(x[0] == tag for x in self.open):
+        if tag in ("html", "body") and self.open.any((tag,)):
             return
         self.shut({"p"}, BLOCKS - {"p"})
         if tag in CLOSES:
@@ -164,7 +186,7 @@ class _Reader(HTMLParser):
             a = dict(attrs)
             names = " ".join(a.get(k) or "" for k in ("class", "id", "role", "itemprop"))
             words = tuple(dict.fromkeys(w.lower() for w in _NAME.findall(names))) if names.strip() else ()
-            self.open.append((tag, self.add(tag, words, a.get("data-y") or "")))
+            self.open.push(tag, self.add(tag, words, a.get("data-y") or ""))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -172,10 +194,12 @@ class _Reader(HTMLParser):
             self.handle_endtag(tag)
 
     def shut(self, tags: set[str] | frozenset[str], until: set[str] | frozenset[str]) -> None:
+        if not self.open.any(tags):
+            return
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k][0] in tags:
                 self.flush()
-                del self.open[k:]
+                self.open.cut(k)
                 return
             if self.open[k][0] in until:
                 return
@@ -183,15 +207,17 @@ class _Reader(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if self.open[-1][1] < 0:
             known = self.visible()
-            for k in range(len(self.open) - 1, known - 1, -1):
+            if not self.open.here[tag, True] and any(self.open.here[x, True] for x in SEALED):
+                return
+            for k in range(len(self.open) - 1, known - 1, -1) if self.open.here[tag, True] else ():
                 if self.open[k][0] == tag:
-                    del self.open[k:]
+                    self.open.cut(k)
                     return
                 if self.open[k][0] in SEALED:
                     return
-            if tag not in BLOCKS and "-" not in tag or tag not in ("html", "body") and all(x[0] != tag for x in self.open[1:known]):
+            if tag not in BLOCKS and "-" not in tag or tag not in ("html", "body") and not self.open.here[tag, False]:
                 return
-            del self.open[known:]
+            self.open.cut(known)
         if tag == "a":
             self.link = max(0, self.link - 1)
         elif tag in BLOCKS or "-" in tag:
@@ -201,7 +227,7 @@ class _Reader(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if self.open[-1] == ("head", -1) and data.strip():
-            self.open.pop()
+            self.open.cut(len(self.open) - 1)
         if self.open[-1][1] >= 0:
             self.buffer.append(data)
             if self.link:
@@ -212,7 +238,7 @@ def parse(html: str | None) -> Tree:
     reader = _Reader()
     reader.feed(html or "")
     reader.close()
-    del reader.open[reader.visible():]
+    reader.open.cut(reader.visible())
     reader.flush()
     return reader.tree
 

@@ -30,17 +30,21 @@ from .common import importable
 
 UNKNOWN = "und"
 MAX_LANGUAGES = 10_000
-#: Characters and texts that are handled together.
-CHUNK_CHARS, CHUNK_TEXTS = 1 << 20, 256
+#: Characters, texts and groups that are handled together.
+CHUNK_CHARS, CHUNK_TEXTS, BLOCK = 1 << 20, 256, 1 << 13
 _CODES = 0x110000
 
 
 @dataclass(frozen=True)
 class Profiles:
     dim: int = 1024
-    n: int = 3
+    n: int = 3  # letters of a group, 2 at least
     seed: int = 7
 
+    def __post_init__(self) -> None:
+        if self.n < 2:
+            raise ValueError("groups have two letters at least")
+
 
 @dataclass(frozen=True)
 class Prototypes:
@@ -60,40 +64,69 @@ def _vector(code: int, conf: Profiles) -> np.ndarray:
     return (random.integers(0, 2, conf.dim, dtype=np.int8) * 2 - 1).astype(np.int8)
 
 
-def group_counts(texts: list[str | None], conf: Profiles) -> tuple[np.ndarray, np.ndarray]:
-    """(texts x groups counts, groups x n code points); 0 is a word's edge."""
-    rows, parts = [], []
-    for i, t in enumerate(texts):
-        code = np.frombuffer((t or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        code = np.concatenate(([0], np.where(_letters()[code], code, 0), [0]))
+def letter_codes(text: str, n: int, size: int = CHUNK_CHARS) -> Iterator[np.ndarray]:
+    """Code points of a text's letters, 0 for each word's edge, in stretches of
+    about ``size`` characters; a stretch begins with the last n - 1 codes of the one
+    before, so that every group of n codes lies in one of them, once."""
+    kept, at = np.zeros(1, np.int64), 0
+    while True:
+        end = min(len(text), at + size)
+        while end < len(text) and not text[end - 1].isspace() and end < at + 2 * size:
+            end += 1  # lower case can depend on the word
+        code = np.frombuffer(text[at:end].lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        code = np.concatenate((kept, np.where(_letters()[code], code, 0), [0] if end == len(text) else np.zeros(0, np.int64)))
         code = code[(code != 0) | np.concatenate(([True], code[:-1] != 0))]
-        if len(code) >= conf.n:
-            parts.append(code)
-            rows.append(np.full(len(code) - conf.n + 1, i))
-    if not parts:
-        return np.zeros((len(texts), 0), np.int64), np.zeros((0, conf.n), np.int64)
-    alphabet = np.flatnonzero(np.bincount(np.concatenate([np.unique(p) if len(p) > 1 << 16 else p for p in parts])))
+        if len(code) >= n:
+            yield code
+        if end == len(text):
+            return
+        kept, at = code[len(code) - n + 1:] if len(code) >= n else code, end
+
+
+def _numbered(values: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different values, the place of each value among them, and how often
+    they occur; by counting where all possible ones fit some megabytes."""
+    if below > 1 << 22:
+        return np.unique(values, return_inverse=True, return_counts=True)
+    often = np.bincount(values, minlength=below)
+    seen = np.flatnonzero(often)
+    place = np.zeros(below, np.int64)
+    place[seen] = np.arange(len(seen))
+    return seen, place[values], often[seen]
+
+
+def group_counts(rows: list[int], parts: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, group, count) of the groups that each row's codes hold, sorted by
+    group, and the groups' code points; never larger than the codes."""
+    alphabet = np.flatnonzero(np.bincount(np.concatenate([np.flatnonzero(np.bincount(p)) if len(p) > 1 << 16 else p for p in parts])))
     number = np.zeros(int(alphabet[-1]) + 1, np.int64)
     number[alphabet] = np.arange(len(alphabet))
-    k = len(alphabet)
-    codes = []
+    k, codes = len(alphabet), []
     for p in parts:
         x = number[p]
-        c = x[:len(x) - conf.n + 1].copy()
-        for j in range(1, conf.n):
-            c = c * k + x[j:len(x) - conf.n + 1 + j]
+        c = x[:len(x) - n + 1].copy()
+        for j in range(1, n):
+            c = c * k + x[j:len(x) - n + 1 + j]
         codes.append(c)
-    row, code = np.concatenate(rows), np.concatenate(codes)
-    if k ** conf.n <= 1 << 22:
-        seen = np.flatnonzero(np.bincount(code, minlength=k ** conf.n))
-        place = np.zeros(k ** conf.n, np.int64)
-        place[seen] = np.arange(len(seen))
-        column = place[code]
-    else:
-        seen, column = np.unique(code, return_inverse=True)
-    counts = np.bincount(row * len(seen) + column, minlength=len(texts) * len(seen)).reshape(len(texts), len(seen))
-    digits = np.stack([seen // k ** (conf.n - 1 - j) % k for j in range(conf.n)], axis=1)
-    return counts, alphabet[digits]
+    row = np.concatenate([np.full(len(c), r) for r, c in zip(rows, codes)])
+    seen, column, _ = _numbered(np.concatenate(codes), k ** n)
+    top = int(row.max()) + 1
+    pair, _, count = _numbered(column * top + row, len(seen) * top)
+    digits = np.stack([seen // k ** (n - 1 - j) % k for j in range(n)], axis=1)
+    return pair % top, pair // top, count, alphabet[digits]
+
+
+def bundle(rows: list[int], parts: list[np.ndarray], conf: Profiles, out: np.ndarray) -> None:
+    """Add the group vectors of every row's codes to its line of ``out``.  Groups
+    are taken some thousands at a time, so that neither their vectors nor the
+    matrix of rows and groups grow with the text."""
+    row, group, count, groups = group_counts(rows, parts, conf.n)
+    used, line = np.unique(row, return_inverse=True)
+    for k in range(0, len(groups), BLOCK):
+        a, b = np.searchsorted(group, (k, k + BLOCK))
+        part = np.zeros((len(used), min(BLOCK, len(groups) - k)), np.float32)
+        part[line[a:b], group[a:b] - k] = count[a:b]
+        out[used] += part @ group_vectors(groups[k:k + BLOCK], conf).astype(np.float32)
 
 
 def group_vectors(groups: np.ndarray, conf: Profiles) -> np.ndarray:
@@ -107,23 +140,21 @@ def group_vectors(groups: np.ndarray, conf: Profiles) -> np.ndarray:
     return out
 
 
-def _profiles(texts: list[str | None], conf: Profiles) -> np.ndarray:
-    counts, groups = group_counts(texts, conf)
-    if not len(groups):
-        return np.zeros((len(texts), conf.dim), np.float32)
-    out = np.zeros((len(texts), conf.dim), np.float32)
-    for k in range(0, len(groups), 1 << 14):  # bounds the vectors held at once
-        out += counts[:, k:k + (1 << 14)].astype(np.float32) @ group_vectors(groups[k:k + (1 << 14)], conf).astype(np.float32)
-    return out
-
-
-def _chunks(texts: list[str | None]) -> Iterator[slice]:
-    begin = chars = 0
-    for i, t in enumerate(texts):
-        chars += len(t or "")
-        if chars >= CHUNK_CHARS or i + 1 - begin >= CHUNK_TEXTS or i + 1 == len(texts):
-            yield slice(begin, i + 1)
-            begin, chars = i + 1, 0
+def add_profiles(texts: list[str | None], lines: list[int], conf: Profiles, out: np.ndarray) -> None:
+    """Add every text's profile to its line of ``out``."""
+    rows: list[int] = []
+    parts: list[np.ndarray] = []
+    chars = 0
+    for i, text in zip(lines, texts):
+        for code in letter_codes(text or "", conf.n):
+            rows.append(i)
+            parts.append(code)
+            chars += len(code)
+            if chars >= CHUNK_CHARS or len(rows) >= CHUNK_TEXTS:
+                bundle(rows, parts, conf, out)
+                rows, parts, chars = [], [], 0
+    if rows:
+        bundle(rows, parts, conf, out)
 
 
 def train(docs: DataFrame, conf: Profiles = Profiles(), text: str = "text", lang: str = "lang") -> Prototypes:
@@ -131,18 +162,11 @@ def train(docs: DataFrame, conf: Profiles = Profiles(), text: str = "text", lang
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
-            texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for part in _chunks(texts):
-                counts, groups = group_counts(texts[part], conf)
-                names, which = np.unique(np.array(langs[part], object).astype(str), return_inverse=True)
-                by_lang = np.zeros((len(names), counts.shape[1]))
-                np.add.at(by_lang, which, counts)
-                if not len(groups):
-                    continue
-                for k in range(0, len(groups), 1 << 14):
-                    made = by_lang[:, k:k + (1 << 14)] @ group_vectors(groups[k:k + (1 << 14)], conf).astype(np.float64)
-                    for name, v in zip(names.tolist(), made):
-                        total[name] = total[name] + v if name in total else v
+            names, which = np.unique(np.array(batch.column(1).to_pylist(), object).astype(str), return_inverse=True)
+            made = np.zeros((len(names), conf.dim))
+            add_profiles(batch.column(0).to_pylist(), which.tolist(), conf, made)
+            for name, v in zip(names.tolist(), made):
+                total[name] = total[name] + v if name in total else v
         for name, v in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([name] * conf.dim), pa.array(np.arange(conf.dim, dtype=np.int32)),
                                               pa.array(np.rint(v).astype(np.int64))], ["lang", "i", "v"])
@@ -175,8 +199,10 @@ def predict(docs: DataFrame, model: Prototypes, text: str = "text", keep: tuple[
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             best, score = [np.zeros(0, np.int64)], [np.zeros(0)]
-            for part in _chunks(texts):
-                profile = _profiles(texts[part], m.conf).astype(np.float64)
+            for at in range(0, len(texts), CHUNK_TEXTS):
+                some = texts[at:at + CHUNK_TEXTS]
+                profile = np.zeros((len(some), m.conf.dim))
+                add_profiles(some, list(range(len(some))), m.conf, profile)
                 length = np.linalg.norm(profile, axis=1)
                 if m.languages:
                     cosine = profile @ m.vectors.T / np.maximum(length, 1e-300)[:, None]

@@ -113,15 +113,16 @@ WITH a AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '')
   UNION ALL SELECT -7, 0, 'user', {said} UNION ALL SELECT -7, 1, 'assistant', {said}),
 r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 3 AS tokens, {escaped('role')} + {escaped('text')} + 16 AS chars FROM a),
-h AS (SELECT *, first_value(role) OVER q = '{conf.system}' AS has, greatest({low}, {conf.budget - conf.history}
-        - CASE WHEN first_value(role) OVER q = '{conf.system}' THEN first_value(tokens) OVER q ELSE 0 END) AS stride
+h0 AS (SELECT *, first_value(role) OVER q = '{conf.system}' AS has, greatest(1, {conf.budget}
+        - CASE WHEN first_value(role) OVER q = '{conf.system}' THEN first_value(tokens) OVER q ELSE 0 END) AS room
       FROM r WINDOW q AS (PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+h AS (SELECT *, greatest(0, least({conf.history}, room - {low})) AS past, room - greatest(0, least({conf.history}, room - {low})) AS stride FROM h0),
 b AS (SELECT *, has AND i = 1 AS sys, sum(CASE WHEN has AND i = 1 THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY i ROWS UNBOUNDED PRECEDING)
         - CASE WHEN has AND i = 1 THEN 0 ELSE tokens END AS beg FROM h),
 s AS (SELECT *, CASE WHEN sys THEN -1 ELSE 2 * floor(beg / stride) + CASE WHEN floor(beg / stride) = floor((beg + tokens - 1) / stride) THEN 0 ELSE 1 END END AS span FROM b),
 w AS (SELECT conv_id, span, min(beg) AS start FROM s WHERE span >= 0 GROUP BY ALL),
 again AS (SELECT s.conv_id, sum(s.chars) AS n FROM s JOIN w ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND w.span > s.span
-          AND (s.sys OR (w.start > s.beg AND w.start - s.beg <= {conf.history})) WHERE NOT (s.sys AND w.start = 0) GROUP BY s.conv_id),
+          AND (s.sys OR (w.start > s.beg AND w.start - s.beg <= s.past)) WHERE NOT (s.sys AND w.start = 0) GROUP BY s.conv_id),
 c AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
         coalesce(string_agg(text, '' ORDER BY i) FILTER (role = '{conf.target}'), '') AS loss, sum(chars) AS chars FROM s GROUP BY conv_id)
 SELECT c.conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
@@ -131,10 +132,10 @@ FROM c LEFT JOIN again ON again.conv_id IS NOT DISTINCT FROM c.conv_id"""
 
 def topk_sql(conf: TopK = TopK()) -> str:
     return rf"""
-WITH e AS (SELECT vec_id, embedding, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
-v AS (SELECT vec_id, embedding, list(floor({conf.scale} * x::DOUBLE) ORDER BY i) AS v FROM e GROUP BY vec_id, embedding HAVING bool_and(x IS NOT NULL AND isfinite(x))),
+WITH n AS (SELECT vec_id, list_transform(embedding, lambda x: floor({conf.scale} * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 p AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+      FROM (SELECT DISTINCT vec_id, v FROM n WHERE vec_id % 50 = 0) q JOIN n c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p
 QUALIFY rank <= {conf.k}"""
 
