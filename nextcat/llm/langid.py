@@ -6,7 +6,7 @@ rotated by its place; a text is the sum of its groups, a language the sum of
 its training texts.  A text's language is that of the prototype with the
 largest cosine.
 
-Texts are lower-cased; whatever is not a letter parts words, and a word's edge
+Texts are lower-cased (a final sigma is a sigma); whatever is not a letter parts words, and a word's edge
 counts as a letter.  Sums are over integers, so results do not depend on how
 rows are dealt.  Prototypes are ``dim`` numbers a language; training raises
 beyond ``MAX_LANGUAGES``, the bound of what the driver holds.
@@ -71,9 +71,8 @@ def letter_codes(text: str, n: int, size: int = CHUNK_CHARS) -> Iterator[np.ndar
     kept, at = np.zeros(1, np.int64), 0
     while True:
         end = min(len(text), at + size)
-        while end < len(text) and not text[end - 1].isspace() and end < at + 2 * size:
-            end += 1  # lower case can depend on the word
-        code = np.frombuffer(text[at:end].lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        low = text[at:end].lower().replace("\u03c2", "\u03c3")  # the one letter whose lower case depends on its neighbours
+        code = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         code = np.concatenate((kept, np.where(_letters()[code], code, 0), [0] if end == len(text) else np.zeros(0, np.int64)))
         code = code[(code != 0) | np.concatenate(([True], code[:-1] != 0))]
         if len(code) >= n:

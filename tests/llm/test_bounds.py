@@ -23,7 +23,7 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 def plain_profile(text, conf):
     seq, word = [0], False
-    for c in text.lower():
+    for c in text.lower().replace("\u03c2", "\u03c3"):
         if c.isalpha():
             seq.append(ord(c))
         elif seq[-1]:
