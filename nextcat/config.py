@@ -41,6 +41,10 @@ class FeatureConfig:
     period_unit: str = "month"
     categories: tuple[str, ...] | None = None
     payments: tuple[str, ...] | None = None
+    # Write the projected transactions once under the checkpoint folder and build
+    # from there: for a source that costs more to compute than to store, such as a
+    # join, which discovery and both aggregates would each compute again.
+    stage_source: bool = False
     amount_scale: int = 2
     max_wide: int = 4096
     category_prefix: str = "cat_"

@@ -11,6 +11,7 @@ from ..operators.features import (category_columns, core_columns, payment_column
                                   period_features, resolve_values, with_label)
 from ..operators.states import period_states, state_features
 from ..operators.trends import growth_columns, trend_columns, trend_growth
+from ..session import cut
 
 def build_feature_store(txns: DataFrame, cfg: FeatureConfig,
                         keep_index: bool = False) -> tuple[DataFrame, FeatureConfig]:
@@ -20,12 +21,20 @@ def build_feature_store(txns: DataFrame, cfg: FeatureConfig,
     table, since passing it again saves the discovery job and checks the data
     against it in the same pass."""
     listed = cfg.categories is not None and cfg.payments is not None
+    if cfg.stage_source:
+        txns = cut(txns.select(*transaction_columns(cfg)))
     cfg = resolve_values(txns, cfg)
     f = period_features(txns, cfg, check_values=listed)
     f = fill_zero(trend_growth(f, cfg), exclude=(cfg.cols.entity, "period_idx"))
     return with_label(f, cfg, keep_index=keep_index), cfg
 
 
+def transaction_columns(cfg: FeatureConfig) -> list[str]:
+    """The columns of the transactions that the features are made from."""
+    c = cfg.cols
+    return [x for x in (c.entity, c.timestamp, c.amount, c.category, c.merchant, c.payment, c.online) if x]
+
+
 def table_columns(cfg: FeatureConfig) -> dict[str, list[str]]:
     """The narrow tables and their value columns (their layout:
     growth holds spend and txn growth, trend holds the lags and the online

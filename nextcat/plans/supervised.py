@@ -1,10 +1,10 @@
 """L2: feature rows → labelled, calendar-contiguous sequences with a split.
 
-Plan: period check inside the scan → roll-up to one row per (entity, period)
-→ top category per row → one Window node (lead for the label, a bounded RANGE
-frame for the sequence) → split column.  Rolled-up rows are at most one per
-entity and period, so partitioning them by entity cannot concentrate a large
-share of the data in one task."""
+Plan: one exchange by entity → period check and roll-up to one row per (entity,
+period) → top category per row → one Window node (lead for the label, a bounded
+RANGE frame for the sequence) → split column.  Feature rows are at most one per
+entity and stored period, so partitioning them by entity cannot concentrate a
+large share of the data in one task."""
 
 from __future__ import annotations
 
@@ -27,6 +27,9 @@ def rolled_features(features: DataFrame, fcfg: FeatureConfig, strict: bool = Tru
     mean of no value is 0, as everywhere in the feature tables.  ``strict``: a
     text that is no period fails the job; otherwise its rows drop out."""
     ent, unit = fcfg.cols.entity, fcfg.period_unit
+    # feature rows are one per entity and stored period: dealt by entity once, they are rolled up and
+    # windowed where they lie
+    features = features.repartition(F.col(ent))
     explicit = {c: "sum" for c in category_columns(fcfg) + payment_columns(fcfg) if c in features.columns}
     return fill_zero(monthly_rollup(features, ent, "period", unit, explicit, strict), exclude=(ent, *ID_COLUMNS))
 

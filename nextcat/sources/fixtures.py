@@ -135,5 +135,5 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 """
 
 # Feature configurations matching the two transaction views.
-TPCH_CONFIG = FeatureConfig()
+TPCH_CONFIG = FeatureConfig(stage_source=True)  # the view is a join of three tables
 EVENT_CONFIG = FeatureConfig(cols=TxnColumns(payment=None, online=None), payments=())

@@ -50,6 +50,21 @@ def test_one_window_for_label_and_sequence(fs):
     assert plan.count("collect_list(") == 1
 
 
+def test_source_is_computed_once(spark):
+    """Staged, the source's tables are scanned by the staging job alone; the features and the discovery read what it wrote."""
+    f, _ = build_feature_store(tpch_transactions(spark, SF_SMALL), TPCH_CONFIG)
+    plan = f._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation [" not in plan and plan.count("LogicalRDD [") == 2
+
+
+def test_sequences_shuffle_once(spark, fs):
+    f, cfg = fs
+    path = scratch_path(spark, "t-once")
+    IO.write_partitioned(f, path)
+    p = _plan(supervised_sequences(IO.read_partitioned(spark, path), cfg, SEQ, FIXTURE_SPLIT))
+    assert p.count("Exchange") == 1
+
+
 def test_single_aggregate_equals_three_way_join(spark, fs):
     """The one-pass table against core aggregates and the two pivots built one by one and joined."""
     f, cfg = fs
