@@ -30,7 +30,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +45,8 @@ from .common import broadcast_if_small, cut, fresh, importable, row_key
 CHUNK = 1 << 18
 #: Cells of a sketch row that are merged together.
 SHARD = 1 << 20
+#: Least and most cells of a row that is sized by the texts; two rows of the most are 128 MB in every task.
+LEAST, MOST = 1 << 27, 1 << 29
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
 
@@ -53,7 +55,7 @@ _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
 class Substrings:
     window: int = 35
     gram: int = 8
-    width: int = 1 << 27  # cells of a sketch row, a multiple of SHARD
+    width: int | None = None  # cells of a sketch row, a multiple of SHARD; by the size of the texts if not set
     depth: int = 2
     kinds: int = 512      # anchors with more different runs are counted by shuffled windows
 
@@ -125,8 +127,20 @@ def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa
                 begin, words, docs = i + 1, 0, []
 
 
+def sized(docs: DataFrame, conf: Substrings, text: str = "text") -> Substrings:
+    """``conf`` with eight cells a row per expected anchor, between LEAST and MOST:
+    anchors lie half of (window - gram + 2) words apart on average, words six
+    characters.  The width decides how many windows pass, never the result."""
+    if conf.width is not None:
+        return conf
+    chars = docs.agg(F.coalesce(F.sum(F.length(F.col(text).cast("string"))), F.lit(0))).first()[0]
+    cells = 8 * chars // (3 * (conf.window - conf.gram + 2))
+    return replace(conf, width=min(MOST, max(LEAST, 1 << int(cells).bit_length())))
+
+
 def sketch(docs: DataFrame, conf: Substrings = Substrings(), text: str = "text") -> np.ndarray:
     """The merged sketch: per row a bitmap of the cells that count two or more."""
+    conf = sized(docs, conf, text)
     if conf.width % SHARD or not 0 < conf.gram <= conf.window:
         raise ValueError("width must be a multiple of SHARD, and a gram no longer than a window")
 
@@ -231,6 +245,7 @@ def _shared_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def repeated_spans(docs: DataFrame, conf: Substrings, key: Column, text: str = "text") -> DataFrame:
     """(key, spans array<struct<first, n>>): stretches of consecutive repeated
     windows, by first word, per document that has any."""
+    conf = sized(docs, conf, text)
     bits = docs.sparkSession.sparkContext.broadcast(sketch(docs, conf, text))
     # candidates are made twice, with hashes and with places, rather than once and stored with both
     kinds = cut(candidate_runs(docs, conf, key, bits, True, text).groupBy("anchor", "run")

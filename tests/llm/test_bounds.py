@@ -155,6 +155,16 @@ def test_topk_sql_keeps_repeated_rows(spark):
     assert got == want and (0, 1, 1, 256 * 256 * 9) in got and (0, 2, 1, 256 * 256 * 9) in got
 
 
+# ---------------------------------------------------------------- sketch width
+
+def test_sketch_width_follows_the_texts(spark):
+    docs = spark.createDataFrame([(1, "x" * 1000)], "doc_id long, text string")
+    assert substring.sized(docs, substring.Substrings()).width == substring.LEAST and substring.sized(docs, substring.Substrings(width=substring.SHARD)).width == substring.SHARD
+    chars = substring.LEAST * 87 // 8
+    wide = substring.sized(spark.range(0, 2_000_000, 1, 4).select(F.rpad(F.lit("x"), 3 * chars // 2_000_000, "x").alias("text")), substring.Substrings()).width
+    assert substring.LEAST < wide <= substring.MOST and wide & (wide - 1) == 0
+
+
 # ---------------------------------------------------------------- very long texts
 
 def test_very_long_texts(spark):
