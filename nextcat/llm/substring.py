@@ -15,11 +15,15 @@ often as any window that it stands for, and neighbouring windows share one.
    they are many.  A run put out without cause counts 1 and drops out.
 3. Documents are joined with their covered spans.
 
-None is lost: the sketch only overestimates.  At any size, the merged sketch is
-``depth * width / 8`` bytes (32 MB by default), the proven bound of what is
-broadcast; beyond its capacity more runs pass it, each 8 bytes a window, and
-the exact grouping decides alike.  Windows are equal if two independent 64-bit
-hashes (of anchor and window) are.
+None is lost: the sketch only overestimates.  Its rows grow with the texts, so
+that it passes few windows without cause at any size.  Up to ``most`` cells a row
+the merged sketch is broadcast (``depth * most / 8`` bytes, 128 MB, is the bound).
+Wider ones stay where they are merged: the cells lie in shards, an anchor has its
+cells of all rows in one shard, and the anchors of every partition, each once,
+meet their shard by shuffle.  Documents are then joined with those of their
+anchors that passed.  Both ways put out all windows that repeat, and the exact
+grouping decides alike.  Windows are equal if two independent 64-bit hashes (of
+anchor and window) are.
 
 Defined cases: a null or empty text has no words and stays empty; documents
 shorter than a window lose nothing; equal rows are separate documents, so all
@@ -45,8 +49,14 @@ from .common import broadcast_if_small, cut, fresh, importable, row_key
 CHUNK = 1 << 18
 #: Cells of a sketch row that are merged together.
 SHARD = 1 << 20
-#: Least and most cells of a row that is sized by the texts; two rows of the most are 128 MB in every task.
+#: Least cells of a row that is sized by the texts, and most of one that is broadcast: two are 128 MB in every task.
 LEAST, MOST = 1 << 27, 1 << 29
+#: Shards of a wider sketch; beyond 2^36 cells a row a shard's row holds more than SHARD.
+SHARDS = 1 << 16
+#: Anchors whose rows are spread over SALTS keys: any other one has under 1 / HOT of all.
+HOT, SALTS = 1 << 12, 64
+#: Anchors that a task holds before it deals them.
+HELD = 1 << 21
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
 
@@ -56,6 +66,7 @@ class Substrings:
     window: int = 35
     gram: int = 8
     width: int | None = None  # cells of a sketch row, a multiple of SHARD; by the size of the texts if not set
+    most: int = MOST      # cells of a row that may be broadcast
     depth: int = 2
     kinds: int = 512      # anchors with more different runs are counted by shuffled windows
 
@@ -128,21 +139,33 @@ def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa
 
 
 def sized(docs: DataFrame, conf: Substrings, text: str = "text") -> Substrings:
-    """``conf`` with eight cells a row per expected anchor, between LEAST and MOST:
-    anchors lie half of (window - gram + 2) words apart on average, words six
-    characters.  The width decides how many windows pass, never the result."""
-    if conf.width is not None:
-        return conf
-    chars = docs.agg(F.coalesce(F.sum(F.length(F.col(text).cast("string"))), F.lit(0))).first()[0]
-    cells = 8 * chars // (3 * (conf.window - conf.gram + 2))
-    return replace(conf, width=min(MOST, max(LEAST, 1 << int(cells).bit_length())))
+    """``conf`` with eight cells a row per expected anchor, LEAST at least: anchors
+    lie half of (window - gram + 2) words apart on average, words six characters.
+    The width decides how many windows pass, never the result."""
+    if conf.width is None:
+        chars = docs.agg(F.coalesce(F.sum(F.length(F.col(text).cast("string"))), F.lit(0))).first()[0]
+        cells = 8 * chars // (3 * (conf.window - conf.gram + 2))
+        conf = replace(conf, width=max(LEAST, 1 << int(cells).bit_length()))
+    if conf.width % SHARD or not 0 < conf.gram <= conf.window:
+        raise ValueError("width must be a multiple of SHARD, and a gram no longer than a window")
+    return conf
+
+
+def _anchors(batches: Iterator[pa.RecordBatch], column: int, conf: Substrings) -> Iterator[np.ndarray]:
+    """The anchors of a partition's runs, some millions at a time."""
+    held: list[np.ndarray] = []
+    for _, own in _chunks(batches, column):
+        held.append(runs_of(own, conf)[3])
+        if sum(map(len, held)) > HELD:
+            yield np.concatenate(held)
+            held = []
+    if held:
+        yield np.concatenate(held)
 
 
 def sketch(docs: DataFrame, conf: Substrings = Substrings(), text: str = "text") -> np.ndarray:
     """The merged sketch: per row a bitmap of the cells that count two or more."""
     conf = sized(docs, conf, text)
-    if conf.width % SHARD or not 0 < conf.gram <= conf.window:
-        raise ValueError("width must be a multiple of SHARD, and a gram no longer than a window")
 
     def part(anchors: np.ndarray) -> Iterator[pa.RecordBatch]:
         for row in range(conf.depth):
@@ -157,14 +180,8 @@ def sketch(docs: DataFrame, conf: Substrings = Substrings(), text: str = "text")
             ], ["row", "shard", "cells", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for _, own in _chunks(batches, 0):
-            held.append(runs_of(own, conf)[3])
-            if sum(map(len, held)) > 1 << 21:
-                yield from part(np.concatenate(held))
-                held = []
-        if held:
-            yield from part(np.concatenate(held))
+        for anchors in _anchors(batches, 0, conf):
+            yield from part(anchors)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, cells = None, np.zeros(SHARD, np.uint8)
@@ -193,18 +210,113 @@ def sketch(docs: DataFrame, conf: Substrings = Substrings(), text: str = "text")
     return out
 
 
-def candidate_runs(docs: DataFrame, conf: Substrings, key: Column, bits: Broadcast, hashes: bool, text: str = "text") -> DataFrame:
-    """The runs whose anchor the sketch estimates to repeat, as (anchor, run,
-    hashes) with all window hashes, or as (key, anchor, run, first) with the
-    document and first window.  run hashes the run's windows."""
+def _lists(values: np.ndarray, of: np.ndarray, kind: pa.DataType) -> tuple[np.ndarray, pa.ListArray]:
+    """The different numbers in ``of`` (sorted), and the values under each as a list."""
+    start = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))) if len(of) else np.zeros(0, np.int64)
+    offsets = np.append(start, len(of)).astype(np.int32)
+    return of[start], pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+def repeated_anchors(rows: DataFrame, conf: Substrings) -> DataFrame:
+    """(anchor, n): the anchors of ``rows`` (key, text) that the sharded sketch
+    estimates to repeat, and how often they occur.  A shard receives its cells of
+    every partition's sketch first, then every partition's different anchors."""
+    shards = min(SHARDS, conf.width // SHARD)
+    size = -(-conf.width // shards)
+
+    def part(anchors: np.ndarray) -> Iterator[pa.RecordBatch]:
+        anchors, n = np.unique(anchors, return_counts=True)
+        shard = (_mixed(anchors ^ _U(_BASE)) % _U(shards)).astype(np.int64)
+        for row in range(conf.depth):
+            cell, place = np.unique(shard * size + _cells(anchors, row, size).astype(np.int64), return_inverse=True)
+            twice = np.bincount(place, n, len(cell)) >= 2
+            of, small = _lists(np.where(twice, ~(cell % size), cell % size).astype(np.int32), cell // size, pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(of, pa.int32()), pa.array(np.full(len(of), row, np.int32)), small,
+                                              pa.nulls(len(of), pa.list_(pa.int64()))], names)
+        order = np.argsort(shard, kind="stable")
+        of, own = _lists(anchors[order].view(np.int64), shard[order], pa.int64())
+        _, often = _lists(np.minimum(n[order], np.iinfo(np.int32).max).astype(np.int32), shard[order], pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(of, pa.int32()), pa.array(np.full(len(of), conf.depth, np.int32)), often, own], names)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for anchors in _anchors(batches, 1, conf):
+            yield from part(anchors)
+
+    def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        found, place = np.unique(np.concatenate([a for a, _ in held]), return_inverse=True)
+        return found, np.bincount(place, np.concatenate([n for _, n in held]), len(found)).astype(np.int64)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, cells = None, np.zeros((conf.depth, size), np.uint8)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in summed(held)], ["anchor", "n"])
+                held.clear()
+        for batch in batches:
+            shard, row = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for i in range(batch.num_rows):
+                if now != shard[i]:
+                    yield from done()
+                    now = shard[i]
+                    cells[:] = 0
+                small = batch.column(2)[i].values.to_numpy()
+                if row[i] < conf.depth:  # no cell twice; negative: two or more
+                    at = np.where(small < 0, ~small, small)
+                    cells[row[i], at] = np.minimum(cells[row[i], at] + 1 + (small < 0), 2)
+                    continue
+                anchors = batch.column(3)[i].values.to_numpy()
+                passed = np.logical_and.reduce([cells[r, _cells(anchors.view(_U), r, size).astype(np.int64)] >= 2 for r in range(conf.depth)])
+                if passed.any():
+                    held.append((anchors[passed], small[passed]))
+                    if sum(len(a) for a, _ in held) > HELD:
+                        held[:] = [summed(held)]
+        yield from done()
+
+    names = ["shard", "row", "small", "anchors"]
+    dealt = rows.mapInArrow(deal, "shard int, row int, small array<int>, anchors array<long>")
+    return dealt.repartition("shard").sortWithinPartitions("shard", "row").mapInArrow(meet, "anchor long, n long")
+
+
+def with_repeated_anchors(rows: DataFrame, conf: Substrings) -> DataFrame:
+    """(key, text, anchors): the rows that have anchors which the sharded sketch
+    passes, with these.  An anchor of very many documents is dealt over SALTS keys."""
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in _chunks(batches, 1):
+            doc, _, _, anchor, _ = runs_of(texts, conf)
+            order = np.lexsort((anchor, doc))
+            doc, anchor = doc[order], anchor[order]
+            new = np.ones(len(doc), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc[new])), pa.array(anchor[new].view(np.int64))], ["key", "anchor"])
+
+    passed = cut(repeated_anchors(rows, conf))
+    hot = F.broadcast(cut(passed.orderBy(F.desc("n"), "anchor").limit(HOT).select("anchor", F.lit(True).alias("hot"))))
+    each = passed.join(hot, "anchor", "left").select("anchor", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1)))
+                                                                      .otherwise(F.array(F.lit(0)))).alias("salt"))
+    met = (rows.mapInArrow(own, "key binary, anchor long").join(hot, "anchor", "left")
+           .select("key", "anchor", F.when(F.col("hot"), F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).otherwise(0).alias("salt"))
+           .join(each, ["anchor", "salt"], "left_semi").groupBy("key").agg(F.collect_set("anchor").alias("anchors")))
+    return cut(rows.join(met, "key").select("key", "text", "anchors"))
+
+
+def candidate_runs(rows: DataFrame, conf: Substrings, bits: Broadcast | None, hashes: bool) -> DataFrame:
+    """The runs of ``rows`` (key, text) whose anchor the sketch estimates to
+    repeat, as (anchor, run, hashes) with all window hashes, or as (key, anchor,
+    run, first) with the document and first window.  run hashes the run's windows.
+    Without the sketch's bits, ``rows`` have their anchors that passed it."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = bits.value
+        table = bits.value if bits else None
         for batch, own in _chunks(batches, 1):
             doc, first, length, anchor, windows = runs_of(own, conf)
-            keep = np.ones(len(doc), bool)
-            for row in range(conf.depth):
-                cell = _cells(anchor, row, conf.width).astype(np.int64)
-                keep &= (table[row][cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
+            if table is None:  # to pass is an anchor's property, whichever row names it
+                keep = np.isin(anchor, batch.column(2).flatten().to_numpy().view(_U))
+            else:
+                keep = np.ones(len(doc), bool)
+                for row in range(conf.depth):
+                    cell = _cells(anchor, row, conf.width).astype(np.int64)
+                    keep &= (table[row][cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
             if not keep.any():
                 continue
             flat = windows[np.repeat(keep, length)].view(np.int64)
@@ -220,7 +332,7 @@ def candidate_runs(docs: DataFrame, conf: Substrings, key: Column, bits: Broadca
                                                  ["key", "anchor", "run", "first"])
 
     schema = "anchor long, run long, hashes array<long>" if hashes else "key binary, anchor long, run long, first int"
-    return docs.select(key.alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(emit, schema)
+    return rows.mapInArrow(emit, schema)
 
 
 def _shared_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,9 +358,13 @@ def repeated_spans(docs: DataFrame, conf: Substrings, key: Column, text: str = "
     """(key, spans array<struct<first, n>>): stretches of consecutive repeated
     windows, by first word, per document that has any."""
     conf = sized(docs, conf, text)
-    bits = docs.sparkSession.sparkContext.broadcast(sketch(docs, conf, text))
+    rows, bits = docs.select(key.alias("key"), F.col(text).cast("string").alias("text")), None
+    if conf.width <= conf.most:
+        bits = docs.sparkSession.sparkContext.broadcast(sketch(docs, conf, text))
+    else:
+        rows = with_repeated_anchors(rows, conf)
     # candidates are made twice, with hashes and with places, rather than once and stored with both
-    kinds = cut(candidate_runs(docs, conf, key, bits, True, text).groupBy("anchor", "run")
+    kinds = cut(candidate_runs(rows, conf, bits, True).groupBy("anchor", "run")
                 .agg(F.count("*").alias("n"), F.any_value("hashes").alias("hashes")))
     copied = kinds.where("n > 1").select("anchor", "run", F.array(F.struct(F.lit(0).alias("at"), F.size("hashes").alias("n"))).alias("spans"))
     # an anchor with several kinds of run, one of them without equal: its windows are counted one by one
@@ -264,7 +380,7 @@ def repeated_spans(docs: DataFrame, conf: Substrings, key: Column, text: str = "
            .groupBy("anchor", "run").agg(F.collect_list("at").alias("at")))
     single = near.unionByName(far).select("anchor", "run", F.transform("at", lambda x: F.struct(x.alias("at"), F.lit(1).alias("n"))).alias("spans"))
     hits = copied.unionByName(single)
-    return (candidate_runs(docs, conf, key, bits, False, text).join(hits, ["anchor", "run"])
+    return (candidate_runs(rows, conf, bits, False).join(hits, ["anchor", "run"])
             .select("key", F.transform("spans", lambda x: F.struct((F.col("first") + x["at"]).alias("first"), x["n"].alias("n"))).alias("spans"))
             .groupBy("key").agg(F.flatten(F.collect_set("spans")).alias("spans")))  # equal rows have equal spans
 

@@ -165,6 +165,19 @@ def test_sketch_width_follows_the_texts(spark):
     assert substring.LEAST < wide <= substring.MOST and wide & (wide - 1) == 0
 
 
+def test_sharded_sketch_passes_all_that_repeats(spark):
+    """Every anchor that starts twice passes, whatever the width; in a wide sketch hardly any other does."""
+    rows = pd.read_parquet(f"{DIR}/documents.parquet").text.fillna("").tolist()
+    conf = substring.Substrings()
+    _, _, _, anchors, _ = substring.runs_of([substring._split(t) for t in rows], conf)
+    found, n = np.unique(anchors.view(np.int64), return_counts=True)
+    want = dict(zip(found[n > 1].tolist(), n[n > 1].tolist()))
+    texts = spark.createDataFrame([(bytes([i % 256]) * 16, t) for i, t in enumerate(rows)], "key binary, text string").repartition(5)
+    for width, extra in ((substring.SHARD, len(found)), (1 << 26, 5)):
+        got = {r.anchor: r.n for r in substring.repeated_anchors(texts, substring.Substrings(width=width)).collect()}
+        assert all(got.get(a) == k for a, k in want.items()) and len(got) - len(want) <= extra
+
+
 # ---------------------------------------------------------------- very long texts
 
 def test_very_long_texts(spark):
@@ -179,6 +192,6 @@ def test_very_long_texts(spark):
     assert sum(x.taken for x in mixing.mix_report(docs).collect()) == int(1.5 * sum(n))
     groups = {x.id: x.component for x in simhash.simhash_groups(docs).collect()}
     assert groups[1] == groups[3] == 1 and groups[2] == 2
-    kept = {x.doc_id: x.n_removed for x in substring.substring_dedup(docs).collect()}
     want = {i: c - len(k) for (i, *_), c, k in zip(rows, n, brute.kept_words([t for _, t, *_ in rows]))}
-    assert kept == want
+    for conf in (substring.Substrings(), substring.Substrings(most=0)):  # 17,000 anchors: more than are salted
+        assert {x.doc_id: x.n_removed for x in substring.substring_dedup(docs, conf).collect()} == want

@@ -422,11 +422,13 @@ def test_chat_windows(spark):
 def test_substrings_equal_brute_force(docs, empty):
     rows = sample()
     want = sorted(repr((r[0], len(brute.words(r[1])), " ".join(k))) for r, k in zip(rows, brute.kept_words([r[1] for r in rows])))
-    for conf in (substring.Substrings(), substring.Substrings(width=substring.SHARD, depth=1), substring.Substrings(gram=35), substring.Substrings(kinds=1)):
+    for conf in (substring.Substrings(), substring.Substrings(width=substring.SHARD, depth=1), substring.Substrings(gram=35), substring.Substrings(kinds=1),
+                 substring.Substrings(most=0), substring.Substrings(width=substring.SHARD, depth=1, most=0)):
         got = substring.substring_dedup(clashing(docs), conf).collect()
         assert sorted(repr((r.doc_id, r.n_words, r.kept)) for r in got) == want
         assert all(r.n_words - r.n_removed == len(brute.words(r.kept)) for r in got)
     assert substring.substring_dedup(empty).collect() == []
+    assert substring.substring_dedup(empty, substring.Substrings(most=0)).collect() == []
 
 
 def test_substrings_partial_overlaps(spark):
@@ -435,7 +437,8 @@ def test_substrings_partial_overlaps(spark):
     rows = [(i, " ".join(base[a:a + n] + [f"u{i}"] + base[b:b + m]), "en", "s", 0) for i, (a, n, b, m) in enumerate(
         [(r.randint(0, 300), r.randint(0, 100), r.randint(0, 300), r.randint(0, 100)) for _ in range(60)])]
     want = {row[0]: " ".join(k) for row, k in zip(rows, brute.kept_words([row[1] for row in rows]))}
-    assert {r.doc_id: r.kept for r in substring.substring_dedup(spark.createDataFrame(rows, DOCS)).collect()} == want
+    for conf in (substring.Substrings(), substring.Substrings(most=0)):
+        assert {r.doc_id: r.kept for r in substring.substring_dedup(spark.createDataFrame(rows, DOCS), conf).collect()} == want
 
 
 # ---------------------------------------------------------------- 10
