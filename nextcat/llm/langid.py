@@ -8,8 +8,10 @@ largest cosine.
 
 Texts are lower-cased (a final sigma is a sigma); whatever is not a letter parts words, and a word's edge
 counts as a letter.  Sums are over integers, so results do not depend on how
-rows are dealt.  Prototypes are ``dim`` numbers a language; training raises
-beyond ``MAX_LANGUAGES``, the bound of what the driver holds.
+rows are dealt.  Prototypes are ``dim`` numbers a language.  Up to ``MAX_LANGUAGES``
+they are broadcast at once; more stay a table, whose blocks of languages (dealt by
+hash, half as many each on average) are broadcast in turn, each text keeping the
+best so far.
 
 Defined cases: null texts and texts without letters are ``und`` with score 0,
 as are all texts if no row trains; rows with a null text or language do not
@@ -23,13 +25,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from .common import importable
+from .common import cut, fresh, importable
 
 UNKNOWN = "und"
 MAX_LANGUAGES = 10_000
+#: Blocks of languages that a task holds at once.
+BLOCKS = 4
 #: Characters, texts and groups that are handled together.
 CHUNK_CHARS, CHUNK_TEXTS, BLOCK = 1 << 20, 256, 1 << 13
 _CODES = 0x110000
@@ -53,6 +57,27 @@ class Prototypes:
     vectors: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # unit length, a row per language
 
 
+@dataclass(frozen=True)
+class PrototypeTable:
+    """Prototypes of more languages than the driver holds: (block, lang, v), in ``blocks`` blocks."""
+    conf: Profiles
+    table: DataFrame
+    blocks: int
+
+    def __iter__(self) -> Iterator[Prototypes]:
+        for b in range(self.blocks):
+            yield _prototypes(self.conf, self.table.where(F.col("block") == b).select("lang", "v").collect())
+
+
+def _prototypes(conf: Profiles, rows: list[Row]) -> Prototypes:
+    found = sorted(((r["lang"], np.array([x["v"] for x in r["v"]], np.float64)) for r in rows), key=lambda x: x[0])
+    found = [(name, v) for name, v in found if v.any()]
+    if not found:
+        return Prototypes(conf)
+    vectors = np.stack([v for _, v in found])
+    return Prototypes(conf, [name for name, _ in found], vectors / np.linalg.norm(vectors, axis=1, keepdims=True))
+
+
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(_CODES)), bool, _CODES)
@@ -156,7 +181,7 @@ def add_profiles(texts: list[str | None], lines: list[int], conf: Profiles, out:
         bundle(rows, parts, conf, out)
 
 
-def train(docs: DataFrame, conf: Profiles = Profiles(), text: str = "text", lang: str = "lang") -> Prototypes:
+def train(docs: DataFrame, conf: Profiles = Profiles(), text: str = "text", lang: str = "lang") -> Prototypes | PrototypeTable:
     """Prototypes from all rows with a language and a text."""
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -175,44 +200,71 @@ def train(docs: DataFrame, conf: Profiles = Profiles(), text: str = "text", lang
     made = (rows.mapInArrow(sums, "lang string, i int, v long").groupBy("lang", "i").agg(F.sum("v").alias("v"))
             .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("v")))
     found = made.limit(MAX_LANGUAGES + 1).collect()
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    found = sorted(((r["lang"], np.array([x["v"] for x in r["v"]], np.float64)) for r in found), key=lambda x: x[0])
-    found = [(name, v) for name, v in found if v.any()]
-    if not found:
-        return Prototypes(conf)
-    vectors = np.stack([v for _, v in found])
-    return Prototypes(conf, [name for name, _ in found], vectors / np.linalg.norm(vectors, axis=1, keepdims=True))
-
-
-def predict(docs: DataFrame, model: Prototypes, text: str = "text", keep: tuple[str | Column, ...] = ("doc_id",)) -> DataFrame:
+    if len(found) <= MAX_LANGUAGES:
+        return _prototypes(conf, found)
+    made = cut(made)
+    blocks = -(-2 * made.count() // MAX_LANGUAGES)
+    return PrototypeTable(conf, made.withColumn("block", F.pmod(F.xxhash64("lang"), F.lit(blocks))), blocks)
+
+
+def best_languages(texts: list[str | None], m: Prototypes) -> tuple[list[str], np.ndarray]:
+    """Every text's best language and its cosine; ``und`` and 0 if there is none."""
+    names = np.array([*m.languages, UNKNOWN], object)
+    best, score = [np.zeros(0, np.int64)], [np.zeros(0)]
+    for at in range(0, len(texts), CHUNK_TEXTS):
+        some = texts[at:at + CHUNK_TEXTS]
+        profile = np.zeros((len(some), m.conf.dim))
+        add_profiles(some, list(range(len(some))), m.conf, profile)
+        length = np.linalg.norm(profile, axis=1)
+        if m.languages:
+            cosine = profile @ m.vectors.T / np.maximum(length, 1e-300)[:, None]
+            top = cosine.argmax(axis=1)
+            best.append(np.where(length > 0, top, len(m.languages)))
+            score.append(np.where(length > 0, cosine[np.arange(len(top)), top], 0))
+        else:
+            best.append(np.zeros(len(length), np.int64))
+            score.append(np.zeros(len(length)))
+    return names[np.concatenate(best)].tolist(), np.concatenate(score)
+
+
+def predict(docs: DataFrame, model: Prototypes | PrototypeTable, text: str = "text",
+            keep: tuple[str | Column, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of ``docs``, then lang_pred string and score double (the cosine, 0 at least)."""
     importable(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    if isinstance(model, PrototypeTable):
+        return _predict_by_blocks(docs, model, text, keep)
     kept = docs.select(*keep)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     names_out = [*kept.columns, "lang_pred", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        names = np.array([*m.languages, UNKNOWN], object)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            best, score = [np.zeros(0, np.int64)], [np.zeros(0)]
-            for at in range(0, len(texts), CHUNK_TEXTS):
-                some = texts[at:at + CHUNK_TEXTS]
-                profile = np.zeros((len(some), m.conf.dim))
-                add_profiles(some, list(range(len(some))), m.conf, profile)
-                length = np.linalg.norm(profile, axis=1)
-                if m.languages:
-                    cosine = profile @ m.vectors.T / np.maximum(length, 1e-300)[:, None]
-                    top = cosine.argmax(axis=1)
-                    best.append(np.where(length > 0, top, len(m.languages)))
-                    score.append(np.where(length > 0, np.clip(cosine[np.arange(len(top)), top], 0, 1), 0))
-                else:
-                    best.append(np.zeros(len(length), np.int64))
-                    score.append(np.zeros(len(length)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names[np.concatenate(best)].tolist(), pa.string()),
-                                              pa.array(np.concatenate(score))], names_out)
+            best, score = best_languages(batch.column(batch.num_columns - 1).to_pylist(), shared.value)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(best, pa.string()), pa.array(np.clip(score, 0, 1))], names_out)
     fields = ", ".join(f"`{c}` {k}" for c, k in kept.dtypes)
     t = F.col(text).cast("string").alias("_text")
     return docs.select(*keep, t).mapInArrow(run, f"{fields}, lang_pred string, score double")
+
+
+def _predict_by_blocks(docs: DataFrame, model: PrototypeTable, text: str, keep: tuple[str | Column, ...]) -> DataFrame:
+    """``predict`` for a table of prototypes, a block of languages after the other."""
+    kept = docs.select(*keep)
+    t, = fresh(kept, "_text")
+    out = docs.select(*keep, F.col(text).cast("string").alias(t), F.lit(None).cast("string").alias("lang_pred"), F.lit(-2.0).alias("score"))
+
+    def better(block: Prototypes):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                *rest, old, before = batch.columns
+                best, score = best_languages(rest[-1].to_pylist(), shared.value)
+                pairs = [(lang, s) if s > b or s == b and lang < o else (o, b)
+                         for lang, s, o, b in zip(best, score.tolist(), old.to_pylist(), before.to_pylist())]
+                yield pa.RecordBatch.from_arrays([*rest, pa.array([x for x, _ in pairs], pa.string()),
+                                                  pa.array([s for _, s in pairs], pa.float64())], batch.schema.names)
+        return run
+    for i, block in enumerate(b for b in model if b.languages):
+        out = (cut(out) if i and i % BLOCKS == 0 else out).mapInArrow(better(block), out.schema)
+    found = F.coalesce(F.col("lang_pred"), F.lit(UNKNOWN))
+    return out.select(*kept.columns, found.alias("lang_pred"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")).alias("score"))

@@ -155,6 +155,26 @@ def test_topk_sql_keeps_repeated_rows(spark):
     assert got == want and (0, 1, 1, 256 * 256 * 9) in got and (0, 2, 1, 256 * 256 * 9) in got
 
 
+# ---------------------------------------------------------------- more languages than the driver holds
+
+def test_languages_in_blocks(spark, monkeypatch):
+    r, rows = random.Random(5), []
+    for k in range(24):  # every language has its own letters' frequencies; x23 repeats x00
+        own = r.choices("abcdefghijklmnopqrstuvwxyz ", k=12) if k < 23 else own0
+        own0 = own if k == 0 else own0
+        rows += [(100 * k + i, "".join(r.choices(own, k=200)), f"x{k:02}", "s", 0) for i in range(3)]
+    rows.append((9000, "123", "zz", "s", 0))  # a language without letters
+    docs = spark.createDataFrame(rows + [(9001, None, None, "s", 0), (9002, "...", "x01", "s", 0)], DOCS)
+    whole = langid.train(docs)
+    want = {x.doc_id: (x.lang_pred, round(x.score, 9)) for x in langid.predict(docs, whole).collect()}
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 8)
+    table = langid.train(docs)
+    assert isinstance(table, langid.PrototypeTable) and table.blocks > langid.BLOCKS
+    assert sorted(x for b in table for x in b.languages) == whole.languages
+    got = {x.doc_id: (x.lang_pred, round(x.score, 9)) for x in langid.predict(docs, table).collect()}
+    assert got == want and got[9001] == got[9002] == ("und", 0.0) and len({x for x, _ in got.values()}) > 20
+
+
 # ---------------------------------------------------------------- sketch width
 
 def test_sketch_width_follows_the_texts(spark):
