@@ -6,9 +6,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from nextcat.config import FeatureConfig
+from nextcat.config import FeatureConfig, SequenceConfig, SplitConfig
+from nextcat.operators.sequences import sequences_by_self_join
+from nextcat.operators.states import period_states, roll_states
 from nextcat.operators.tables import merge_tables, monthly_rollup
-from nextcat.plans.feature_store import build_feature_store
+from nextcat.plans.feature_store import build_feature_maps, build_feature_store, maps_from_states
+from nextcat.plans.supervised import supervised_sequences
 from nextcat.session import scratch_path
 from nextcat.sources import io as IO
 
@@ -62,3 +65,32 @@ def test_buckets_and_tasks_follow_the_input(spark):
     assert IO.tasks_for(more, 4096) > 5 * IO.tasks_for(one, 4096) > 0
     assert IO.tasks_for(one) == IO.bucket_count(one) == spark.sparkContext.defaultParallelism
     assert IO.tasks_for(spark.createDataFrame([(1,)], "a int")) is None and IO.bucket_count(spark.createDataFrame([(1,)], "a int")) == 8
+
+
+def test_sequences_of_a_build_add_no_shuffle(spark, txns):
+    fs, cfg = build_feature_store(txns, FeatureConfig())
+    split = SplitConfig("2025-02", "2025-03", "2025-05")
+    sup = supervised_sequences(fs, cfg, SequenceConfig(2), split, dealt=True)
+    assert exchanges(sup) == exchanges(fs) == 2
+    assert sorted(map(str, sup.collect())) == sorted(map(str, supervised_sequences(fs, cfg, SequenceConfig(2), split).collect()))
+
+
+def test_self_join_counts_steps_by_keys_alone(spark):
+    df = spark.createDataFrame([("A", i, float(i)) for i in (1, 2, 3, 5, 6, 9)] + [("B", 1, 0.0)], "customer_id string, period_idx int, v double")
+    j = sequences_by_self_join(df, "customer_id", "period_idx", ["v"], 2)
+    plan = j._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Window ["):]
+    assert "v#" not in below.split("Join")[0].split("\n")[0] and plan.index("Join") < plan.index("Window [")  # the wide join is above the window
+    assert sorted((r.customer_id, r.period_idx, r.step, r.v) for r in j.collect()) == [
+        ("A", 2, 0, 1.0), ("A", 2, 1, 2.0), ("A", 3, 0, 2.0), ("A", 3, 1, 3.0), ("A", 6, 0, 5.0), ("A", 6, 1, 6.0)]
+
+
+@pytest.mark.parametrize("many", [True, False])
+def test_states_shuffle_once(spark, txns, many):
+    cfg = FeatureConfig(many_entities=many)
+    maps = build_feature_maps(txns, cfg)
+    assert exchanges(maps) == (1 if many else 3)
+    day = FeatureConfig(period_unit="day", require_pivot_rows=False, many_entities=many)
+    rolled = roll_states(period_states(txns, day), day, "month")
+    rows = lambda df: sorted(map(str, df.drop("unique_merchants").collect()))
+    assert rows(maps_from_states(rolled, cfg)) == rows(build_feature_maps(txns, FeatureConfig(require_pivot_rows=False)))
