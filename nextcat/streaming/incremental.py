@@ -51,11 +51,12 @@ def _before(stored: DataFrame, index: int, unit: str) -> DataFrame:
 def last_rows(stored: DataFrame, cfg: FeatureConfig, index: int) -> DataFrame:
     """Per entity, the latest row of ``stored`` before period ``index`` (only the
     columns the lag features need).  ``max_by`` aggregates partially before
-    the shuffle, so a hot entity costs one partial row per task."""
+    the shuffle, so a hot entity costs one partial row per task; one per column, since
+    a struct as its value would have all stored rows sorted by entity."""
     ent = cfg.cols.entity
     cols = [c for c in _SEED_COLS if cfg.cols.online or c != "online_ratio"]
-    last = _before(stored, index, cfg.period_unit).groupBy(ent).agg(F.max_by(F.struct("period_idx", *cols), F.col("period_idx")).alias("_r"))
-    return last.select(ent, "_r.*")
+    latest = [F.max_by(c, "period_idx").alias(c) for c in cols]
+    return _before(stored, index, cfg.period_unit).groupBy(ent).agg(F.max("period_idx").alias("period_idx"), *latest)
 
 
 def refreshed_rows(txns: DataFrame, stored: DataFrame, cfg: FeatureConfig, since: str, index: int) -> DataFrame:
