@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from nextcat.config import FeatureConfig, SequenceConfig, SplitConfig
 from nextcat.operators.sequences import sequences_by_self_join
 from nextcat.operators.states import period_states, roll_states
-from nextcat.operators.tables import merge_tables, monthly_rollup
+from nextcat.operators import tables as T
+from nextcat.operators.tables import merge_tables, monthly_rollup, validate_keys
 from nextcat.plans.feature_store import build_feature_maps, build_feature_store, maps_from_states
 from nextcat.plans.supervised import supervised_sequences
 from nextcat.session import scratch_path
 from nextcat.sources import io as IO
+from nextcat.sources.fixtures import meet
 
 KINDS = "customer_id string, timestamp timestamp_ntz, amount decimal(18,2), category string, merchant_id string, payment_method string, is_online int"
 
@@ -67,6 +69,39 @@ def test_buckets_and_tasks_follow_the_input(spark):
     assert IO.tasks_for(spark.createDataFrame([(1,)], "a int")) is None and IO.bucket_count(spark.createDataFrame([(1,)], "a int")) == 8
 
 
+def test_keys_are_counted_in_as_many_tasks_as_the_files_need(spark, monkeypatch):
+    path = scratch_path(spark, "t-keys")
+    rows = [(i % 90 if i % 10 else None, i % 3, "x" * 20) for i in range(100)]
+    spark.createDataFrame(rows, "a int, b int, wide string").write.parquet(path)
+    monkeypatch.setattr(T, "tasks_for", lambda df: 37)
+    bad = validate_keys(spark.read.parquet(path), ("a", "b"))
+    plan = bad._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and ", 37), REPARTITION_BY_NUM" in plan
+    assert "HashAggregate" not in plan[plan.index("Exchange hashpartitioning"):]  # no task holds its rows' keys before the shuffle as well
+    want = {}
+    for a, b, _ in rows:
+        want[a, b] = want.get((a, b), 0) + 1
+    want = {("null_key" if a is None else "duplicate_key", a, b, n) for (a, b), n in want.items() if a is None or n > 1}
+    assert {tuple(r) for r in bad.collect()} == want and {k for k, *_ in want} == {"null_key", "duplicate_key"}
+
+
+def test_larger_tables_meet_in_as_many_tasks_as_the_files_need(spark):
+    base = scratch_path(spark, "t-meet")
+    left = [(i % 50 if i % 7 else None, i) for i in range(400)] + [(999, -1)]
+    right = [(i // 2 if i % 9 else None, f"r{i}") for i in range(60)]  # most keys twice, some NULL
+    spark.createDataFrame(left, "k long, v long").write.parquet(f"{base}/l")
+    spark.createDataFrame(right, "rk long, w string").write.parquet(f"{base}/r")
+    li, other = spark.read.parquet(f"{base}/l"), spark.read.parquet(f"{base}/r")
+    met = meet(li, other, "k", "rk", small=0, task_bytes=64)
+    tasks = IO.tasks_for(met, 64)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert tasks > 8 and plan.count(f", {tasks}), REPARTITION_BY_NUM") == 2 and plan.count("Exchange") == 2 and "SortMergeJoin" in plan
+    plain = meet(li, other, "k", "rk")
+    assert "REPARTITION_BY_NUM" not in plain._jdf.queryExecution().executedPlan().toString()  # the planner's choice
+    want = sorted((k, v, rk, w) for k, v in left for rk, w in right if k is not None and k == rk)
+    assert sorted(map(tuple, met.collect())) == sorted(map(tuple, plain.collect())) == want
+
+
 def test_sequences_of_a_build_add_no_shuffle(spark, txns):
     fs, cfg = build_feature_store(txns, FeatureConfig())
     split = SplitConfig("2025-02", "2025-03", "2025-05")
