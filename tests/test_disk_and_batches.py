@@ -12,7 +12,9 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from nextcat import queries as Q
-from nextcat.config import FeatureConfig, ModelConfig, SequenceConfig, SplitConfig
+from nextcat.config import PERIOD_UNITS, FeatureConfig, ModelConfig, SequenceConfig, SplitConfig
+from nextcat.functions.periods import parse_period, period_start
+from nextcat.operators.scaling import scale_sequences
 from nextcat.operators.sequences import in_full_runs
 from nextcat.operators.tables import merge_batches, merge_tables
 from nextcat.plans import model as M
@@ -158,3 +160,20 @@ def test_intermediate_tables_are_removed(spark):
         assert not os.path.exists(f"{root}/{n}/feature_store"), n
         if n.startswith("dispatch"):
             assert all(f.endswith(".csv.gz") for f in os.listdir(f"{root}/{n}/core.csv") if f.startswith("part"))
+
+
+def test_scaling_calls_one_lambda_per_value(spark):
+    df = spark.createDataFrame([([[1.0, 2.0], [3.0, None]],), ([],), (None,)], "seq array<array<double>>")
+    got = scale_sequences(df, [1.0, 0.5], [3.0, 0.1])
+    assert got._jdf.queryExecution().analyzed().toString().count("zip_with(") == 1
+    assert [r.seq_scaled for r in got.collect()] == [[[0.0, (2.0 - 0.5) / 0.1], [(3.0 - 1.0) / 3.0, None]], [], None]
+
+
+@pytest.mark.parametrize("unit", PERIOD_UNITS)
+def test_period_starts_by_date_arithmetic(spark, unit):
+    days = [dt.date(y, m, d) for y in (1969, 2000, 2024) for m in (1, 2, 3, 6, 12) for d in (1, 15, 28)] + [dt.date(2024, 2, 29), dt.date(2024, 12, 31), None]
+    df = spark.createDataFrame([(d, d and dt.datetime(d.year, d.month, d.day, 23, 59, 59)) for d in days], "d date, t timestamp_ntz")
+    rows = df.select(F.date_trunc(unit, "t").cast("date").alias("want"), period_start("t", unit).alias("a"), period_start("d", unit).alias("b"),
+                     parse_period(F.col("d").cast("string"), unit).alias("c"))
+    assert "date_trunc" not in df.select(period_start("t", unit), parse_period("d", unit))._jdf.queryExecution().analyzed().toString()
+    assert all(r.want == r.a == r.b == r.c for r in rows.collect())
